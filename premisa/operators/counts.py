@@ -181,3 +181,21 @@ def regression_contingency(
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def missing_policy(df: DataFrame, cond, label: str, target: str) -> DataFrame:
+    """Counts of one condition under both treatments of a missing value.
+
+    ``strict``: a missing value does not satisfy the condition.  ``ignore``: rows without a value are left out
+    of P and N too.
+    """
+    pos = F.coalesce(label_text(df, label) == F.lit(target), F.lit(False))
+    hit = F.coalesce(premise([cond], df.schema), F.lit(False))
+    there = quoted(cond.attr).isNotNull()
+    aggs = {"p": hit & pos, "n": hit & ~pos, "a": pos, "b": ~pos, "ia": pos & there, "ib": ~pos & there}
+    t = df.agg(*[F.count(F.when(c, 1)).alias(name) for name, c in aggs.items()])
+    rows = [
+        F.struct(F.lit(policy).alias("policy"), F.col("p"), F.col("n"), F.col(a).alias("p_all"), F.col(b).alias("n_all"))
+        for policy, a, b in (("strict", "a", "b"), ("ignore", "ia", "ib"))
+    ]
+    return t.select(F.inline(F.array(*rows)))

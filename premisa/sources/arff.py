@@ -41,23 +41,25 @@ def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
 
 
 def _header_lines(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    """The lines up to @data, read from the start of the first file."""
-    first = sorted(spark.read.text(path).inputFiles())[0]
-    lines = _lines(spark, first, encoding)
-    take = 1_000
-    while True:
-        head = [r[0] for r in lines.take(take)]
-        for i, line in enumerate(head):
-            if line.strip().lower().startswith("@data"):
-                return head[:i]
-        if len(head) < take:
-            raise ValueError(f"no @data line in {first}")
-        take *= 10
+    """The lines up to @data, read from the start of the first file that is not empty."""
+    for first in sorted(spark.read.text(path).inputFiles()):
+        lines, take = _lines(spark, first, encoding), 1_000
+        while True:
+            head = [r[0] for r in lines.take(take)]
+            for i, line in enumerate(head):
+                if line.strip().lower().startswith("@data"):
+                    return head[:i]
+            if len(head) < take:
+                break
+            take *= 10
+        if head:
+            break
+    raise ValueError(f"no @data line at the start of {path}")
 
 
-def arff_scan(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
-    """One file or a directory whose first file carries the header; '?' reads as null."""
-    schema = parse_header(_header_lines(spark, path, encoding))
+def arff_scan(spark: SparkSession, path: str, encoding: str = "utf-8", header: str | None = None) -> DataFrame:
+    """One file, or a directory whose first file (or the file ``header``) has the header; '?' reads as null."""
+    schema = parse_header(_header_lines(spark, header or path, encoding))
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
     lines = _lines(spark, path, encoding)
     body = lines.where(~F.ltrim("value").rlike("^[@%]") & (F.trim("value") != ""))
