@@ -24,7 +24,7 @@ from premisa.operators.expert import ExpertInduction, Knowledge
 from premisa.operators.matching import coverage_matrix
 from premisa.operators.predict import predict_class, predict_proba, predict_survival, predict_value
 from premisa.operators.regress import RegressionSearch
-from premisa.operators.statistics import regression_pvalue, rule_stats, ruleset_stats, survival_pvalue, voting_weight
+from premisa.operators.statistics import regression_pvalue, rule_stats, ruleset_stats, voting_weight
 from premisa.operators.survival import rule_curves
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import ContrastParams, ExpertParams, InductionParams
@@ -93,7 +93,7 @@ class RuleModel:
         else:
             covering.run(search.targets)
         self._clock = covering.clock
-        return [search.describe(t, p) for t in search.targets for p in covering.rules.get(t, [])]
+        return search.describe_all([(t, p) for t in search.targets for p in covering.rules.get(t, [])])
 
     def _finish(self, rules: list[Rule], began: float, **facts) -> None:
         rules = [replace(r, origin=_origin(r)) for r in rules]
@@ -200,7 +200,7 @@ class ContrastSetRuleClassifier(RuleClassifier):
         search = ClassSearch(data, roles.features, contrast, self.params, weight, targets=classes)
         try:
             sets = find_contrast_sets(search, self.params, self.listeners)
-            rules = [search.describe(t, p) for t, p in sets]
+            rules = search.describe_all(sets)
             priors = {c: search.size[c] / search.everything for c in search.targets}
         finally:
             search.close()
@@ -306,14 +306,9 @@ class SurvivalRules(RuleModel):
             rules = self._learn(search, knowledge)
         finally:
             search.close()
-        rules = [replace(r, weight=1.0) for r in rules]
-        if rules:
-            tails = {r["rule_id"]: r["pvalue"] for r in survival_pvalue(data, rules, survival_time, label).collect()}
-            rules = [replace(r, pvalue=tails.get(i)) for i, r in enumerate(rules, 1)]
-        self.survival_time = survival_time
         self._finish(rules, began, target=label)
         # Curves go to the shared folder: predictions read them instead of the training table.
-        self.curves = written(rule_curves(data, self.model, survival_time, label), "curves")
+        self.curves = written(rule_curves(data, self.model, survival_time, label, search.time_bounds), "curves")
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:

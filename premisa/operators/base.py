@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 from premisa.functions import sqltext as q
 from premisa.functions.premise import quoted
 from premisa.operators.candidates import (
+    COARSE,
     MAX_BUCKETS,
     VALUES_PER_BUCKET,
     bucketize,
     column_facts,
     feature_kinds,
-    quantile_cuts,
+    fitting_bounds,
 )
 from premisa.plans.rules import Condition
 from premisa.session import written
 
-# A table that shrinks below this share when equal coded rows are merged is merged.
-MERGE_SHARE = 0.25
 # Up to this many rows the table is spread over all cores.
 SMALL_ROWS = 10_000_000
+# Aggregated cells (attribute, value) up to which one task finishes the candidate search.
+FEW_CELLS = 20_000
 
 
 class TrainingTable:
@@ -44,7 +45,6 @@ class TrainingTable:
         bins: int | None,
         extra: Mapping[str, Column],
         thresholds: Iterable[Condition] = (),
-        merge_on: Sequence[str] | None = None,
     ):
         self.features = list(features)
         self.numeric, self.nominal = feature_kinds(df, self.features)
@@ -62,13 +62,10 @@ class TrainingTable:
             codes = {a: f"__code_{i}" for i, a in enumerate(self.numeric)}
             plain = bucketize(plain, {c: cuts[a] for a, c in codes.items()}, {c: a for a, c in codes.items()})
             plain = plain.select(*[F.col(codes[a]).alias(a) if a in codes else quoted(a) for a in self.features], *extra)
-            if merge_on is not None:
-                plain = self._merge(plain, list(merge_on))
         else:
-            self.rows, self.distinct, _ = column_facts(plain, self.features, {})
-            parts = {a: 1 + self.distinct[a] // VALUES_PER_BUCKET for a in self.numeric}
-            if max(parts.values(), default=1) > 1:
-                self.bounds = quantile_cuts(plain, {a: min(MAX_BUCKETS, k) for a, k in parts.items()})
+            # Coarse quantiles ride along; only columns with very many distinct values need finer ones.
+            self.rows, self.distinct, coarse = column_facts(plain, self.features, dict.fromkeys(self.numeric, COARSE))
+            self.bounds = fitting_bounds(plain, {a: self.distinct[a] for a in self.numeric}, coarse)
         largest = max([self.distinct[a] for a in self.nominal], default=0)
         self.nominal_buckets = min(MAX_BUCKETS, 1 + largest // VALUES_PER_BUCKET)
         if self.rows <= SMALL_ROWS:
@@ -94,13 +91,14 @@ class TrainingTable:
     def two_level(self) -> bool:
         return any(self.bounds.values()) or self.nominal_buckets > 1
 
-    def _merge(self, plain: DataFrame, weights: list[str]) -> DataFrame:
-        """Merge equal rows into one with summed weights, when that shrinks the table."""
-        keys = [c for c in plain.columns if c not in weights]
-        kinds = plain.agg(F.approx_count_distinct(F.xxhash64(*[quoted(k) for k in keys]))).first()[0]
-        if kinds > MERGE_SHARE * self.rows:
-            return plain
-        return plain.groupBy(*[quoted(k) for k in keys]).agg(*[F.sum(w).alias(w) for w in weights])
+    def merge(self, keys: list[str], weight: str) -> None:
+        """Merge equal rows into one with their summed weight."""
+        before = self.df
+        self.df = before.groupBy(*[quoted(k) for k in keys]).agg(F.sum(weight).alias(weight)).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        self.df.count()  # filled before its source is released
+        before.unpersist()
 
     def coded(self, cond: Condition) -> Condition:
         """The condition on the stored columns."""
@@ -123,6 +121,13 @@ class TrainingTable:
             return cut
         return self.cuts[attr][int(cut) - 1]
 
+    def gather(self, cells: DataFrame) -> DataFrame:
+        """Few aggregated cells go to one task, which then sorts them without further shuffles.
+
+        Their number is bounded by attributes x cells, whatever the row count.
+        """
+        return cells.repartition(1) if self.cells <= FEW_CELLS else cells
+
     def replace_columns(self, columns: Mapping[str, Column]) -> None:
         """Write the table out with new columns, so the plan does not grow with the rule set."""
         fresh = written(self.df.withColumns(dict(columns)), "training")

@@ -23,6 +23,7 @@ from premisa.roles import NOMINAL, NUMERIC, attribute_types, label_text
 # Distinct values per window partition before prefix sums are split into two levels.
 VALUES_PER_BUCKET = 20_000
 MAX_BUCKETS = 2_000
+COARSE = 32
 INF = float("inf")
 
 
@@ -47,13 +48,6 @@ def bucketize(df: DataFrame, cuts: Mapping[str, Sequence[float]], outputs: Mappi
     return df.withColumns(rest) if rest else df
 
 
-def distinct_estimates(df: DataFrame, attrs: Sequence[str]) -> dict[str, int]:
-    if not attrs:
-        return {}
-    row = df.agg(*[F.approx_count_distinct(quoted(a)).alias(f"d{i}") for i, a in enumerate(attrs)]).first()
-    return {a: row[i] for i, a in enumerate(attrs)}
-
-
 def _quantile_exprs(parts: Mapping[str, int]) -> list[Column]:
     out = []
     for i, (a, k) in enumerate(parts.items()):
@@ -84,15 +78,21 @@ def column_facts(df: DataFrame, attrs: Sequence[str], parts: Mapping[str, int]):
     return row["rows"], {a: row[f"d{i}"] for i, a in enumerate(attrs)}, _inner_cuts(row, parts)
 
 
+def fitting_bounds(df: DataFrame, distinct: Mapping[str, int], coarse: Mapping[str, list[float]]) -> dict[str, list[float]]:
+    """Bucket bounds per column: none for few distinct values, the coarse quantiles, or finer ones."""
+    parts = {a: min(MAX_BUCKETS, 1 + d // VALUES_PER_BUCKET) for a, d in distinct.items()}
+    fine = {a: k for a, k in parts.items() if k > COARSE}
+    out = {a: coarse[a] if parts[a] > 1 else [] for a in distinct}
+    out.update(quantile_cuts(df, fine))
+    return out
+
+
 def value_buckets(df: DataFrame, attrs: Sequence[str], buckets: int | None = None) -> dict[str, list[float]]:
     """Bucket bounds for two-level prefix sums; none for attributes with few distinct values."""
-    if buckets is None:
-        parts = {
-            a: min(MAX_BUCKETS, 1 + d // VALUES_PER_BUCKET) for a, d in distinct_estimates(df, attrs).items()
-        }
-    else:
-        parts = {a: buckets for a in attrs}
-    return quantile_cuts(df, parts)
+    if buckets is not None:
+        return quantile_cuts(df, dict.fromkeys(attrs, buckets))
+    _, distinct, coarse = column_facts(df, attrs, dict.fromkeys(attrs, COARSE))
+    return fitting_bounds(df, distinct, coarse)
 
 
 def value_sums(
@@ -123,7 +123,7 @@ def value_sums(
             f"struct({q.text(a)} as attr, {bucket} as bucket, cast(null as double) as num, "
             f"cast({q.name(a)} as string) as nom)"
         )
-    long = df.selectExpr(*sums, f"inline(array({', '.join(cells)}))").where("num is not null or nom is not null")
+    long = df.selectExpr(*sums, f"inline(array({', '.join(cells)}))").where("(num is not null or nom is not null) and bucket is not null")
     return long.groupBy("attr", "bucket", "num", "nom").agg(*[F.sum(n).alias(n) for n in sums])
 
 

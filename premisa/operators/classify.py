@@ -18,8 +18,8 @@ from premisa.plans.rules import Condition, Rule, add_condition, at_least, equals
 
 # Classes whose counts share one job; more classes run in several jobs.
 CLASSES_PER_JOB = 16
-# Aggregated cells (attribute, value) up to which one task finishes the candidate search.
-FEW_CELLS = 20_000
+# Equal coded rows are merged when that leaves at most this share of the rows.
+MERGE_SHARE = 0.25
 # Conditions up to which one aggregate by outcome pattern (2^m rows at most) serves all of pruning.
 PATTERN_CONDITIONS = 12
 # Accepted rules after which the uncovered flag is written out.
@@ -50,11 +50,12 @@ class ClassSearch:
     ):
         self.params, self.label = params, label
         w = quoted(weight) if weight else F.lit(1.0)
-        self.table = TrainingTable(
-            df, features, params.bins, {"__y": quoted(label), "__w": w}, thresholds, merge_on=["__w"]
-        )
-        sizes = {r["__y"]: r["s"] for r in self.table.df.groupBy("__y").agg(F.sum("__w").alias("s")).collect()}
-        sizes = {k: v for k, v in sizes.items() if k is not None}
+        self.table = TrainingTable(df, features, params.bins, {"__y": quoted(label), "__w": w}, thresholds)
+        kinds = F.approx_count_distinct(F.xxhash64(*[quoted(a) for a in features])).alias("k")
+        found = self.table.df.groupBy("__y").agg(F.sum("__w").alias("s"), kinds).collect()
+        if self.table.approximate and sum(r["k"] for r in found) <= MERGE_SHARE * self.table.rows:
+            self.table.merge([*features, "__y"], "__w")
+        sizes = {r["__y"]: r["s"] for r in found if r["__y"] is not None}
         self.everything = sum(sizes.values())
         self.targets = list(targets) if targets else sorted(sizes)
         self.size = {t: sizes.get(t, 0.0) for t in self.targets}
@@ -153,10 +154,7 @@ class ClassSearch:
         cells = value_sums(
             rows, self.table.numeric, self.table.nominal, sums, self.table.bounds, self.table.nominal_buckets
         )
-        if self.table.cells <= FEW_CELLS:
-            # Bounded by attributes x cells whatever the row count: one task sorts them, two shuffles are saved.
-            cells = cells.repartition(1)
-        cells = cells.selectExpr("attr", "bucket", "num", "nom", f"inline(array_compact(array({', '.join(parts)})))")
+        cells = self.table.gather(cells).selectExpr("attr", "bucket", "num", "nom", f"inline(array_compact(array({', '.join(parts)})))")
         return split_candidates(
             cells, ["p", "c", "p_new"], ["target"], self.params.complementary_conditions,
             self.table.two_level, integral=self.table.approximate,
@@ -262,5 +260,8 @@ class ClassSearch:
         size = self.size[target]
         return Rule(premise, target=self.label, label=target, p=p, n=n, p_all=size, n_all=self.everything - size, **kw)
 
+    def describe_all(self, pairs: Sequence[tuple[str, Premise]]) -> list[Rule]:
+        return [self.describe(t, p) for t, p in pairs]
+
     def close(self) -> None:
         self.table.close()

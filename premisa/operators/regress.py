@@ -54,7 +54,7 @@ class RegressionSearch(SingleSearch):
             self.table.bounds, self.table.nominal_buckets,
         )
         cand = split_candidates(
-            cells, list(sums), (), self.params.complementary_conditions, self.table.two_level,
+            self.table.gather(cells), list(sums), (), self.params.complementary_conditions, self.table.two_level,
             integral=self.table.approximate,
         )
         spread = "sqrt(greatest(s2 / c - (s1 / c) * (s1 / c), 0D))"
@@ -178,6 +178,11 @@ class RegressionSearch(SingleSearch):
         rows = [(c["p"], c["n"], c["p_all"], c["n_all"]) for c in counts]
         return python_quality(self.params.pruning_measure, self.table.df.sparkSession, rows)
 
-    def describe(self, target: str, premise: Premise, **kw) -> Rule:
-        c = self.evaluate([premise], medians=not self.params.mean_based_regression)[0]
-        return Rule(premise, target=self.label, problem="regression", **c, **kw)
+    def describe(self, target: str, premise: Premise) -> Rule:
+        return self.describe_all([(target, premise)])[0]
+
+    def describe_all(self, pairs) -> list[Rule]:
+        """Conclusions and counts of all rules from two scans."""
+        premises = [p for _, p in pairs]
+        counts = self.evaluate(premises, medians=not self.params.mean_based_regression)
+        return [Rule(p, target=self.label, problem="regression", **c) for p, c in zip(premises, counts)]

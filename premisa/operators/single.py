@@ -12,6 +12,7 @@ from premisa.operators.candidates import best_by_quality, bucketize
 from premisa.operators.classify import RULES_PER_WRITE, candidate_condition
 from premisa.operators.covering import Premise, Step, climb
 from premisa.plans.params import InductionParams
+from premisa.plans.rules import Rule, add_condition
 
 TARGET = ""
 # Candidates per attribute whose second-pass statistics share one job.
@@ -25,7 +26,7 @@ class SingleSearch:
 
     def __init__(self, table: TrainingTable, params: InductionParams):
         self.table, self.params = table, params
-        self.everything = self._sum("true")
+        self.everything = float(table.df.agg(F.expr("coalesce(sum(__w), 0D)")).first()[0])
         self.targets = [TARGET]
         self.size = {TARGET: self.everything}
         self.adjust: Callable[[DataFrame], DataFrame] | None = None
@@ -36,6 +37,7 @@ class SingleSearch:
         self.pending: list[Premise] = []
         self.flagged = False  # whether the stored table carries the uncovered flag
         self._new: dict[Premise, float] = {}
+        self._covered: dict[Premise, float] = {(): self.everything}
 
     def total(self) -> float:
         return self.everything
@@ -51,9 +53,23 @@ class SingleSearch:
 
     def new_coverage(self, target: str, premise: Premise) -> float:
         if premise not in self._new:
-            self._new[premise] = self._sum(f"{self.table.holds_sql(premise)} and {self._open()}")
+            self._measure(premise)
         return self._new[premise]
 
+    def covered(self, premise: Premise) -> float:
+        if premise not in self._covered:
+            self._measure(premise)
+        return self._covered[premise]
+
+    def _measure(self, premise: Premise) -> None:
+        """Covered and newly covered weight of a premise the search has not met yet."""
+        hit = self.table.holds_sql(premise)
+        row = self.table.df.agg(
+            F.expr(f"coalesce(sum(if({hit}, __w, 0D)), 0D) as c"),
+            F.expr(f"coalesce(sum(if({hit} and {self._open()}, __w, 0D)), 0D) as f"),
+        ).first()
+        self._covered[premise], self._new[premise] = row["c"], row["f"]
+
     def accept(self, target: str, premise: Premise) -> float:
         new = self.new_coverage(target, premise)
         self.uncovered[TARGET] -= new
@@ -89,6 +105,8 @@ class SingleSearch:
         if winner is None:
             return {}
         n = winner["n"] if "n" in winner.asDict() else 1.0
+        grown = add_condition(premise, candidate_condition(winner, self.table))
+        self._covered[grown], self._new[grown] = winner["c"], winner["p_new"]
         return {TARGET: Step(candidate_condition(winner, self.table), winner["quality"], winner["c"], n, winner["p_new"])}
 
     def _passes(self, cand: DataFrame) -> Iterator[DataFrame]:
@@ -107,14 +125,6 @@ class SingleSearch:
     def _rank(row):
         return (-row["quality"], -row["p"], row["attr"], row["op"], row["cut"] or 0.0, row["value"] or "")
 
-    def covered(self, premise: Premise) -> float:
-        if not premise:
-            return self.everything
-        return self._sum(self.table.holds_sql(premise))
-
-    def _sum(self, condition: str) -> float:
-        return float(self.table.df.agg(F.expr(f"coalesce(sum(if({condition}, __w, 0D)), 0D)")).first()[0])
-
     # --- pruning -----------------------------------------------------------------------------
 
     def prune(self, premises: Mapping[str, Premise]) -> dict[str, Premise]:
@@ -123,6 +133,9 @@ class SingleSearch:
 
         return climb(premises, qualities)
 
+    def describe_all(self, pairs) -> list[Rule]:
+        return [self.describe(t, p) for t, p in pairs]
+
     def close(self) -> None:
         self.table.close()
 

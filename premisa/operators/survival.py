@@ -58,21 +58,27 @@ def _curve(cells: DataFrame, by: Sequence[str], two_level: bool) -> DataFrame:
     )
 
 
-def kaplan_meier(df: DataFrame, time: str, status: str, by: Sequence[str] = ()) -> DataFrame:
-    """One point per distinct time: time, events, censored, at_risk, prob (optionally per group)."""
+def kaplan_meier(df: DataFrame, time: str, status: str, by: Sequence[str] = (), bounds=None) -> DataFrame:
+    """One point per distinct time: time, events, censored, at_risk, prob (optionally per group).
+
+    ``bounds`` splits the time axis for two-level sums; by default it is split where that is needed.
+    """
     rows = df.select(*[quoted(b) for b in by], quoted(time).cast("double").alias("time"), event_flag(df, status).alias("event"))
     rows = rows.where("time is not null")
-    bounds = value_buckets(rows, ["time"])["time"]
+    if bounds is None:
+        bounds = value_buckets(rows, ["time"])["time"]
     return _curve(_time_cells(rows, list(by), bounds), list(by), bool(bounds))
 
 
-def rule_curves(df: DataFrame, ruleset, time: str, status: str) -> DataFrame:
+def rule_curves(df: DataFrame, ruleset, time: str, status: str, bounds=None) -> DataFrame:
     """Kaplan-Meier curve of the examples each rule covers, by rule_id; rule 0 is the whole table."""
     ids = F.concat(F.array(F.lit(0)), matching_ids(df, ruleset))
     rows = df.select(
         F.explode(ids).alias("rule_id"), quoted(time).cast("double").alias("time"), event_flag(df, status).alias("event")
     ).where("time is not null")
-    bounds = value_buckets(rows.where("rule_id = 0"), ["time"])["time"]
+    if bounds is None:
+        plain = df.select(quoted(time).cast("double").alias("time"))
+        bounds = value_buckets(plain, ["time"])["time"]
     return _curve(_time_cells(rows, ["rule_id"], bounds), ["rule_id"], bool(bounds))
 
 
@@ -91,12 +97,13 @@ def km_at(curve: DataFrame, t: float, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def risk_table(df: DataFrame, time: str, status: str) -> DataFrame:
+def risk_table(df: DataFrame, time: str, status: str, bounds=None) -> DataFrame:
     """Per distinct time of the whole table: the cumulated H, G, K of the module text."""
     rows = df.select(quoted(time).cast("double").alias("time"), event_flag(df, status).alias("event")).where(
         "time is not null"
     )
-    bounds = value_buckets(rows, ["time"])["time"]
+    if bounds is None:
+        bounds = value_buckets(rows, ["time"])["time"]
     cells = _time_cells(rows, [], bounds)
     bucket = "__b" if bounds else None
     risk = running_sums(cells, [], "time", ["leaving"], descending=True, bucket=bucket)
@@ -107,9 +114,9 @@ def risk_table(df: DataFrame, time: str, status: str) -> DataFrame:
     return run.select("time", F.col("cum_h").alias("H"), F.col("cum_g").alias("G"), F.col("cum_k").alias("K"))
 
 
-def with_risk(df: DataFrame, time: str, status: str) -> DataFrame:
+def with_risk(df: DataFrame, time: str, status: str, bounds=None) -> DataFrame:
     """Attach __event, __time, __H, __G, __K.  The risk table is aggregated to distinct times before the join."""
-    risk = risk_table(df, time, status).select(
+    risk = risk_table(df, time, status, bounds).select(
         F.col("time").alias("__time"), *[F.col(x).alias(f"__{x}") for x in "HGK"]
     )
     rows = df.withColumns({"__time": quoted(time).cast("double"), "__event": event_flag(df, status)})
@@ -127,11 +134,12 @@ def log_rank(df: DataFrame, ruleset, time: str, status: str) -> DataFrame:
     return log_rank_on(with_risk(df, time, status), ruleset)
 
 
-def log_rank_on(base: DataFrame, ruleset) -> DataFrame:
-    """The same on a table that already carries the risk columns of `with_risk`."""
+def log_rank_on(base: DataFrame, ruleset, bounds=None) -> DataFrame:
+    """The same on a table that already carries the risk columns; ``bounds`` are cuts of K."""
     hits = base.select(F.explode(matching_ids(base, _rules(ruleset))).alias("rule_id"), "__event", "__H", "__G", "__K")
     # Times with equal K cannot be told apart by the statistic, so K itself is the order.
-    bounds = value_buckets(base.select("__K"), ["__K"])["__K"]
+    if bounds is None:
+        bounds = value_buckets(base.select("__K"), ["__K"])["__K"]
     hits = bucketize(hits, {"__b": bounds}, {"__b": "__K"})
     cells = hits.groupBy("rule_id", "__b", "__K").agg(
         F.sum("__event").alias("o"), F.sum("__H").alias("e"), F.sum("__G").alias("v"),

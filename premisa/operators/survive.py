@@ -8,14 +8,25 @@ taken from (attribute, slot, K) cells, cut into stretches of K so that no task h
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premisa.functions.premise import quoted
+from premisa.functions.tails import chi2_upper_1df
 from premisa.operators.base import TrainingTable
-from premisa.operators.candidates import bucketize, distinct_estimates, quantile_cuts, split_candidates, value_sums
+from premisa.operators.candidates import (
+    bucketize,
+    column_facts,
+    quantile_cuts,
+    split_candidates,
+    value_buckets,
+    value_sums,
+)
 from premisa.operators.covering import Premise
 from premisa.operators.single import SingleSearch, Slots
 from premisa.operators.survival import log_rank_from_sums, log_rank_on, with_risk
@@ -37,12 +48,17 @@ class SurvivalSearch(SingleSearch):
         thresholds: Sequence[Condition] = (),
     ):
         self.label = status
-        rows = with_risk(df, time, status)
+        # The cleaned rows are read twice, for the risk table and for the join with it.
+        plain = df.select(*[quoted(c) for c in features], quoted(time), quoted(status)).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        self.time_bounds = value_buckets(plain, [time])[time]
+        rows = with_risk(plain, time, status, self.time_bounds)
         extra = {c: F.col(c) for c in ("__event", "__H", "__G", "__K")} | {"__w": F.lit(1.0)}
-        table = TrainingTable(rows, features, params.bins, extra, thresholds)
-        times = distinct_estimates(table.df, ["__K"])["__K"]
-        self.stretches = quantile_cuts(table.df, {"__K": 1 + times // TIMES_PER_STRETCH})["__K"]
-        super().__init__(table, params)
+        super().__init__(TrainingTable(rows, features, params.bins, extra, thresholds), params)
+        plain.unpersist()
+        _, times, _ = column_facts(self.table.df, ["__K"], {})
+        self.stretches = quantile_cuts(self.table.df, {"__K": 1 + times["__K"] // TIMES_PER_STRETCH})["__K"]
 
     def first_pass(self, premise: Premise) -> DataFrame:
         sums = {"c": "__w", "o": "__event", "e": "__H", "v": "__G", "p_new": f"if({self._open()}, __w, 0D)"}
@@ -51,7 +67,7 @@ class SurvivalSearch(SingleSearch):
             self.table.bounds, self.table.nominal_buckets,
         )
         cand = split_candidates(
-            cells, list(sums), (), self.params.complementary_conditions, self.table.two_level,
+            self.table.gather(cells), list(sums), (), self.params.complementary_conditions, self.table.two_level,
             integral=self.table.approximate,
         )
         return cand.selectExpr("*", "c as p")
@@ -126,11 +142,23 @@ class SurvivalSearch(SingleSearch):
             "attr", "stretch", F.lit(None).cast("double").alias("k"), "slot", "m"
         )
 
-    def variant_qualities(self, premises: Sequence[Premise]):
+    def log_ranks(self, premises: Sequence[Premise]) -> DataFrame:
         coded = [Rule(tuple(self.table.coded(c) for c in p)) for p in premises]
-        found = {r["rule_id"]: r["chi2"] for r in log_rank_on(self.table.df, coded).collect()}
+        return log_rank_on(self.table.df, coded, self.stretches)
+
+    def variant_qualities(self, premises: Sequence[Premise]):
+        found = {r["rule_id"]: r["chi2"] for r in self.log_ranks(premises).collect()}
         return [found.get(i + 1) for i in range(len(premises))]
 
-    def describe(self, target: str, premise: Premise, **kw) -> Rule:
+    def describe(self, target: str, premise: Premise) -> Rule:
         c = self.covered(premise)
-        return Rule(premise, target=self.label, problem="survival", p=c, n=0.0, p_all=self.everything, n_all=0.0, **kw)
+        return Rule(premise, target=self.label, problem="survival", p=c, n=0.0, p_all=self.everything, n_all=0.0, weight=1.0)
+
+    def describe_all(self, pairs) -> list[Rule]:
+        """Rules with their log-rank p-values, all from one job."""
+        rules = [self.describe(t, p) for t, p in pairs]
+        if not rules:
+            return []
+        tails = self.log_ranks([p for _, p in pairs]).select("rule_id", chi2_upper_1df(F.col("chi2")).alias("pvalue"))
+        found = {r["rule_id"]: r["pvalue"] for r in tails.collect()}
+        return [replace(r, pvalue=found.get(i)) for i, r in enumerate(rules, 1)]
