@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
+from premisa.operators.candidates import bucketize, value_buckets
 from premisa.operators.predict import covering_classes, covering_rules, predicted_class, signature, signature_curves
-from premisa.operators.survival import event_flag, kaplan_meier
 from premisa.operators.running import running_sums
+from premisa.operators.survival import event_flag, kaplan_meier
 from premisa.plans.rules import RuleSet
 from premisa.roles import label_text
 
@@ -138,11 +139,11 @@ def brier_curve(df: DataFrame, ruleset, curves: DataFrame, time: str, status: st
         quoted(time).cast("double").alias("time"),
         event_flag(df, status).alias("event"),
     ).where("time is not null")
-    censoring = kaplan_meier(rows.withColumn("gone", F.lit(1.0) - F.col("event")), "time", "gone")
-    w = Window.partitionBy(F.lit(0)).orderBy("time")
+    bounds = value_buckets(rows, ["time"])["time"]
     # Left limits weight the events, values at t those still at risk.
-    censoring = censoring.select(
-        "time", F.col("prob").alias("g"), F.coalesce(F.lag("prob").over(w), F.lit(1.0)).alias("g_left")
+    gone = rows.withColumn("gone", F.lit(1.0) - F.col("event"))
+    censoring = kaplan_meier(gone, "time", "gone", bounds=bounds).select(
+        "time", F.col("prob").alias("g"), F.col("prob_left").alias("g_left"), (F.col("events") + F.col("censored")).alias("k")
     )
     cells = rows.groupBy("signature", "time").agg(F.sum("event").alias("d"), F.count(F.lit(1)).cast("double").alias("m"))
     # After aggregation: one row per distinct signature and time.
@@ -171,18 +172,18 @@ def brier_curve(df: DataFrame, ruleset, curves: DataFrame, time: str, status: st
         "time", *[(F.col(c) - F.coalesce(F.lag(c).over(sw), F.lit(0.0))).alias(c) for c in ("u", "v")]
     )
     by_time = deltas.groupBy("time").agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
-    total = running_sums(by_time, [], "time", ["u", "v"])
-    sized = censoring.join(rows.groupBy("time").agg(F.count(F.lit(1)).cast("double").alias("k")), "time")
-    n = F.sum("k").over(Window.partitionBy(F.lit(0)))
-    sized = sized.select("time", "g", n.alias("n"))
+    by_time = bucketize(by_time, {"__b": bounds}, {"__b": "time"})
+    total = running_sums(by_time, [], "time", ["u", "v"], bucket="__b" if bounds else None)
+    n = censoring.agg(F.sum("k")).first()[0]  # one number
     at_risk_part = F.when(F.col("g") > 0, F.col("cum_v") / F.col("g")).otherwise(F.lit(0.0))
-    return total.join(sized, "time").select(
-        "time", ((F.col("cum_u") + at_risk_part) / F.col("n")).alias("brier")
-    )
+    return total.join(censoring, "time").select("time", ((F.col("cum_u") + at_risk_part) / F.lit(n)).alias("brier"))
 
 
 def integrated_brier_score(df: DataFrame, ruleset, curves: DataFrame, time: str, status: str) -> DataFrame:
-    """Area under the Brier curve from 0 to the last time, divided by the last time."""
+    """Area under the Brier curve from 0 to the last time, divided by the last time.
+
+    The window has one row per distinct time.
+    """
     curve = brier_curve(df, ruleset, curves, time, status)
     w = Window.partitionBy(F.lit(0)).orderBy("time")
     steps = curve.select("time", (F.col("brier") * (F.lead("time").over(w) - F.col("time"))).alias("area"))

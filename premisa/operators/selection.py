@@ -13,35 +13,48 @@ from pyspark.sql import functions as F
 from premisa.functions.premise import quoted
 from premisa.operators.candidates import bucketize, quantile_cuts
 
-# Value buckets that split a class's rows before ranking, so no task sorts a whole class.
-RANK_BUCKETS = 64
+# Rows one ranking window should hold, and the most buckets a user's own order is cut into.
+ROWS_PER_BUCKET = 100_000
+MAX_ORDER_BUCKETS = 2_000
 
 
 def _hash_order(key: Sequence[str], seed: int) -> Column:
     """A reproducible pseudo-random position in [0, 1) per row key."""
-    return (F.pmod(F.xxhash64(*[quoted(k) for k in key], F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52)))
+    return F.pmod(F.xxhash64(*[quoted(k) for k in key], F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
-def class_ranks(df: DataFrame, strata: Sequence[str], order: Column, tie: Sequence[str] = ()) -> DataFrame:
-    """Add __rank (0-based within the stratum) and __size, ranked by a numeric order key.
+def class_ranks(
+    df: DataFrame, strata: Sequence[str], key: Sequence[str], seed: int = 0, order: Column | None = None
+) -> DataFrame:
+    """Add __rank (0-based within the stratum) and __size, by a hash of the key or by a numeric order.
 
-    Two levels: rows are ranked inside value buckets of the order key, bucket sizes give the offsets.
+    Two levels: rows are ranked inside buckets of the order, bucket sizes give the offsets.  Hashes are
+    spread evenly, so their buckets are equal intervals, as many as the row count asks for.
     """
-    rows = df.withColumn("__order", order.cast("double"))
-    cuts = quantile_cuts(rows, {"__order": RANK_BUCKETS})["__order"]
-    rows = bucketize(rows, {"__bucket": cuts}, {"__bucket": "__order"})
+    parts = 1 + df.count() // ROWS_PER_BUCKET
+    if order is None:
+        rows = df.withColumn("__order", _hash_order(key, seed))
+        rows = rows.withColumn("__bucket", F.floor(F.col("__order") * F.lit(parts)))
+    else:
+        rows = df.withColumn("__order", order.cast("double"))
+        cuts = quantile_cuts(rows, {"__order": min(MAX_ORDER_BUCKETS, parts)})["__order"]
+        rows = bucketize(rows, {"__bucket": cuts}, {"__bucket": "__order"})
     sizes = rows.groupBy(*strata, "__bucket").agg(F.count(F.lit(1)).alias("__m"))
     whole = Window.partitionBy(*(strata or [F.lit(0)]))
     before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *strata,
-        "__bucket",
+        *[quoted(c).alias(f"__s_{i}") for i, c in enumerate(strata)],
+        F.col("__bucket").alias("__b"),
         F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__offset"),
         F.sum("__m").over(whole).alias("__size"),
     )
-    inside = Window.partitionBy(*strata, "__bucket").orderBy("__order", *tie)
-    ranked = rows.withColumn("__in", F.row_number().over(inside) - 1).join(offsets, [*strata, "__bucket"])
-    return ranked.withColumn("__rank", F.col("__offset") + F.col("__in")).drop("__in", "__offset", "__bucket", "__order")
+    inside = Window.partitionBy(*strata, "__bucket").orderBy("__order", *key)
+    # Null-safe keys: rows without a stratum value are ranked among themselves, not lost.
+    keys = [F.col("__bucket").eqNullSafe(F.col("__b"))]
+    keys += [quoted(c).eqNullSafe(F.col(f"__s_{i}")) for i, c in enumerate(strata)]
+    ranked = rows.withColumn("__in", F.row_number().over(inside) - 1).join(offsets, keys)
+    ranked = ranked.withColumn("__rank", F.col("__offset") + F.col("__in"))
+    return ranked.drop("__in", "__offset", "__bucket", "__b", "__order", *[f"__s_{i}" for i in range(len(strata))])
 
 
 def train_test_split(
@@ -54,7 +67,7 @@ def train_test_split(
 ) -> DataFrame:
     """Add ``is_test``: the first fraction of every stratum in a reproducible order."""
     strata = [stratify] if stratify else []
-    ranked = class_ranks(df, strata, _hash_order(key, seed) if order is None else order, key)
+    ranked = class_ranks(df, strata, key, seed, order)
     is_test = F.col("__rank") < F.floor(F.col("__size") * F.lit(float(test_fraction)))
     return ranked.withColumn("is_test", is_test.cast("int")).drop("__rank", "__size")
 
@@ -63,7 +76,7 @@ def stratified_kfold(
     df: DataFrame, folds: int, label: str, key: Sequence[str], seed: int = 0, order: Column | None = None
 ) -> DataFrame:
     """Add ``fold`` in 0..k-1: round robin within each class."""
-    ranked = class_ranks(df, [label], _hash_order(key, seed) if order is None else order, key)
+    ranked = class_ranks(df, [label], key, seed, order)
     return ranked.withColumn("fold", F.pmod(F.col("__rank"), F.lit(folds)).cast("int")).drop("__rank", "__size")
 
 

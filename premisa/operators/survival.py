@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
@@ -55,11 +55,15 @@ def _curve(cells: DataFrame, by: Sequence[str], two_level: bool) -> DataFrame:
         (F.col("leaving") - F.col("events")).alias("censored"),
         "at_risk",
         F.when(F.col("cum___z") > 0, F.lit(0.0)).otherwise(F.exp("cum___f")).alias("prob"),
+        # The value just before this time, from the same running sums.
+        F.when(F.col("cum___z") > F.col("__z"), F.lit(0.0)).otherwise(F.exp(F.col("cum___f") - F.col("__f"))).alias(
+            "prob_left"
+        ),
     )
 
 
 def kaplan_meier(df: DataFrame, time: str, status: str, by: Sequence[str] = (), bounds=None) -> DataFrame:
-    """One point per distinct time: time, events, censored, at_risk, prob (optionally per group).
+    """One point per distinct time: events, censored, at_risk, prob and prob_left (just before), per group.
 
     ``bounds`` splits the time axis for two-level sums; by default it is split where that is needed.
     """
@@ -164,7 +168,4 @@ def log_rank_on(base: DataFrame, ruleset, bounds=None) -> DataFrame:
 
 def curve_jumps(curves: DataFrame, by: Sequence[str]) -> DataFrame:
     """Changes of probability: (by, time, jump); a curve is 1 plus the sum of its jumps up to t."""
-    w = Window.partitionBy(*by).orderBy("time")
-    return curves.select(
-        *by, "time", (F.col("prob") - F.coalesce(F.lag("prob").over(w), F.lit(1.0))).alias("jump")
-    )
+    return curves.select(*by, "time", (F.col("prob") - F.col("prob_left")).alias("jump"))

@@ -13,7 +13,7 @@ from dataclasses import replace
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
@@ -34,7 +34,9 @@ from premisa.plans.params import InductionParams
 from premisa.plans.rules import Condition, Rule
 
 # Distinct event times handled by one task of the second pass.
-TIMES_PER_STRETCH = 2_000
+TIMES_PER_STRETCH = 10_000
+
+_FIRST_PASS = ("op", "cut", "value", "c", "o", "e", "v", "p_new")
 
 
 class SurvivalSearch(SingleSearch):
@@ -81,15 +83,15 @@ class SurvivalSearch(SingleSearch):
         cells = cells.groupBy("attr", "stretch", "k", "slot").agg(F.count(F.lit(1)).cast("double").alias("m"))
         if self.stretches:
             # Those still at risk after a stretch enter it as one extra row per slot.
-            ends = cells.groupBy("attr", "slot", "stretch").agg(F.sum("m").alias("m"))
-            ends = self._after(ends)
-            cells = cells.unionByName(ends)
+            cells = cells.unionByName(self._after(cells))
         plans = {
             a: (slots.slot_count(a),
-                [(i0, i1, inv, r["op"], r["cut"], r["value"]) for r, i0, i1, inv in slots.spans(a)])
+                [(i0, i1, inv, tuple(r[c] for c in _FIRST_PASS)) for r, i0, i1, inv in slots.spans(a)])
             for a in slots.by_attr
         }
 
+        columns = ["attr", *_FIRST_PASS, "q"]
+
         def squares(pdf: pd.DataFrame) -> pd.DataFrame:
             attr = pdf["attr"].iloc[0]
             n_slots, entries = plans[attr]
@@ -104,42 +106,41 @@ class SurvivalSearch(SingleSearch):
             out = []
             edge = np.concatenate([np.zeros((len(ks), 1)), at_risk.cumsum(axis=1)], axis=1)
             gone = np.concatenate([np.zeros((len(ks), 1)), leaving.cumsum(axis=1)], axis=1)
-            for i0, i1, inv, op, cut, value in entries:
+            for i0, i1, inv, first in entries:
                 n1, m = edge[:, i1] - edge[:, i0], gone[:, i1] - gone[:, i0]
                 if inv:
                     n1, m = edge[:, -1] - n1, gone[:, -1] - m
-                out.append((attr, op, cut, value, float((ks * (n1**2 - (n1 - m) ** 2)).sum())))
-            return pd.DataFrame(out, columns=["attr", "op", "cut", "value", "q"])
+                out.append((attr, *first, float((ks * (n1**2 - (n1 - m) ** 2)).sum())))
+            return pd.DataFrame(out, columns=columns)
 
         # One group per (attribute, stretch): at most TIMES_PER_STRETCH x slots cells.
         parts = cells.groupBy("attr", "stretch").applyInPandas(
-            squares, "attr string, op string, cut double, value string, q double"
-        )
-        quadratic = parts.groupBy("attr", "op", "cut", "value").agg(F.sum("q").alias("q"))
-        spark = self.table.df.sparkSession
-        first = spark.createDataFrame(
-            [(r["attr"], r["op"], r["cut"], r["value"], r["c"], r["o"], r["e"], r["v"], r["p_new"]) for r in rows],
-            "attr string, op string, cut double, value string, c double, o double, e double, v double, p_new double",
+            squares,
+            "attr string, op string, cut double, value string, c double, o double, e double, v double, p_new double, q double",
         )
-        same = [F.col(f"a.{x}").eqNullSafe(F.col(f"b.{x}")) for x in ("cut", "value")]
-        both = first.alias("a").join(
-            quadratic.alias("b"), [F.col("a.attr") == F.col("b.attr"), F.col("a.op") == F.col("b.op"), *same]
-        )
-        return both.select(
-            F.lit("").alias("target"), "a.attr", "a.op", "a.cut", "a.value", "a.c", "a.p_new", F.col("a.c").alias("p"),
-            # Rounded: complementary conditions tie exactly, whatever the order of summation.
-            F.round(log_rank_from_sums(F.col("a.o"), F.col("a.e"), F.col("a.v"), F.col("b.q")), 9).alias("quality"),
+        whole = parts.groupBy("attr", *_FIRST_PASS).agg(F.sum("q").alias("q"))
+        # Rounded: complementary conditions tie exactly, whatever the order of summation.
+        chi2 = F.round(log_rank_from_sums(F.col("o"), F.col("e"), F.col("v"), F.col("q")), 9)
+        return whole.select(
+            F.lit("").alias("target"), "attr", "op", "cut", "value", "c", "p_new", F.col("c").alias("p"),
+            chi2.alias("quality"),
         )
 
     @staticmethod
-    def _after(ends: DataFrame) -> DataFrame:
-        """Sum over later stretches, per (attr, slot, stretch), also where a slot is empty."""
-        every = ends.groupBy("attr").agg(F.collect_set("stretch").alias("all"))  # a handful per attribute
-        spread = ends.join(every, "attr").select(
-            "attr", "slot", F.explode(F.filter("all", lambda s: s < F.col("stretch"))).alias("s"), "m"
-        )
-        return spread.groupBy("attr", F.col("s").alias("stretch"), "slot").agg(F.sum("m").alias("m")).select(
-            "attr", "stretch", F.lit(None).cast("double").alias("k"), "slot", "m"
+    def _after(cells: DataFrame) -> DataFrame:
+        """Per (attr, stretch, slot): the examples of later stretches, also where a slot has none of its own.
+
+        A running total from stretch s on holds for every stretch from the slot's previous one up to s - 1.
+        """
+        ends = cells.groupBy("attr", "slot", "stretch").agg(F.sum("m").alias("m"))
+        w = Window.partitionBy("attr", "slot").orderBy("stretch")
+        later = F.sum("m").over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        ends = ends.select(
+            "attr", "slot", "stretch", later.alias("m"), F.coalesce(F.lag("stretch").over(w), F.lit(0)).alias("start")
+        ).where("stretch > start")
+        return ends.select(
+            "attr", F.explode(F.sequence("start", F.col("stretch") - 1)).alias("stretch"),
+            F.lit(None).cast("double").alias("k"), "slot", "m",
         )
 
     def log_ranks(self, premises: Sequence[Premise]) -> DataFrame:

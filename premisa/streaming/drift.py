@@ -19,6 +19,8 @@ def rule_drift(
 ) -> DataFrame:
     """(window_start, rule_id, p, n, precision); with a watermark late windows are closed and dropped."""
     rules = _rules(ruleset)
+    # Event time must be an instant: zone-less timestamps are read in the session's zone.
+    df = df.withColumn(ts, quoted(ts).cast("timestamp"))
     if watermark is not None:
         df = df.withWatermark(ts, watermark)
     concluded = F.element_at(F.array(*[F.lit(r.label) for r in rules]), F.col("rule_id"))

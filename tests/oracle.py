@@ -67,12 +67,15 @@ def _same(x, y):
     return x == y and (type(x) is type(y))
 
 
-def session():
+def session(cores: int = 8, codegen: bool = True):
+    """Without code generation tiny inputs run faster: nothing is compiled per query."""
     from pyspark.sql import SparkSession
 
     spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.codegen.wholeStage", str(codegen).lower())
+        .config("spark.sql.codegen.factoryMode", "FALLBACK" if codegen else "NO_CODEGEN")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
