@@ -24,7 +24,15 @@ from premisa.operators.expert import ExpertInduction, Knowledge
 from premisa.operators.matching import coverage_matrix
 from premisa.operators.predict import predict_class, predict_proba, predict_survival, predict_value
 from premisa.operators.regress import RegressionSearch
-from premisa.operators.statistics import regression_pvalue, rule_stats, ruleset_stats, voting_weight
+from premisa.operators.statistics import (
+    regression_pvalue,
+    rule_stats,
+    ruleset_stats,
+    significance,
+    significance_fdr,
+    significance_fwer,
+    voting_weight,
+)
 from premisa.operators.survival import rule_curves
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import ContrastParams, ExpertParams, InductionParams
@@ -69,6 +77,16 @@ class RuleModel:
         model = self._fitted()
         return ruleset_stats(model.rules_table(spark), model.conditions_table(spark))
 
+    def summary(self, spark) -> dict:
+        """All rule set statistics: sizes, means, timings and significance with both corrections."""
+        model = self._fitted()
+        out = {k: getattr(model, k) for k in ("time_total_s", "time_growing_s", "time_pruning_s")}
+        out.update(self.statistics(spark).first().asDict())
+        rules = model.rules_table(spark).where("pvalue is not null")
+        for table in (significance(rules), significance_fdr(rules), significance_fwer(rules)):
+            out.update(table.first().asDict())
+        return out
+
     def save(self, spark, path: str) -> None:
         save_ruleset(spark, self._fitted(), path, self.curves)
 
@@ -308,7 +326,7 @@ class SurvivalRules(RuleModel):
             search.close()
         self._finish(rules, began, target=label)
         # Curves go to the shared folder: predictions read them instead of the training table.
-        self.curves = written(rule_curves(data, self.model, survival_time, label, search.time_bounds), "curves")
+        self.curves = written(rule_curves(data, self.model, survival_time, label), "curves")
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:

@@ -43,6 +43,8 @@ def predicted_class(df: DataFrame, ruleset: RuleSet) -> Column:
     options = []
     for i, (c, (covered, vote)) in enumerate(class_votes(df, ruleset).items()):
         options.append(F.when(covered, F.struct(vote.alias("v"), F.lit(-i).alias("i"), F.lit(c).alias("c"))))
+    if not options:
+        return F.lit(ruleset.default_label)
     best = options[0] if len(options) == 1 else F.greatest(*options)
     out = F.coalesce(best["c"], F.lit(ruleset.default_label))
     return out.cast("double") if ruleset.numeric_label else out
@@ -104,7 +106,8 @@ def signature_curves(signatures: DataFrame, curves: DataFrame) -> DataFrame:
 def predict_survival(df: DataFrame, ruleset, curves: DataFrame, output: str = "prediction") -> DataFrame:
     """Every row with its curve as array<struct<time, prob>>.
 
-    The join is by signature; distinct signatures are few, AQE broadcasts them when they are small.
+    The join is by signature.  AQE broadcasts the curves when they are small and splits a hot signature
+    otherwise; nothing is hinted, since their size grows with rules and times.
     """
     rows = df.withColumn("signature", signature(df, ruleset))
     points = signature_curves(rows, curves).groupBy("signature").agg(

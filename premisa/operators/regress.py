@@ -71,15 +71,17 @@ class RegressionSearch(SingleSearch):
         codes = {f"__label_{i}": a for i, a in enumerate(slots.by_attr)}
         df = bucketize(df, {c: ends[a] for c, a in codes.items()}, {c: "__y" for c in codes})
         inside = self.table.holds(premise)
+
+        def place(a):
+            at = F.when(inside, F.coalesce(slot[a], F.lit(OUTSIDE))).otherwise(F.lit(OUTSIDE))
+            # Ignoring missing values means that such rows take no part for this attribute.
+            return F.when(slot[a].isNotNull(), at) if self.params.ignore_missing else at
+
         cells = [
-            F.struct(
-                F.lit(a).alias("attr"),
-                F.when(inside, F.coalesce(slot[a], F.lit(OUTSIDE))).otherwise(F.lit(OUTSIDE)).cast("int").alias("slot"),
-                F.col(c).alias("code"),
-            )
+            F.struct(F.lit(a).alias("attr"), place(a).cast("int").alias("slot"), F.col(c).alias("code"))
             for c, a in codes.items()
         ]
-        grid = df.select("__w", F.inline(F.array(*cells))).groupBy("attr", "slot", "code").agg(F.sum("__w").alias("w"))
+        grid = df.select("__w", F.inline(F.array(*cells))).where("slot is not null").groupBy("attr", "slot", "code").agg(F.sum("__w").alias("w"))
         plans = {
             a: (
                 slots.slot_count(a),
@@ -109,17 +111,15 @@ class RegressionSearch(SingleSearch):
                 p = band[i1] - band[i0]
                 p = band[-1] - p if inv else p
                 p_all = across[:, c1].sum() - across[:, c0].sum()
-                out.append((attr, op, cut, value, c, new, p, p_all))
-            return pd.DataFrame(out, columns=["attr", "op", "cut", "value", "c", "p_new", "p", "p_all"])
+                out.append((attr, op, cut, value, c, new, p, p_all, grid.sum() - p_all))
+            return pd.DataFrame(out, columns=["attr", "op", "cut", "value", "c", "p_new", "p", "p_all", "n_all"])
 
         # One group per attribute, bounded by slots x codes of this pass.
         scored = grid.groupBy("attr").applyInPandas(
             rectangles,
-            "attr string, op string, cut double, value string, c double, p_new double, p double, p_all double",
-        )
-        scored = scored.withColumn("n", F.col("c") - F.col("p")).withColumn(
-            "n_all", F.lit(self.everything) - F.col("p_all")
+            "attr string, op string, cut double, value string, c double, p_new double, p double, p_all double, n_all double",
         )
+        scored = scored.withColumn("n", F.col("c") - F.col("p"))
         args = [F.col(x) for x in ("p", "n", "p_all", "n_all")]
         return scored.withColumn("quality", quality(self.params.induction_measure, *args)).withColumn(
             "target", F.lit("")

@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
-from premisa.operators.candidates import bucketize, value_buckets
+from premisa.operators.candidates import COARSE, bucketize, column_facts, fitting_bounds, value_buckets
 from premisa.operators.matching import _rules, matching_ids
 from premisa.operators.running import running_sums
 
+# Distinct times up to which the risk table (32 bytes per time) is broadcast; beyond, AQE joins it.
+BROADCAST_TIMES = 500_000
+
 
 def event_flag(df: DataFrame, status: str) -> Column:
     """Event indicator from a numeric, boolean or text status (1 / 1.0 / true mean an event)."""
@@ -118,11 +121,15 @@ def risk_table(df: DataFrame, time: str, status: str, bounds=None) -> DataFrame:
     return run.select("time", F.col("cum_h").alias("H"), F.col("cum_g").alias("G"), F.col("cum_k").alias("K"))
 
 
-def with_risk(df: DataFrame, time: str, status: str, bounds=None) -> DataFrame:
+def with_risk(df: DataFrame, time: str, status: str) -> DataFrame:
     """Attach __event, __time, __H, __G, __K.  The risk table is aggregated to distinct times before the join."""
+    _, distinct, coarse = column_facts(df, [time], {time: COARSE})
+    bounds = fitting_bounds(df, distinct, coarse)[time]
     risk = risk_table(df, time, status, bounds).select(
         F.col("time").alias("__time"), *[F.col(x).alias(f"__{x}") for x in "HGK"]
     )
+    if distinct[time] <= BROADCAST_TIMES:
+        risk = F.broadcast(risk)
     rows = df.withColumns({"__time": quoted(time).cast("double"), "__event": event_flag(df, status)})
     return rows.where("__time is not null").join(risk, "__time")
 

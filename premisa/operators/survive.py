@@ -24,7 +24,6 @@ from premisa.operators.candidates import (
     column_facts,
     quantile_cuts,
     split_candidates,
-    value_buckets,
     value_sums,
 )
 from premisa.operators.covering import Premise
@@ -54,8 +53,7 @@ class SurvivalSearch(SingleSearch):
         plain = df.select(*[quoted(c) for c in features], quoted(time), quoted(status)).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-        self.time_bounds = value_buckets(plain, [time])[time]
-        rows = with_risk(plain, time, status, self.time_bounds)
+        rows = with_risk(plain, time, status)
         extra = {c: F.col(c) for c in ("__event", "__H", "__G", "__K")} | {"__w": F.lit(1.0)}
         super().__init__(TrainingTable(rows, features, params.bins, extra, thresholds), params)
         plain.unpersist()

@@ -75,28 +75,31 @@ def test_first_condition_is_the_best(small, rows, ignore_missing):
     search.close()
 
 
-def regression_quality(y, hit):
+def regression_quality(y, hit, there):
     mean, spread = y[hit].mean(), y[hit].std()
     near = np.abs(y - mean) <= spread
-    p, P = (hit & near).sum(), near.sum()
-    return correlation(float(p), float(hit.sum() - p), float(P), float(len(y) - P))
+    p, P = (hit & near).sum(), (near & there).sum()
+    return correlation(float(p), float(hit.sum() - p), float(P), float(there.sum() - P))
 
 
-@pytest.mark.parametrize("per_pass", [256, 150])
-def test_regression_step_is_exact(small, rows, per_pass, monkeypatch):
-    """Also when the candidates are split over many second passes."""
+@pytest.mark.parametrize("per_pass,ignore", [(256, False), (150, True)])
+def test_regression_step_is_exact(small, rows, per_pass, ignore, monkeypatch):
+    """Also when the candidates are split over several second passes, and when missing values are ignored."""
     monkeypatch.setattr(single, "CANDIDATES_PER_PASS", per_pass)
-    params = InductionParams(minsupp_new=10, complementary_conditions=True)
+    params = InductionParams(minsupp_new=10, complementary_conditions=True, ignore_missing=ignore)
     search = RegressionSearch(example_set(small, "y", features=FEATURES, key=["value"]), FEATURES, "value", params)
     step = search.best({"": ()})[""]
     y = rows["value"].to_numpy()
-    values = [regression_quality(y, hit) for _, hit in options(rows) if 10 <= hit.sum() < len(y)]
+    there = {a: rows[a].notna().to_numpy() if ignore else np.ones(len(y), bool) for a in FEATURES}
+    values = [regression_quality(y, hit, there[a]) for (_, a, _), hit in options(rows) if 10 <= hit.sum() < len(y)]
     assert step.quality == pytest.approx(max(v for v in values if v is not None), abs=1e-9)
     # A second condition, given the first.
     inside = {"a": less("a", 6)}
     step = search.best({"": (inside["a"],)})[""]
     start = (rows["a"] < 6).to_numpy()
-    values = [regression_quality(y, hit & start) for _, hit in options(rows) if 10 <= (hit & start).sum() < start.sum()]
+    values = [
+        regression_quality(y, hit & start, there[a]) for (_, a, _), hit in options(rows) if 10 <= (hit & start).sum() < start.sum()
+    ]
     assert step.quality == pytest.approx(max(v for v in values if v is not None), abs=1e-9)
     search.close()
 
@@ -383,6 +386,14 @@ def test_contrast_sets(small):
     assert {r[0] for r in timed.curves.select("rule_id").distinct().collect()} == set(range(len(timed.model) + 1))
 
 
+def test_empty_table(small):
+    nothing = small.where("id < 0")
+    model = RuleClassifier().fit(nothing, "y", features=FEATURES)
+    assert len(model.model) == 0 and model.predict(small).where("prediction is not null").count() == 0
+    assert len(RuleRegressor().fit(nothing, "value", features=FEATURES).model) == 0
+    assert len(SurvivalRules().fit(nothing, "died", "days", features=FEATURES).model) == 0
+
+
 def test_classifier_round_trip(spark, small, tmp_path):
     model = RuleClassifier(minsupp_new=5, max_growing=2, max_rule_count=2).fit(small, "y", features=FEATURES)
     before = {r["id"]: r["prediction"] for r in model.predict(small).collect()}
@@ -391,4 +402,6 @@ def test_classifier_round_trip(spark, small, tmp_path):
         model = RuleClassifier.load(spark, str(tmp_path / f"m{i}"))
     assert {r["id"]: r["prediction"] for r in model.predict(small).collect()} == before
     row = model.statistics(spark).first()
+    summary = model.summary(spark)
+    assert 0 <= summary["p_fraction"] <= 1 and summary["fwer_mean"] >= summary["fdr_mean"] >= summary["p_mean"]
     assert row["rules_count"] == len(model.model) and isinstance(model.model, RuleSet) and isinstance(model.model.rules[0], Rule)
