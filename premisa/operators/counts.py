@@ -48,37 +48,36 @@ def contingency(df: DataFrame, ruleset, label: str, weight: str | None = None) -
 
 
 def _contingency_long(df, rules, y, w):
-    """The same through the match table: one aggregate by (rule, label), combined on the map side."""
+    """The same through the match table: one scan, one aggregate by (rule, label), combined on the map side."""
     spark = df.sparkSession
     heads = spark.createDataFrame([(i, r.label) for i, r in enumerate(rules, 1)], "rule_id int, label string")
-    # The totals per class ride along as rule 0.
+    # The whole table rides along as rule 0; a zero row per rule keeps rules that cover nothing.
     ids = F.concat(F.array(F.lit(0)), matching_ids(df, rules))
     cells = df.select(F.explode(ids).alias("rule_id"), y.alias("y"), w.alias("w"))
     cells = cells.groupBy("rule_id", "y").agg(F.sum("w").alias("w"))
-    # One row per class: the grand total by a window over these few rows.
-    every = Window.partitionBy(F.lit(0))
-    per_class = (
-        cells.where("rule_id = 0")
-        .select("y", F.col("w").alias("l"), F.sum("w").over(every).alias("t"))
-        .join(heads.select("label").distinct(), F.col("label") == F.col("y"), "right")
-        .select("label", F.coalesce("l", F.lit(0.0)).alias("p_all"), F.max("t").over(every).alias("t"))
-    )
-    per_rule = cells.where("rule_id > 0").join(F.broadcast(heads), "rule_id").groupBy("rule_id").agg(
-        F.sum(F.when(F.col("y") == F.col("label"), F.col("w")).otherwise(0.0)).alias("p"), F.sum("w").alias("c")
+    cells = cells.unionByName(
+        heads.select("rule_id", F.lit(None).cast("string").alias("y"), F.lit(0.0).alias("w"))
     )
-    zero = F.lit(0.0)
-    return (
-        heads.join(per_rule, "rule_id", "left")
-        .join(F.broadcast(per_class), "label")
-        .select(
-            "rule_id",
-            "label",
-            F.coalesce("p", zero).alias("p"),
-            (F.coalesce("c", zero) - F.coalesce("p", zero)).alias("n"),
-            "p_all",
-            (F.coalesce("t", zero) - F.col("p_all")).alias("n_all"),
+    # From here on there are rules x classes rows; the class totals reach every rule by a window.
+    every = Window.partitionBy(F.lit(0))
+    whole = F.when(F.col("rule_id") == 0, F.struct("y", "w"))
+    cells = cells.withColumn("totals", F.collect_list(whole).over(every)).where("rule_id > 0")
+    own = F.expr("aggregate(filter(totals, x -> x.y = label), 0D, (s, x) -> s + x.w)")
+    total = F.expr("aggregate(totals, 0D, (s, x) -> s + x.w)")
+    per_rule = (
+        cells.join(F.broadcast(heads), "rule_id")
+        .select("rule_id", "label", "y", "w", own.alias("p_all"), total.alias("t"))
+        .groupBy("rule_id", "label")
+        .agg(
+            F.sum(F.when(F.col("y") == F.col("label"), F.col("w")).otherwise(0.0)).alias("p"),
+            F.sum("w").alias("c"),
+            F.max("p_all").alias("p_all"),
+            F.max("t").alias("t"),
         )
     )
+    return per_rule.select(
+        "rule_id", "label", "p", (F.col("c") - F.col("p")).alias("n"), "p_all", (F.col("t") - F.col("p_all")).alias("n_all")
+    )
 
 
 def weighted_contingency(df: DataFrame, ruleset, label: str, weight: str) -> DataFrame:

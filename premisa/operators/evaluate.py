@@ -9,9 +9,10 @@ from premisa.functions.premise import quoted
 from premisa.operators.candidates import bucketize, value_buckets
 from premisa.operators.predict import covering_classes, covering_rules, predicted_class, signature, signature_curves
 from premisa.operators.running import running_sums
-from premisa.operators.survival import event_flag, kaplan_meier
+from premisa.operators.survival import curve_from_counts, event_flag
 from premisa.plans.rules import RuleSet
 from premisa.roles import label_text
+from premisa.session import written
 
 
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -139,19 +140,20 @@ def brier_curve(df: DataFrame, ruleset, curves: DataFrame, time: str, status: st
         quoted(time).cast("double").alias("time"),
         event_flag(df, status).alias("event"),
     ).where("time is not null")
-    bounds = value_buckets(rows, ["time"])["time"]
+    counts = rows.groupBy("signature", "time").agg(F.sum("event").alias("d"), F.count(F.lit(1)).cast("double").alias("m"))
+    # The only scan of the examples.  Everything below works on this table of signatures and times.
+    counts = written(counts, "brier")
+    bounds = value_buckets(counts, ["time"])["time"]
     # Left limits weight the events, values at t those still at risk.
-    gone = rows.withColumn("gone", F.lit(1.0) - F.col("event"))
-    censoring = kaplan_meier(gone, "time", "gone", bounds=bounds).select(
+    gone = counts.groupBy("time").agg(F.sum(F.col("m") - F.col("d")).alias("events"), F.sum("m").alias("leaving"))
+    censoring = curve_from_counts(gone, bounds).select(
         "time", F.col("prob").alias("g"), F.col("prob_left").alias("g_left"), (F.col("events") + F.col("censored")).alias("k")
     )
-    cells = rows.groupBy("signature", "time").agg(F.sum("event").alias("d"), F.count(F.lit(1)).cast("double").alias("m"))
-    # After aggregation: one row per distinct signature and time.
-    cells = cells.join(censoring, "time").select(
+    cells = counts.join(censoring, "time").select(
         "signature", "time", "m", (F.col("d") / F.nullif(F.col("g_left"), F.lit(0.0))).alias("a"), F.lit(0.0).alias("jump")
     )
-    sizes = cells.groupBy("signature").agg(F.sum("m").alias("size"))
-    steps = signature_curves(rows, curves)
+    sizes = counts.groupBy("signature").agg(F.sum("m").alias("size"))
+    steps = signature_curves(counts, curves)
     sw = Window.partitionBy("signature").orderBy("time")
     steps = steps.select(
         "signature", "time", F.lit(0.0).alias("m"), F.lit(0.0).alias("a"),

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
@@ -41,6 +41,11 @@ def _time_cells(rows: DataFrame, by: Sequence[str], bounds) -> DataFrame:
     )
 
 
+def curve_from_counts(counts: DataFrame, bounds) -> DataFrame:
+    """A curve from (time, events, leaving) rows, one per distinct time."""
+    return _curve(bucketize(counts, {"__b": bounds}, {"__b": "time"}), [], bool(bounds))
+
+
 def _curve(cells: DataFrame, by: Sequence[str], two_level: bool) -> DataFrame:
     bucket = "__b" if two_level else None
     risk = running_sums(cells, by, "time", ["leaving"], descending=True, bucket=bucket)
@@ -114,9 +119,8 @@ def risk_table(df: DataFrame, time: str, status: str, bounds=None) -> DataFrame:
     cells = _time_cells(rows, [], bounds)
     bucket = "__b" if bounds else None
     risk = running_sums(cells, [], "time", ["leaving"], descending=True, bucket=bucket)
-    d, n = F.col("events"), F.col("cum_leaving")
-    c = F.when(n > 1, d * (n - d) / (n - 1)).otherwise(F.lit(0.0))
-    parts = risk.select("__b", "time", (d / n).alias("h"), (c / n).alias("g"), (c / (n * n)).alias("k"))
+    steps = _hazards(F.col("events"), F.col("cum_leaving"))
+    parts = risk.select("__b", "time", *[e.alias(x) for x, e in steps.items()])
     run = running_sums(parts, [], "time", ["h", "g", "k"], bucket=bucket)
     return run.select("time", F.col("cum_h").alias("H"), F.col("cum_g").alias("G"), F.col("cum_k").alias("K"))
 
@@ -141,8 +145,44 @@ def log_rank_from_sums(o: Column, e: Column, v: Column, q: Column) -> Column:
 
 
 def log_rank(df: DataFrame, ruleset, time: str, status: str) -> DataFrame:
-    """Covered against uncovered, per rule: (rule_id, observed, expected, variance, chi2)."""
-    return log_rank_on(with_risk(df, time, status), ruleset)
+    """Covered against uncovered, per rule: (rule_id, observed, expected, variance, chi2).
+
+    One scan: the whole table rides along as rule 0, and its cumulated tables reach the other rules' cells by a
+    window over equal times.  All windows run on (rule, time) aggregates.
+    """
+    bounds = value_buckets(df.select(quoted(time).cast("double").alias("time")), ["time"])["time"]
+    ids = F.concat(F.array(F.lit(0)), matching_ids(df, ruleset))
+    rows = df.select(
+        F.explode(ids).alias("rule_id"), quoted(time).cast("double").alias("time"), event_flag(df, status).alias("event")
+    ).where("time is not null")
+    bucket = "__b" if bounds else None
+    cells = running_sums(
+        _time_cells(rows, ["rule_id"], bounds), ["rule_id"], "time", ["leaving"], descending=True, bucket=bucket
+    )
+    parts = cells.select("*", *[e.alias(x) for x, e in _hazards(F.col("events"), F.col("cum_leaving")).items()])
+    run = running_sums(parts, ["rule_id"], "time", ["h", "g", "k"], bucket=bucket)
+    same = Window.partitionBy("time")
+    whole = [F.max(F.when(F.col("rule_id") == 0, F.col(f"cum_{x}"))).over(same).alias(x.upper()) for x in "hgk"]
+    run = run.select("rule_id", "time", "events", "leaving", "cum_leaving", *whole).where("rule_id > 0")
+    m, n1 = F.col("leaving"), F.col("cum_leaving")
+    sums = run.groupBy("rule_id").agg(
+        F.sum("events").alias("observed"),
+        F.sum(m * F.col("H")).alias("expected"),
+        F.sum(m * F.col("G")).alias("v"),
+        F.sum(F.col("K") * (n1 * n1 - (n1 - m) * (n1 - m))).alias("q"),
+    )
+    return _log_rank_row(sums)
+
+
+def _hazards(d: Column, n: Column) -> dict[str, Column]:
+    """The increments of H, G, K at one time with d events among n at risk."""
+    c = F.when(n > 1, d * (n - d) / (n - 1)).otherwise(F.lit(0.0))
+    return {"h": d / n, "g": c / n, "k": c / (n * n)}
+
+
+def _log_rank_row(sums: DataFrame) -> DataFrame:
+    o, e, v, q = (F.col(x) for x in ("observed", "expected", "v", "q"))
+    return sums.select("rule_id", o, e, (v - q).alias("variance"), log_rank_from_sums(o, e, v, q).alias("chi2"))
 
 
 def log_rank_on(base: DataFrame, ruleset, bounds=None) -> DataFrame:
@@ -164,13 +204,7 @@ def log_rank_on(base: DataFrame, ruleset, bounds=None) -> DataFrame:
         F.sum("v").alias("v"),
         F.sum(F.col("__K") * (F.col("cum_m") * F.col("cum_m") - rest * rest)).alias("q"),
     )
-    return per_rule.select(
-        "rule_id",
-        "observed",
-        "expected",
-        (F.col("v") - F.col("q")).alias("variance"),
-        log_rank_from_sums(F.col("observed"), F.col("expected"), F.col("v"), F.col("q")).alias("chi2"),
-    )
+    return _log_rank_row(per_rule)
 
 
 def curve_jumps(curves: DataFrame, by: Sequence[str]) -> DataFrame:
