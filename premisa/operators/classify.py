@@ -51,8 +51,10 @@ class ClassSearch:
         self.params, self.label = params, label
         w = quoted(weight) if weight else F.lit(1.0)
         self.table = TrainingTable(df, features, params.bins, {"__y": quoted(label), "__w": w}, thresholds)
-        kinds = F.approx_count_distinct(F.xxhash64(*[quoted(a) for a in features])).alias("k")
-        found = self.table.df.groupBy("__y").agg(F.sum("__w").alias("s"), kinds).collect()
+        aggs = [F.sum("__w").alias("s")]
+        if self.table.approximate:
+            aggs.append(F.approx_count_distinct(F.xxhash64(*[quoted(a) for a in features])).alias("k"))
+        found = self.table.df.groupBy("__y").agg(*aggs).collect()
         if self.table.approximate and sum(r["k"] for r in found) <= MERGE_SHARE * self.table.rows:
             self.table.merge([*features, "__y"], "__w")
         sizes = {r["__y"]: r["s"] for r in found if r["__y"] is not None}
