@@ -14,9 +14,6 @@ __all__ = ["packed", "unpacked", "written", "shared_folder", "numbered", "tree_n
 #: White space between words: space and the ASCII controls tab to carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
-#: Rows that one numbering window may hold.
-ROWS_PER_WINDOW = 100_000
-
 
 def packed(df: DataFrame, name: str = "row") -> DataFrame:
     """All columns of ``df`` in one struct column, so that no later column can clash with them."""
@@ -39,14 +36,15 @@ def partitions_for(spark: SparkSession, rows: int, each: int) -> int:
 def numbered(df: DataFrame, by: list[str], unique: str, out: str) -> DataFrame:
     """Number the rows of each group ``by`` from 0 without gaps, in no particular order.
 
-    ``df`` must be a stored table (it is read twice) and ``unique`` an integer column that tells its rows apart. A group
-    of any size is dealt over buckets by a hash of ``unique``; each bucket is numbered alone and starts where the
-    buckets before it end, so a hot group spreads over many tasks.  ``by`` must have few distinct values.
+    ``df`` must be a stored table (it is read three times) and ``unique`` an integer column that tells its rows apart. A
+    group of n rows is dealt over sqrt(n) buckets by a hash of ``unique``; each bucket is numbered alone and starts where
+    the buckets before it end. So a hot group spreads over many tasks, and no window holds more than about sqrt(n) rows.
     """
-    if "_bucket" in df.columns or "_first" in df.columns:
+    if {"_buckets", "_bucket", "_first", "_inside"} & set(df.columns):
         raise ValueError("reserved column name")
-    buckets = max(1, math.ceil(df.count() / ROWS_PER_WINDOW)) * 16
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(unique), F.lit(buckets)).cast("int"))
+    groups = df.groupBy(*by).agg(F.ceil(F.sqrt(F.count("*"))).cast("int").alias("_buckets"))
+    dealt = df.join(groups, by).withColumn("_bucket", F.pmod(F.xxhash64(unique), F.col("_buckets")).cast("int"))
+    dealt = dealt.drop("_buckets")
     sizes = dealt.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
