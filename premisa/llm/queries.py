@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premisa.llm import near_duplicates, packing, quality_rules, sharding, warc
+from premisa.llm import decontamination, near_duplicates, packing, quality_rules, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +64,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(table(spark, sf_dir, "documents"), [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
