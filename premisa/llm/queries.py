@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premisa.llm import decontamination, near_duplicates, packing, quality_rules, secret_scan, sharding, warc
+from premisa.llm import decontamination, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,6 +74,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans.deduplicated(table(spark, sf_dir, "documents")).drop("removed")
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
