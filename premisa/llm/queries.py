@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premisa.llm import decontamination, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
+from premisa.llm import decontamination, html_text, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,6 +45,11 @@ def tokenizer_file() -> str:
 SHARDS = 24
 
 
+@query("op4_html_extraction")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op5_warc",
     """
