@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premisa.llm import decontamination, html_text, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
+from premisa.llm import decontamination, html_text, language_id, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @query("op2_secret_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(table(spark, sf_dir, "documents"))
