@@ -7,7 +7,7 @@ language, and a prior for the host that is smoothed with that of its domain, whi
 share is taken out of the counts before they judge it. Bayes' rule puts the four together.
 
 Defined cases: without text (null, empty) the other evidence decides; a missing declaration, suffix or host adds nothing,
-and a page without any gets the most frequent language of the corpus; ties go to the first language by name; repeated rows
+and a page without any gets the most frequent language of the corpus; without any labelled document no language is known (null); ties go to the first language by name; repeated rows
 are counted and judged each; an empty table gives an empty result; other columns are not read.
 """
 
@@ -55,7 +55,7 @@ def likelihoods(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nd
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = sorted(counts)
     share = F.coalesce(*[F.when(F.col("lang") == x, F.lit(min(1.0, sample / counts[x]))) for x in languages], F.lit(0.0)) if languages else F.lit(0.0)
-    drawn = (F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)) if languages else F.lit(False)
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)
     number = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,6 +126,9 @@ def document_evidence(docs: DataFrame) -> DataFrame:
 def fused(evidence: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
     """kind, id, declared, text_lang, lang, probability for each row of ``evidence``."""
     n = len(languages)
+    if not n:  # no labelled document: nothing to tell apart
+        nothing = F.lit(None).cast("string")
+        return evidence.select("kind", "id", "declared", nothing.alias("text_lang"), nothing.alias("lang"), F.lit(None).cast("double").alias("probability"))
     rows = scored(evidence, model)
     top = "array_max(fit)"
     rows = rows.withColumn("own", F.expr(f"transform(fit, x -> exp(x - {top}))"))

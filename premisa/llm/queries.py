@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from premisa.llm import decontamination, html_text, language_id, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
+from premisa.llm.quality_sql import QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,7 +90,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans.deduplicated(table(spark, sf_dir, "documents")).drop("removed")
 
 
-@query("op9_quality_rules")
+@query("op9_quality_rules", QUALITY)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 

@@ -1,0 +1,443 @@
+"""Corpus operators on small tables, against brute force; odd inputs: nulls, empty and long texts, repeated rows, ties,
+empty tables, clashing extra columns."""
+
+import collections
+import hashlib
+import random
+import re
+import struct
+import zlib
+
+import pytest
+
+from premisa.llm import (
+    decontamination,
+    language_id,
+    near_duplicates,
+    packing,
+    quality_rules,
+    repeated_spans,
+    secret_scan,
+    sharding,
+    warc,
+)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def prose(rng, n):
+    return " ".join(rng.choice("abcdefgh") + rng.choice(["lo", "mi", "tan", "ver"]) + str(rng.randint(0, 60)) for _ in range(n))
+
+
+def odd_rows(seed=1):
+    """(doc_id, text, lang, source): ordinary, copied, near copied, empty, null, short, long, repeated rows."""
+    rng = random.Random(seed)
+    base = [prose(rng, rng.randint(60, 200)) for _ in range(12)]
+    rows = [(i, t, "en", f"src{i % 3}") for i, t in enumerate(base)]
+    rows += [(20, base[0], "en", "src0"), (21, base[1].replace(" ", "\n", 3), "de", None), (22, base[2] + " one more word here", None, "src1")]
+    rows += [(23, None, "en", "src0"), (24, "", "en", None), (25, "  \n\t ", None, None), (26, "two words", "fr", "src2"), (27, "two words", "fr", "src2")]
+    rows += [(28, "ä€𝄞 " * 3000, "de", "src2"), (29, "line of words again\n" * 40, "en", "src1"), (None, base[3], "en", "src0")]
+    rows += [rows[4], rows[4]]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(*r, len(r[1]) if r[1] is not None else None) for r in odd_rows()]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def clashing(df):
+    """Extra columns with names the operators use themselves."""
+    names = ["row", "words", "lines", "kept", "cut0", "id", "a", "b", "rank", "length", "_bucket", "found", "places", "measure", "n_words", "l", "s"]
+    for k, name in enumerate(names):
+        df = df.selectExpr("*", f"{k} as `{name}`")
+    return df
+
+
+# quality rules
+
+
+def expected_counts(text):
+    w = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    grams = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if grams[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_counts(odd, empty):
+    got = collections.Counter((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"])
+                              for r in quality_rules.judged(odd).collect())
+    assert got == collections.Counter((r[0], *expected_counts(r[1])) for r in odd_rows())
+    assert quality_rules.judged(empty).count() == 0
+
+
+def test_quality_cutoffs_drop_what_stands_out(spark):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 120), "en", "x") for i in range(150)] + [(900, " ".join(w + "%%%" for w in prose(rng, 120).split()), "en", "x")]
+    rows.append((901, prose(rng, 120).upper().replace(" ", "!! "), "en", "x"))
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    kept = quality_rules.accepted(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(150))
+
+
+def test_sketch_buckets(spark):
+    df = spark.range(0, 200_000, 7).selectExpr("id", f"{quality_rules.bucket('id')} as b").selectExpr("id", "b", f"{quality_rules.bucket_value('b')} as v")
+    assert df.where("v > id or id > v * 33 / 32 + 1 or (id < 64 and v <> id)").count() == 0
+
+
+# sharding
+
+
+def test_sharding_law(odd, empty):
+    got = sharding.sharded(clashing(odd), [1.0] * 24, [1.0] * 25).collect()
+    assert len(got) == len(odd_rows())
+    slots = collections.defaultdict(list)
+    shards = {}
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        assert r["grown_shard"] in (r["shard"], 24)
+        assert shards.setdefault(r["doc_id"], (r["shard"], r["grown_shard"])) == (r["shard"], r["grown_shard"])
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    want = collections.Counter((d, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for d, t, *_ in odd_rows())
+    assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    assert sharding.sharded(empty, [1.0] * 24, [1.0] * 25).count() == 0
+
+
+def test_sharding_follows_weights(spark):
+    ids = spark.range(20_000)
+    weights = [1.0, 2.0, 0.0, 1.0, 4.0]
+    more = [1.0, 2.0, 0.0, 1.0, 6.0]
+    key = ids.select(sharding.shard_of(ids["id"], weights).alias("a"), sharding.shard_of(ids["id"], more).alias("b"))
+    counts = {r["a"]: r["count"] for r in key.groupBy("a").count().collect()}
+    assert set(counts) == {0, 1, 3, 4} and abs(counts[4] / 20_000 - 0.5) < 0.02 and abs(counts[1] / 20_000 - 0.25) < 0.02
+    assert key.where("a <> b and b <> 4").count() == 0
+
+
+# packing
+
+
+def check_plan(counts, capacity):
+    used, bins = collections.Counter(), collections.defaultdict(list)
+    for length, _, pieces, each, first, offset in packing.Plan(dict(counts), capacity).solve():
+        used[length] += pieces
+        for k in range(pieces):
+            bins[first + k // each].append((offset + k % each * length, length))
+    assert used == collections.Counter(counts)
+    for held in bins.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def best_number(items, capacity):
+    """Fewest bins, by trying everything."""
+    best = [len(items)]
+
+    def go(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + items[i] <= capacity and bins[k] not in bins[:k]:
+                bins[k] += items[i]
+                go(i + 1, bins)
+                bins[k] -= items[i]
+        go(i + 1, [*bins, items[i]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_plans():
+    rng = random.Random(2)
+    worse = 0
+    for _ in range(150):
+        capacity = rng.choice([7, 10, 30])
+        counts = collections.Counter(rng.randint(1, capacity) for _ in range(rng.randint(1, 9)))
+        n = check_plan(counts, capacity)
+        best = best_number(sorted(counts.elements(), reverse=True), capacity)
+        worse += n - best
+        assert n <= best + 1
+    assert worse <= 3
+    for _ in range(30):
+        capacity = rng.choice([50, 300])
+        check_plan({rng.randint(1, capacity): rng.randint(1, 40) for _ in range(40)}, capacity)
+
+
+def test_packing_round_trip(odd, empty):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    found = packing.packed_documents(clashing(odd), path, capacity=256, ids=True)
+    rows = found.collect()
+    whole = collections.defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"] and r["start"] == 256 * r["piece"]
+        whole[r["doc_id"], r["piece"]].append(bytes(r["ids"]))
+    want = collections.defaultdict(list)
+    for d, text, *_ in odd_rows():
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 256):
+            want[d, k // 256].append(struct.pack(f"<{len(ids[k : k + 256])}I", *ids[k : k + 256]))
+    assert {k: sorted(v) for k, v in whole.items()} == {k: sorted(v) for k, v in want.items()}
+    total = sum(r["length"] for r in rows)
+    made = packing.sequences(found).collect()
+    assert all(len(r["ids"]) == 4 * r["n_tokens"] <= 1024 for r in made) and sum(r["n_tokens"] for r in made) == total
+    assert len(made) <= -(-total // 256) + 1
+    assert packing.packed_documents(empty, path).count() == 0
+
+
+# archives
+
+
+def page_rows():
+    big, other = "<p>" + "x" * 1200 + "</p>", "<p>" + "ü" * 700 + "</p>"
+    return [(1, "http://a/1", big), (2, None, big), (5, "http://a/5\r\nX: y", big), (3, "http://a/3", "small"), (4, "u", "small"), (6, "u", None),
+            (7, "u", ""), (8, "u", other), (9, "u", other), (None, "u", other), (10, "u", "\x1f" + "WARC/1.1" * 400), (11, "u", big[:-1]), (11, "u", big[:-1])]
+
+
+def test_archives_round_trip(spark):
+    pages = spark.createDataFrame(page_rows(), "page_id long, url string, html string").repartition(2)
+    manifest = warc.write_archives(pages)
+    latest = collections.defaultdict(int)
+    for i, _, h in page_rows():
+        latest[h] = max(latest[h], i or 0)
+    want = []
+    for i, u, h in page_rows():
+        data = (h or "").encode()
+        again = len(data) >= 1000 and i != latest[h]
+        url = u if u is None else u.replace("\r", "%0D").replace("\n", "%0A")
+        want.append((i, url, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", latest[h] if again else None, b"" if again else data))
+    key = lambda r: str(r)
+    for split in (37, 500, 1 << 20):  # ranges that begin anywhere
+        got = warc.read_archives(manifest, split_bytes=split, payloads=True).drop("path", "member_offset").collect()
+        assert sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in got), key=key) == sorted(want, key=key)
+    assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_reader_skips_garbage(tmp_path):
+    good = [warc.record(k, f"http://x/{k}", b"payload %d" % k * 50, None) for k in range(4)]
+    data = b"\x1f\x8b\x08junk" + good[0] + b"\x1f\x8b\x08" + b"\x00" * 40 + good[1] + zlib.compress(b"WARC/1.1 no member") + good[2] + good[3] + b"\x1f\x8b"
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(data)
+    fs, place = warc._opened(str(path))
+    for step in (11, 64, 1000, 1 << 20):
+        seen = []
+        for first in range(0, len(data), step):
+            with fs.open_input_file(place) as file:
+                seen += [(at, warc.parsed(x)[0]) for at, x in warc.members(file, first, first + step)]
+        assert [i for _, i in seen] == [0, 1, 2, 3] and all(data[at:].startswith(b"\x1f\x8b\x08") for at, _ in seen)
+
+
+# near duplicates
+
+
+def shingles(text):
+    w = WORD.findall(text or "")
+    return collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([tuple(w)] if w else [])
+
+
+def probability_jaccard(a, b):
+    union = set(a) | set(b)
+    return sum(1 / sum(max(a[j] / a[i], b[j] / b[i]) for j in union) for i in set(a) & set(b))
+
+
+def near_rows():
+    """A family around one base whose members are not all similar to each other, chains, copies, and odd rows."""
+    rng = random.Random(9)
+    base = prose(rng, 120).split()
+    rows = [(d, t) for d, t, *_ in odd_rows()]
+    for k in range(40):
+        words = list(base)
+        words[rng.randrange(3, 117)] = f"new{k}"
+        words[rng.randrange(3, 117)] = f"other{k}"
+        rows.append((100 + k, " ".join(words)))
+    rows.append((99, " ".join(base)))
+    chain = prose(rng, 100).split()
+    for k in range(6):
+        rows.append((200 + k, " ".join(chain)))
+        chain = [*chain[6:], *prose(rng, 6).split()]
+    return rows
+
+
+def test_near_duplicate_classes(spark, empty):
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bags = {}
+    for d, t in rows:
+        bags[d] = shingles(t)
+    key = lambda d: -1 if d is None else d
+    up = {key(d): key(d) for d in bags}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in bags:
+        for b in bags:
+            if key(a) < key(b) and (bags[a] == bags[b] == collections.Counter() or probability_jaccard(bags[a], bags[b]) >= 0.8 - 1e-9):
+                x, y = find(key(a)), find(key(b))
+                up[max(x, y)] = min(x, y)
+    want = collections.Counter((key(d), find(key(d))) for d, _ in rows)
+    got = near_duplicates.classes(docs)
+    assert collections.Counter((key(r["doc_id"]), key(r["class_id"])) for r in got.collect()) == want
+    once = near_duplicates.deduplicated(clashing(docs))
+    assert sorted(key(r["doc_id"]) for r in once.collect()) == sorted({c for _, c in want})
+    assert near_duplicates.classes(empty).count() == 0
+
+
+def test_registers_estimate_probability_jaccard():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    keys = rng.integers(1, 1 << 62, 300).astype(np.uint64)
+    a = (np.sort(keys[:220]), rng.integers(1, 6, 220))
+    b = (np.sort(keys[60:]), rng.integers(1, 6, 240))
+    found = near_duplicates.signatures([a, b], 4000)
+    want = near_duplicates.similarity(a, b)
+    assert abs((found[0] == found[1]).mean() - want) < 0.03
+    exact = probability_jaccard(collections.Counter(dict(zip(map(int, a[0]), map(int, a[1]), strict=True))), collections.Counter(dict(zip(map(int, b[0]), map(int, b[1]), strict=True))))
+    assert abs(want - exact) < 1e-9
+
+
+# repeated strings
+
+
+def test_repeated_spans(spark, empty, monkeypatch):
+    rng = random.Random(4)
+    shared = ["".join(rng.choice("abc dé") for _ in range(n)) for n in (150, 220, 400, 900)]
+    rows = [(d, t) for d, t, *_ in odd_rows()]
+    for k in range(25):
+        rows.append((300 + k, "".join(rng.choice([*shared, prose(rng, 20), "z" * rng.choice([10, 450])]) for _ in range(4))))
+    counts = collections.Counter()
+    for _, t in rows:
+        data = (t or "").encode()
+        counts.update(data[i : i + 200] for i in range(len(data) - 199))
+    want = []
+    for d, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - 199):
+            if counts[data[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\x01" * 200
+        spans = sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1]))
+        want.append((d, len(data), sum(gone), spans, hashlib.sha256(bytes(x for x, y in zip(data, gone, strict=True) if not y)).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for hot in (1000, 2):  # in blocks; and as if every minimizer were hot
+        monkeypatch.setattr(repeated_spans, "HOT_SEGMENTS", hot)
+        got = repeated_spans.deduplicated(clashing(docs).drop("s")).drop("removed").collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert repeated_spans.deduplicated(empty).count() == 0
+
+
+def test_interval_expansion_against_brute_force():
+    import numpy as np
+
+    rng = random.Random(3)
+    for _ in range(150):
+        length = rng.choice([2, 3, 5, 9])
+        parts = [[rng.choice((97, 98)) for _ in range(rng.randint(1, 30))] for _ in range(rng.randint(1, 6))]
+        text = [x for i, p in enumerate(parts) for x in [*[c + 10 for c in p], i]]
+        seen = collections.defaultdict(list)
+        for i in range(len(text) - length + 1):
+            seen[tuple(text[i : i + length])].append(i)
+        want = sorted(i for v in seen.values() if len(v) > 1 for i in v)
+        assert repeated_spans.repeated_starts(np.array(text), length).tolist() == want
+
+
+# decontamination
+
+
+def edit_distance_to_best_part(item, text):
+    row = [0] * (len(text) + 1)
+    for x in item:
+        new = [row[0] + 1]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def test_decontamination(spark, empty):
+    rng = random.Random(6)
+    items = [(k, prose(rng, n)) for k, n in enumerate((15, 23, 40, 55, 60, 4))] + [(7, None), (8, ""), (9, "?!")]
+    rows = [(d, t) for d, t, *_ in odd_rows()]
+    for k in range(120):
+        words = items[k % 6][1].split()
+        for _ in range(rng.randint(0, len(words) // 3)):
+            p = rng.randrange(len(words))
+            words[p : p + 1] = rng.choice([[], ["new"], [words[p], "more"]]) if len(words) > 2 else [words[p]]
+        text = " ".join([prose(rng, rng.randint(0, 80)), " ".join(words), prose(rng, rng.randint(0, 80))])
+        rows.append((400 + k, text.upper() if k % 2 else text.replace(" ", ",\n", 9)))
+    words_of = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    want, near = {}, 0
+    for d, t in rows:
+        for i, item in items:
+            w = words_of(item)
+            if w and (e := edit_distance_to_best_part(w, words_of(t))) <= len(w) // 5:
+                want[d, i] = e
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.contaminated(docs, bench).collect()}
+    missed = set(want) - set(got)
+    assert not set(got) - set(want) and all(got[k] == want[k] for k in got)
+    assert len(missed) <= 0.01 * len(want) and len(want) > 80, (len(missed), len(want), near)
+    clean = decontamination.decontaminated(clashing(docs), bench)
+    assert collections.Counter(r["doc_id"] for r in clean.collect()) == collections.Counter(d for d, _ in rows if d not in {a for a, _ in got})
+    assert decontamination.contaminated(empty, bench).count() == 0
+    assert decontamination.decontaminated(docs, bench.limit(0)).count() == len(rows)
+
+
+# secrets
+
+
+def test_secrets(spark, empty):
+    rng = random.Random(8)
+    key = "AKIA" + "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZ234567") for _ in range(16))
+    code = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    clean = "lorem order 4917085256960696 card 49170852569606 then mail ab.42@mail8.example.com at 80.122.231.226 on 2024-01-02T03-04"
+    rows = [(1, f"some words {key} and more words, {key}"), (2, f'set token = "{code}" here'), (3, f"password={code[:18]}\nnext"), (4, clean), (5, None), (6, ""),
+            (7, f"see commit {code} for it"), (8, "plainlongwordswithoutanything andanotherverylongword")]
+    docs = clashing(spark.createDataFrame([(*r, "en", "src1", None if r[1] is None else len(r[1])) for r in rows], SCHEMA))
+    got = {(r["doc_id"], r["value_sha256"]) for r in secret_scan.secrets(docs).collect()}
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert got == {(1, digest(key)), (2, digest(code)), (3, digest(code[:18]))}
+    masked = {r["doc_id"]: r for r in secret_scan.masked(docs).collect()}
+    assert masked[1]["text"] == "some words [SECRET] and more words, [SECRET]" and masked[2]["text"] == 'set token = "[SECRET]" here'
+    assert masked[1]["n_chars"] == len(masked[1]["text"]) and masked[4]["text"] == clean and masked[5]["text"] is None and masked[6]["text"] == ""
+    assert secret_scan.masked(docs).columns == docs.columns
+    assert secret_scan.secrets(empty).count() == 0
+
+
+# languages
+
+
+def test_languages(spark, sf, empty):
+    pages, docs = spark.read.parquet(f"{sf}/pages.parquet"), spark.read.parquet(f"{sf}/documents.parquet")
+    languages, model = language_id.likelihoods(docs.where("doc_id % 2 = 0"))
+    held_out = language_id.document_evidence(docs.where("doc_id % 2 = 1")).withColumn("declared", language_id.F.lit(None).cast("string"))
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    found = language_id.fused(held_out, languages, model).collect()
+    assert sum(truth[r["id"]] == r["lang"] for r in found) >= 0.97 * len(found)
+    odd = [(1, "http://h.example.de/de/1", None), (2, None, "<html lang=fr></html>"), (3, None, None), (4, "http://h.example.de/de/2", ""), (4, "http://h.example.de/de/2", "")]
+    more = pages.select("page_id", "url", "html").unionByName(spark.createDataFrame(odd, "page_id long, url string, html string"))
+    rows = language_id.identified(more, docs).collect()
+    assert len(rows) == pages.count() + len(odd) + docs.count() and all(r["lang"] in languages for r in rows)
+    assert language_id.identified(pages.limit(0), empty).count() == 0
