@@ -13,7 +13,9 @@ from premisa.catalog.tasks import (
     C_CLS, CLASSES, CLS, CORRELATION, FEATURES, H_CLS, H_SURV, KEY, R_CLS, SURV, SURVIVAL_FEATURES, SURVIVAL_SQL,
     cls, counts, r6, rules_reg, rules_surv, surv, table,
 )
-from premisa.estimators import RuleClassifier, RuleRegressor, SurvivalRules
+from premisa.estimators import (
+    ContrastSetRuleRegressor, ContrastSetSurvivalRules, RuleClassifier, RuleRegressor, SurvivalRules,
+)
 from premisa.operators.counts import contingency, regression_consequent
 from premisa.operators.evaluate import (
     accuracy, binary_metrics, brier_curve, confusion_matrix, integrated_brier_score, prediction_metrics, r2,
@@ -81,6 +83,15 @@ def _value(spark, sf):
     return out.select(*KEY, F.round("prediction", 4).alias("prediction"))
 
 
+@query("contrast_predict_value", f"with {_REG} select {_K}, round(f, 4) as prediction from pred")
+def _contrast_value(spark, sf):
+    """Contrast sets of a group with a numeric label predict numbers, not groups."""
+    model = ContrastSetRuleRegressor()
+    model.model = regression_rules(spark, sf)
+    model.model.rules = [replace(r, target="l_linestatus", label="FO"[i % 2]) for i, r in enumerate(model.model.rules)]
+    return model.predict(cls(spark, sf)).select(*KEY, F.round("prediction", 4).alias("prediction"))
+
+
 _SIG = "s as (select *, " + " || ".join(
     f"(case when {p} then ',{i}' else '' end)" for i, p in enumerate(SURVIVAL_SQL, 1)
 ) + " as sg from t)"
@@ -110,6 +121,25 @@ def _survival(spark, sf):
     return curves.join(sizes, "signature").select("signature", "n_rows", "time", r6("prob"))
 
 
+@query(
+    "contrast_predict_survival",
+    f"""with {SURV}, {H_SURV}, {_SIG_CURVES}, k as (select ltrim(sg, ',') as signature, count(*) as n_rows from s group by 1)
+        select signature, n_rows, count(*) as n_points, round(avg(prob), 6) as mean_prob from curve join k using (signature) group by 1, 2""",
+)
+def _contrast_survival(spark, sf):
+    """Contrast sets with survival times predict a curve for every row; rows with the same curve are counted."""
+    df, model = surv(spark, sf), ContrastSetSurvivalRules()
+    model.model = rules_surv()
+    model.curves = rule_curves(df, model.model, "time", "status")
+    rows = model.predict(df)
+    mean = F.aggregate("prediction", F.lit(0.0), lambda a, x: a + x["prob"]) / F.size("prediction")
+    rows = rows.select(
+        signature(rows, model.model).alias("signature"), F.size("prediction").cast("long").alias("n_points"),
+        F.round(mean, 6).alias("mean_prob"),
+    )
+    return rows.groupBy("signature", "n_points", "mean_prob").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("voting_weight", f"with {CLS}, {R_CLS}, {H_CLS}, {C_CLS} select rule_id, round({CORRELATION}, 6) as weight from c")
 def _weight(spark, sf):
     return voting_weight(contingency(cls(spark, sf), weighted_rules(spark, sf), "y")).select("rule_id", r6("weight"))
@@ -236,6 +266,82 @@ def _ibs(spark, sf):
     return integrated_brier_score(df, rules, curves, "time", "status").select(r6("ibs"))
 
 
+# --- labels that are not text ---------------------------------------------------------------------
+
+
+def _flag_rules() -> RuleSet:
+    rules = [
+        Rule((at_least("l_extendedprice", 62000),), target="high", label="True", weight=1.0),
+        Rule((less("l_extendedprice", 50000),), target="high", label="False", weight=0.8),
+        Rule((at_least("l_quantity", 45),), target="high", label="False", weight=0.5),
+        Rule((equals("l_returnflag", "R"), at_least("l_quantity", 30)), target="high", label="True", weight=0.6),
+    ]
+    return RuleSet(rules, target="high", classes=["False", "True"], default_label="False")
+
+
+def _flags(spark, sf):
+    return cls(spark, sf).withColumn("high", F.col("y") == "high")
+
+
+_FLAGS = f"""{CLS},
+  v as (select y = 'high' as high, l_extendedprice >= 62000 as a, l_extendedprice < 50000 as b, l_quantity >= 45 as c,
+        l_returnflag = 'R' and l_quantity >= 30 as d from t),
+  pr as (select *, a or d as yes, b or c as no, a::int * 1.0 + d::int * 0.6 as vy, b::int * 0.8 + c::int * 0.5 as vn from v),
+  pd as (select *, case when yes and no then vy > vn when yes then true else false end as f from pr)"""
+
+
+@query("accuracy_boolean", f"with {_FLAGS} select round(avg((high = f)::int), 6) as accuracy from pd")
+def _accuracy_boolean(spark, sf):
+    return accuracy(predict_class(_flags(spark, sf), _flag_rules()), "high").select(r6("accuracy"))
+
+
+@query(
+    "negative_conflicts_boolean",
+    f"""with {_FLAGS} select round(avg(a::int + b::int + c::int + d::int), 6) as rules_per_example,
+        count(*) filter (yes and no) as voting_conflicts, count(*) filter (yes and no and high <> f) as negative_voting_conflicts from pd""",
+)
+def _conflicts_boolean(spark, sf):
+    out = prediction_metrics(_flags(spark, sf), _flag_rules(), "high")
+    return out.select(r6("rules_per_example"), "voting_conflicts", "negative_voting_conflicts")
+
+
+def _number_rules() -> RuleSet:
+    rules = [
+        Rule((at_least("l_extendedprice", 62000),), target="grade", label="2", weight=1.0),
+        Rule((less("l_extendedprice", 27000),), target="grade", label="0", weight=0.9),
+    ]
+    return RuleSet(rules, target="grade", classes=["0", "1", "2"], numeric_label=True, default_label="1")
+
+
+def _grades(spark, sf):
+    grade = F.when(F.col("y") == "high", 2).when(F.col("y") == "mid", 1).otherwise(0)
+    return predict_class(cls(spark, sf).withColumn("grade", grade), _number_rules())
+
+
+_GRADES = f"""{CLS}, g as (select case y when 'high' then 2 when 'mid' then 1 else 0 end as grade,
+  case when l_extendedprice >= 62000 then 2 when l_extendedprice < 27000 then 0 else 1 end as f from t)"""
+
+
+@query(
+    "confusion_matrix_integer",
+    f"with {_GRADES} select grade::varchar as actual, f::varchar as predicted, count(*) as n from g group by 1, 2",
+)
+def _confusion_integer(spark, sf):
+    return confusion_matrix(_grades(spark, sf), "grade")
+
+
+@query(
+    "binary_metrics_integer",
+    f"""with {_GRADES}, c as (select count(*) filter (grade = 2 and f = 2)::double as tp, count(*) filter (grade = 2 and f <> 2)::double as fn,
+        count(*) filter (grade <> 2 and f = 2)::double as fp, count(*) filter (grade <> 2 and f <> 2)::double as tn from g)
+        select round(tp / (tp + fn), 6) as sensitivity, round(tn / (tn + fp), 6) as specificity, round(tp / (tp + fp), 6) as ppv,
+        round((tp + tn) / (tp + fn + fp + tn), 6) as accuracy from c""",
+)
+def _binary_integer(spark, sf):
+    out = binary_metrics(_grades(spark, sf), "grade", "2")
+    return out.select(*[r6(c) for c in ("sensitivity", "specificity", "ppv", "accuracy")])
+
+
 # --- rule statistics ---------------------------------------------------------------------------
 
 

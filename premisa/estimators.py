@@ -299,8 +299,17 @@ class ContrastSetRuleRegressor(ContrastSetRuleClassifier):
             replace(r, value=found[i]["value"], std=found[i]["spread"]) if i in found else r
             for i, r in enumerate(self.model.rules, 1)
         ]
+        self.model.default_value = df.agg(F.avg(quoted(label).cast("double"))).first()[0]
         return self
 
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Adds ``prediction``: the weighted mean of the covering sets' values; the training mean if none covers."""
+        return predict_value(self._rows(df), self._fitted())
+
+    def score(self, df: DataFrame, label: str) -> float:
+        """R squared."""
+        return evaluate.r2(self.predict(df), label).first()[0]
+
 
 # --- survival ------------------------------------------------------------------------------------
 
@@ -365,6 +374,15 @@ class ContrastSetSurvivalRules(ContrastSetRuleClassifier):
         self.curves = written(rule_curves(data, self.model, survival_time, label), "curves")
         return self
 
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Adds ``prediction``: the mean curve of the covering sets as array<struct<time, prob>>."""
+        return predict_survival(self._rows(df), self._fitted(), self.curves)
+
+    def score(self, df: DataFrame, label: str, survival_time: str) -> float:
+        """Integrated Brier score (smaller is better)."""
+        out = evaluate.integrated_brier_score(self._rows(df), self._fitted(), self.curves, survival_time, label)
+        return out.first()[0]
+
 
 __all__ = [
     "ContrastSetRuleClassifier",

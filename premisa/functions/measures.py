@@ -135,26 +135,65 @@ def quality(measure, p: Column, n: Column, P: Column, N: Column) -> Column:
     return MEASURES[measure](p, n, P, N).cast("double")
 
 
+class _Number:
+    """A Column under arithmetic, in which a division by zero gives null. Anything else is a TypeError."""
+
+    def __init__(self, column: Column):
+        self.column = column
+
+    @staticmethod
+    def of(x) -> Column:
+        if isinstance(x, _Number):
+            return x.column
+        if isinstance(x, (int, float)):
+            return F.lit(float(x))
+        raise TypeError(f"not a number: {x!r}")
+
+    def __bool__(self):
+        raise TypeError("a column has no truth value")
+
+    def __add__(self, x): return _Number(self.column + _Number.of(x))  # noqa: E704
+    def __radd__(self, x): return _Number(_Number.of(x) + self.column)  # noqa: E704
+    def __sub__(self, x): return _Number(self.column - _Number.of(x))  # noqa: E704
+    def __rsub__(self, x): return _Number(_Number.of(x) - self.column)  # noqa: E704
+    def __mul__(self, x): return _Number(self.column * _Number.of(x))  # noqa: E704
+    def __rmul__(self, x): return _Number(_Number.of(x) * self.column)  # noqa: E704
+    def __truediv__(self, x): return _Number(F.try_divide(self.column, _Number.of(x)))  # noqa: E704
+    def __rtruediv__(self, x): return _Number(F.try_divide(_Number.of(x), self.column))  # noqa: E704
+    def __pow__(self, x): return _Number(F.pow(self.column, _Number.of(x)))  # noqa: E704
+    def __neg__(self): return _Number(-self.column)  # noqa: E704
+    def __abs__(self): return _Number(F.abs(self.column))  # noqa: E704
+
+
 def user_measure(fn: Callable) -> Callable[[Column, Column, Column, Column], Column]:
-    """Any ``f(p, n, P, N)`` as a measure.
+    """Any ``f(p, n, P, N)`` as a measure; a division by zero gives null.
 
-    A function that works on Columns is inlined into the plan.  One that needs numbers (say, it
-    branches on them) runs as a pandas UDF, and only ever over aggregated candidate rows.
+    Plain arithmetic is inlined into the plan, and so is a function of Columns.  One that needs numbers (say, it
+    branches on them) runs as a pandas UDF over aggregated candidate rows.  Other errors of the function are raised.
     """
 
     def apply(p, n, P, N):
         args = [c.cast("double") for c in (p, n, P, N)]
-        try:
-            out = fn(*args)
+        for given in ([_Number(a) for a in args], args):
+            try:
+                out = fn(*given)
+            except (TypeError, ValueError):  # it asks for something else than these
+                continue
+            if isinstance(out, _Number):
+                return out.column.cast("double")
             if isinstance(out, Column):
                 return out.cast("double")
             if isinstance(out, (int, float)):
                 return F.lit(float(out))
-        except Exception:  # the function asks for numbers: use the vectorised form
-            pass
+
+        def one(*t):
+            try:
+                return float(fn(*t))
+            except ZeroDivisionError:
+                return None
 
         def rowwise(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-            return pd.Series([float(fn(*t)) for t in zip(a, b, c, d)], index=a.index, dtype="float64")
+            return pd.Series([one(*t) for t in zip(a, b, c, d)], index=a.index, dtype="float64")
 
         return F.pandas_udf(rowwise, T.DoubleType())(*args)
 

@@ -75,7 +75,32 @@ def column_facts(df: DataFrame, attrs: Sequence[str], parts: Mapping[str, int]):
     """Row count, distinct estimates and quantile cuts from one aggregate."""
     distinct = [F.approx_count_distinct(quoted(a)).alias(f"d{i}") for i, a in enumerate(attrs)]
     row = df.agg(F.count(F.lit(1)).alias("rows"), *distinct, *_quantile_exprs(parts)).first()
-    return row["rows"], {a: row[f"d{i}"] for i, a in enumerate(attrs)}, _inner_cuts(row, parts)
+    counts = {a: row[f"d{i}"] for i, a in enumerate(attrs)}
+    return row["rows"], counts, _with_rare_values(df, counts, parts, _inner_cuts(row, parts))
+
+
+def _with_rare_values(df: DataFrame, distinct: Mapping[str, int], parts: Mapping[str, int], cuts: dict[str, list[float]]):
+    """More cuts for columns whose row quantiles fall together on heavy values: quantiles of their distinct values.
+
+    Without them the values that few rows have would share one cell, or none would be told apart at all.
+    """
+    short = {a: k - 1 - len(cuts[a]) for a, k in parts.items() if k > 1 and len(cuts[a]) < min(k, distinct[a]) - 1}
+    if not short:
+        return cuts
+    pairs = [F.struct(F.lit(i).alias("a"), quoted(a).cast("double").alias("v")) for i, a in enumerate(short)]
+    values = df.select(F.inline(F.array(*pairs))).where("v is not null and not isnan(v)").distinct()
+    found = dict(cuts)
+    most = max(short.values()) + 1
+    rows = values.groupBy("a").agg(
+        F.min("v").alias("low"), F.percentile_approx("v", [j / most for j in range(1, most + 1)], max(10_000, 10 * most)).alias("q")
+    )
+    names = list(short)
+    for r in rows.collect():
+        name = names[r["a"]]
+        inner = [v for v in sorted(set(r["q"])) if v > r["low"]]
+        step = max(1, -(-len(inner) // short[name]))
+        found[name] = sorted({*cuts[name], *inner[::step], *inner[:1]})
+    return found
 
 
 def fitting_bounds(df: DataFrame, distinct: Mapping[str, int], coarse: Mapping[str, list[float]]) -> dict[str, list[float]]:

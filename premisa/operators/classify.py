@@ -174,10 +174,10 @@ class ClassSearch:
                 total[a] = total.get(a, 0.0) + m
             gone = q.lookup(own, at)
             p_all, n_all = f"{p_all} - {gone}", f"{n_all} - ({q.lookup(total, 'attr')} - {gone})"
-        now = {t: sum(self.counts(t, p)[:2]) if p else self.everything for t, p in premises.items()}
+        now = {t: self.counts(t, p)[1] if p else self.everything - self.size[t] for t, p in premises.items()}
         need = {t: self.params.min_new(self.uncovered[t]) for t in premises}
         cand = self.candidates(premises).where(
-            f"p_new >= {q.lookup(need, 'target')} and c < {q.lookup(now, 'target')}"
+            f"p_new >= {q.lookup(need, 'target')} and c - p < {q.lookup(now, 'target')}"  # leaves out a negative
         )
         cand = cand.selectExpr("*", "c - p as n", f"{p_all} as p_all", f"{n_all} as n_all")
         if self.params.control_apriori_precision:

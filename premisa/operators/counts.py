@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from premisa.functions.premise import premise, quoted
 from premisa.operators.candidates import bucketize, value_buckets
-from premisa.operators.matching import _rules, matching_ids
+from premisa.operators.matching import _rules, every_rule, matching_ids
 from premisa.operators.running import running_sums
 from premisa.roles import label_text
 
@@ -104,16 +104,20 @@ def _rule_values(df, rules, y: Column, extra=()) -> DataFrame:
 
 
 def regression_consequent(df: DataFrame, ruleset, label: str, mean_based: bool = True) -> DataFrame:
-    """(rule_id, covered, value, spread): mean and population deviation, or median and deviation about it."""
+    """(rule_id, covered, value, spread): mean and population deviation, or median and deviation about it.
+
+    A rule that covers nothing has covered 0 and no value.
+    """
     rules = _rules(ruleset)
     hits = _rule_values(df, rules, quoted(label))
     if mean_based:
-        return hits.groupBy("rule_id").agg(
+        found = hits.groupBy("rule_id").agg(
             F.count(F.lit(1)).alias("covered"), F.avg("y").alias("value"), F.stddev_pop("y").alias("spread")
         )
+        return every_rule(found, rules, ["covered"])
     medians = exact_medians(hits, "rule_id", "y")
     # One row per rule: model sized, so broadcasting it is safe at any data size.
-    return (
+    found = (
         hits.join(F.broadcast(medians), "rule_id")
         .groupBy("rule_id")
         .agg(
@@ -122,6 +126,7 @@ def regression_consequent(df: DataFrame, ruleset, label: str, mean_based: bool =
             F.sqrt(F.avg((F.col("y") - F.col("median")) ** 2)).alias("spread"),
         )
     )
+    return every_rule(found, rules, ["covered"])
 
 
 def exact_medians(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -147,39 +152,37 @@ def regression_contingency(
 ) -> DataFrame:
     """p, n, P, N per rule, where positives are the examples within value ± spread of that rule.
 
-    The conclusions come from a first pass; the second pass is one wide scan, since they are one
-    (value, spread) pair per rule.
+    The conclusions come from a first pass; the second is one scan whose matches are counted by rule, so it grows
+    linearly with the rules.
     """
     rules = _rules(ruleset)
     if consequents is None:
         consequents = regression_consequent(df, rules, label, mean_based)
-    found = {r["rule_id"]: r for r in consequents.select("rule_id", "value", "spread").collect()}
     y = quoted(label).cast("double")
-    aggs, rows = [F.count(y).cast("double").alias("t")], []
-    for i, r in enumerate(rules, 1):
-        if i not in found:
-            continue
-        value, spread = found[i]["value"], found[i]["spread"]
-        near = F.abs(y - F.lit(value)) <= F.lit(spread)
-        hit = premise(r.conditions, df.schema) & y.isNotNull()
-        one = F.lit(1.0)
-        aggs += [
-            F.count(F.when(hit, one)).cast("double").alias(f"c{i}"),
-            F.count(F.when(hit & near, one)).cast("double").alias(f"p{i}"),
-            F.count(F.when(near, one)).cast("double").alias(f"a{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(i).alias("rule_id"),
-                F.lit(value).alias("value"),
-                F.lit(spread).alias("spread"),
-                F.col(f"p{i}").alias("p"),
-                (F.col(f"c{i}") - F.col(f"p{i}")).alias("n"),
-                F.col(f"a{i}").alias("p_all"),
-                (F.col("t") - F.col(f"a{i}")).alias("n_all"),
-            )
-        )
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    spark = df.sparkSession
+    heads = every_rule(consequents.select("rule_id", "value", "spread"), rules, [])
+    # Rules are model sized, like the two tables below that have one row or cell per rule.
+    ends = {r["rule_id"]: (r["value"], r["spread"]) for r in heads.collect()}
+    near = [F.abs(y - F.lit(v)) <= F.lit(s) if v is not None else F.lit(False) for v, s in (ends[i] for i in sorted(ends))]
+    near_ids = F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(near, 1)])) if near else F.array().cast("array<int>")
+    cells = df.where(y.isNotNull()).select(matching_ids(df, rules).alias("hit"), near_ids.alias("near"))
+    tagged = F.concat(
+        F.array(F.struct(F.lit(0).alias("rule_id"), F.lit("t").alias("k"))),
+        F.transform("hit", lambda i: F.struct(i.alias("rule_id"), F.lit("c").alias("k"))),
+        F.transform("near", lambda i: F.struct(i.alias("rule_id"), F.lit("a").alias("k"))),
+        F.transform(F.array_intersect("hit", "near"), lambda i: F.struct(i.alias("rule_id"), F.lit("p").alias("k"))),
+    )
+    counts = cells.select(F.inline(tagged)).groupBy("rule_id", "k").agg(F.count(F.lit(1)).cast("double").alias("m"))
+    of = lambda k: F.coalesce(F.max(F.when(F.col("k") == k, F.col("m"))), F.lit(0.0)).alias(k)
+    total = counts.where("rule_id = 0").agg(F.coalesce(F.max("m"), F.lit(0.0)).alias("t"))
+    per_rule = every_rule(counts.where("rule_id > 0").groupBy("rule_id").agg(of("c"), of("a"), of("p")), rules, ["c", "a", "p"])
+    rows = spark.createDataFrame([(i, *ends[i]) for i in sorted(ends)], "rule_id int, value double, spread double")
+    return (
+        rows.join(per_rule, "rule_id")
+        .join(F.broadcast(total), F.lit(True))  # one row
+        .select("rule_id", "value", "spread", "p", (F.col("c") - F.col("p")).alias("n"), F.col("a").alias("p_all"),
+                (F.col("t") - F.col("a")).alias("n_all"))
+    )
 
 
 def missing_policy(df: DataFrame, cond, label: str, target: str) -> DataFrame:

@@ -11,13 +11,13 @@ from premisa.operators.predict import covering_classes, covering_rules, predicte
 from premisa.operators.running import running_sums
 from premisa.operators.survival import curve_from_counts, event_flag
 from premisa.plans.rules import RuleSet
-from premisa.roles import label_text
+from premisa.roles import class_text, label_text
 from premisa.session import written
 
 
 def accuracy(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     same = F.col("y") == F.col("f")
-    pairs = df.select(label_text(df, label).alias("y"), quoted(prediction).cast(df.schema[label].dataType).cast("string").alias("f"))
+    pairs = df.select(label_text(df, label).alias("y"), class_text(df, label, quoted(prediction)).alias("f"))
     return pairs.agg(F.avg(same.cast("double")).alias("accuracy"))
 
 
@@ -28,7 +28,7 @@ def prediction_metrics(df: DataFrame, ruleset: RuleSet, label: str | None = None
     """
     cols = [covering_rules(df, ruleset).alias("k"), (covering_classes(df, ruleset) > 1).alias("conflict")]
     if label is not None:
-        wrong = label_text(df, label) != predicted_class(df, ruleset).cast(df.schema[label].dataType).cast("string")
+        wrong = label_text(df, label) != class_text(df, label, predicted_class(df, ruleset))
         cols.append(wrong.alias("wrong"))
     aggs = [
         F.avg("k").alias("rules_per_example"),
@@ -40,15 +40,14 @@ def prediction_metrics(df: DataFrame, ruleset: RuleSet, label: str | None = None
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(label_text(df, label).alias("actual"), quoted(prediction).cast("string").alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    predicted = class_text(df, label, quoted(prediction)).alias("predicted")
+    return df.groupBy(label_text(df, label).alias("actual"), predicted).agg(F.count(F.lit(1)).alias("n"))
 
 
 def binary_metrics(df: DataFrame, label: str, positive: str, prediction: str = "prediction", proba: str | None = None):
     """Scores of a two-way decision (``positive`` against the rest); log loss if a probability is given."""
-    y = label_text(df, label) == F.lit(positive)
-    f = quoted(prediction).cast("string") == F.lit(positive)
+    y = label_text(df, label) == F.lit(str(positive))
+    f = class_text(df, label, quoted(prediction)) == F.lit(str(positive))
     cols = [F.coalesce(y, F.lit(False)).alias("y"), F.coalesce(f, F.lit(False)).alias("f")]
     aggs = [
         F.sum((F.col("y") & F.col("f")).cast("double")).alias("tp"),

@@ -34,6 +34,14 @@ def matching_ids(df: DataFrame, ruleset, parts: int = RULES_PER_EXPRESSION) -> C
     return arrays[0] if len(arrays) == 1 else F.concat(*arrays)
 
 
+def every_rule(found: DataFrame, ruleset, zero: Sequence[str]) -> DataFrame:
+    """One row per rule: a rule that covers nothing gets 0 in the columns ``zero`` and null in the others."""
+    ids = [(i,) for i in range(1, len(_rules(ruleset)) + 1)]
+    # One row per rule on both sides: model sized.
+    out = found.sparkSession.createDataFrame(ids, "rule_id int").join(found, "rule_id", "left")
+    return out.select(*[F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) if c in zero else F.col(c) for c, t in out.dtypes])
+
+
 def rule_match(df: DataFrame, ruleset, key: Sequence[str]) -> DataFrame:
     """(key, rule_id) for every rule that covers an example; labels are not looked at."""
     return df.select(*[quoted(k) for k in key], F.explode(matching_ids(df, ruleset)).alias("rule_id"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
 from premisa.operators.candidates import COARSE, bucketize, column_facts, fitting_bounds, value_buckets
-from premisa.operators.matching import _rules, matching_ids
+from premisa.operators.matching import _rules, every_rule, matching_ids
 from premisa.operators.running import running_sums
 
 # Distinct times up to which the risk table (32 bytes per time) is broadcast; beyond, AQE joins it.
@@ -28,9 +28,14 @@ BROADCAST_TIMES = 500_000
 
 
 def event_flag(df: DataFrame, status: str) -> Column:
-    """Event indicator from a numeric, boolean or text status (1 / 1.0 / true mean an event)."""
+    """Event indicator from a numeric, boolean or text status: 1 / 1.0 / true an event, 0 / 0.0 / false or null none.
+
+    Any other status is an error.
+    """
     s = F.lower(quoted(status).cast("string"))
-    return F.when(s.isin("1", "1.0", "true"), F.lit(1.0)).otherwise(F.lit(0.0))
+    unknown = F.raise_error(F.concat(F.lit("unknown survival status: "), s)).cast("double")
+    none = s.isNull() | s.isin("0", "0.0", "false")
+    return F.when(s.isin("1", "1.0", "true"), F.lit(1.0)).when(none, F.lit(0.0)).otherwise(unknown)
 
 
 def _time_cells(rows: DataFrame, by: Sequence[str], bounds) -> DataFrame:
@@ -171,7 +176,7 @@ def log_rank(df: DataFrame, ruleset, time: str, status: str) -> DataFrame:
         F.sum(m * F.col("G")).alias("v"),
         F.sum(F.col("K") * (n1 * n1 - (n1 - m) * (n1 - m))).alias("q"),
     )
-    return _log_rank_row(sums)
+    return every_rule(_log_rank_row(sums), ruleset, ["observed", "expected", "variance"])
 
 
 def _hazards(d: Column, n: Column) -> dict[str, Column]:

@@ -120,6 +120,17 @@ def label_text(df: DataFrame, label: str) -> Column:
     return nominal(label, df.schema).cast("string")
 
 
+def class_text(df: DataFrame, label: str, value: Column) -> Column:
+    """A predicted class in the text form of the label: 1.0 reads 1 for an integer label, booleans read True/False."""
+    kind = df.schema[label].dataType
+    if isinstance(kind, (T.BinaryType, T.StringType)):
+        return value.cast("string")
+    if isinstance(kind, T.BooleanType):
+        flag = value.cast("string").cast("boolean")
+        return F.when(flag, F.lit("True")).when(~flag, F.lit("False"))
+    return value.cast(kind).cast("string")
+
+
 def example_set(
     df: DataFrame,
     label: str,

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ATTRIBUTE = re.compile(r"^@attribute\s+(?:'(?P<q1>[^']*)'|\"(?P<q2>[^\"]*)\"|(?P<plain>\S+))\s+(?P<type>.+?)\s*$", re.I)
+_VALUE = re.compile(r"\s*(?:'[^']*'|\"[^\"]*\"|[^,'\"]+)")
 # The numeric type names of the format.
 _NUMERIC = ("numeric", "real", "integer")
 _CHARSETS = {"utf8": "utf-8", "latin1": "iso-8859-1", "latin-1": "iso-8859-1", "ascii": "us-ascii"}
@@ -24,7 +25,7 @@ def parse_header(lines: list[str]) -> T.StructType:
         name = next(g for g in (m["q1"], m["q2"], m["plain"]) if g is not None)
         kind = m["type"].strip()
         if kind.startswith("{"):
-            values = [v.strip().strip("'\"") for v in kind.strip("{} ").split(",")]
+            values = [v.strip().strip("'\"") for v in _VALUE.findall(kind.strip("{} "))]
             fields.append(T.StructField(name, T.StringType(), True, {"domain": values}))
         elif kind.lower() in _NUMERIC:
             fields.append(T.StructField(name, T.DoubleType()))
@@ -57,17 +58,28 @@ def _header_lines(spark: SparkSession, path: str, encoding: str) -> list[str]:
     raise ValueError(f"no @data line at the start of {path}")
 
 
+def _cells(line: Column, schema: T.StructType, quote: str) -> Column:
+    return F.from_csv(
+        line,
+        schema.simpleString()[len("struct<"):-1].replace(":", " "),
+        {"nullValue": "?", "quote": quote, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"},
+    )
+
+
 def arff_scan(spark: SparkSession, path: str, encoding: str = "utf-8", header: str | None = None) -> DataFrame:
     """One file, or a directory whose first file (or the file ``header``) has the header; '?' reads as null."""
-    schema = parse_header(_header_lines(spark, header or path, encoding))
+    head = _header_lines(spark, header or path, encoding)
+    schema = parse_header(head)
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
-    lines = _lines(spark, path, encoding)
-    body = lines.where(~F.ltrim("value").rlike("^[@%]") & (F.trim("value") != ""))
-    row = F.from_csv(
-        F.trim("value"),
-        plain.simpleString()[len("struct<"):-1].replace(":", " "),
-        {"nullValue": "?", "quote": "'", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"},
-    )
+    line = F.trim("value")
+    # Behind @data a row may begin with any character: only the header's own lines are left out.
+    comments = sorted({x.strip() for x in head if x.strip().startswith("%")})
+    header_line = line.rlike(r"(?i)^@(relation|attribute|data)\b") | line.isin(comments)
+    body = _lines(spark, path, encoding).where(~header_line & (line != ""))
+    # A row with a double-quoted cell is read with double quotes, its single-quoted cells turned into such.
+    double = line.rlike(r'(^|,)\s*"')
+    turned = F.regexp_replace(line, r"""(^|,)\s*'([^'"]*)'\s*(?=,|$)""", '$1"$2"')
+    row = F.when(double, _cells(turned, plain, '"')).otherwise(_cells(line, plain, "'"))
     return body.select(row.alias("r")).select(
         *[F.col(f"r.c{i}").alias(f.name, metadata=f.metadata) for i, f in enumerate(schema)]
     )
