@@ -40,6 +40,20 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["contingency"](spark, SF_DIR).write.format("noop").mode("overwrite").save()  # start-up is not timed
     times = {}
+    # A whole fit on 150 rows, as published figures give it: three classes, four numeric columns.
+    from premisa import RuleClassifier
+    from premisa.catalog.tasks import cls
+
+    few = cls(spark, SF_DIR).orderBy("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").limit(150).cache()
+    few.count()
+    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    for name, measure in (("fit_150_rows", "Correlation"), ("fit_150_rows_full_coverage", "FullCoverage")):
+        began = time.monotonic()
+        RuleClassifier(
+            induction_measure=measure, pruning_measure=measure, voting_measure=measure, max_rule_count=3
+        ).fit(few, label="y", features=columns)
+        times[name] = round(time.monotonic() - began, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     for name in HEADLINE:
         began = time.monotonic()
         QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
@@ -49,7 +63,7 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "headline_total",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(times[name] for name in HEADLINE), 3),
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),

@@ -201,12 +201,15 @@ def _log_rank(spark, sf):
 @query(
     "survival_pvalue",
     f"""with {SURV}, {LOG_RANK} select rule_id, round((observed - expected) ** 2 / variance, 6) as chi2,
-        (observed - expected) ** 2 / variance >= 3.841458820694124 as significant from lr""",
+        (observed - expected) ** 2 / variance >= 3.841458820694124 as significant,
+        round(1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 400 + cast(6 * half as bigint)),
+            lambda n: exp(2 * n * ln(2) + (2 * n + 1) * ln(half) / 2 + lgamma(n + 1) - lgamma(2 * n + 2) - half))), 6) as pvalue
+        from (select *, (observed - expected) ** 2 / variance / 2 as half from lr)""",
 )
 def _survival_pvalue(spark, sf):
-    """The 5 % decision is compared; the tail itself needs erfc."""
+    """The tail as SQL is the series of the error function."""
     out = survival_pvalue(surv(spark, sf), rules_surv(), "time", "status")
-    return out.select("rule_id", r6("chi2"), (F.col("pvalue") <= 0.05).alias("significant"))
+    return out.select("rule_id", r6("chi2"), (F.col("pvalue") <= 0.05).alias("significant"), r6("pvalue"))
 
 
 def _variance_sql() -> str:
@@ -220,12 +223,15 @@ def _variance_sql() -> str:
 
 @query(
     "regression_pvalue",
-    f"with {CLS}, g as ({_variance_sql()}) select rule_id, covered, round(covered * v / u, 4) as chi2 from g",
+    f"""with {CLS}, g as ({_variance_sql()}), x as (select *, covered * v / u / 2 as half, (covered - 1) / 2 as a from g)
+        select rule_id, covered, round(2 * half, 4) as chi2,
+        round(list_sum(list_transform(range(0, 1000 + cast(20 * sqrt(half) + greatest(half - a, 0) as bigint)),
+            lambda n: exp((a + n) * ln(half) - half - lgamma(a + n + 1)))), 5) as pvalue from x""",
 )
 def _regression_pvalue(spark, sf):
-    """The statistic is compared; its tail has no SQL form and is tested on known values."""
+    """The tail as SQL is the series of the incomplete gamma function."""
     out = regression_pvalue(cls(spark, sf), rules_reg(), "rev")
-    return out.select("rule_id", *counts("covered"), F.round("chi2", 4).alias("chi2"))
+    return out.select("rule_id", *counts("covered"), F.round("chi2", 4).alias("chi2"), F.round("pvalue", 5).alias("pvalue"))
 
 
 @query(

@@ -57,6 +57,11 @@ class RuleModel:
     def add_event_listener(self, listener: Listener) -> None:
         self.listeners.append(listener)
 
+    def set_params(self, **params) -> RuleModel:
+        """Replace some parameters; unknown names and values are errors, and a fitted model stays as it is."""
+        self.params = replace(self.params, **self.params_type.known(params))
+        return self
+
     def get_params(self) -> dict:
         return self.params.as_dict()
 

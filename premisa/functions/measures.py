@@ -63,6 +63,7 @@ def _yails(p, n, P, N):
     return w * _precision(p, n) + (F.lit(1.0) - w) * _div(p, P)
 
 
+# The names of the built-in measures.
 MEASURES: dict[str, Callable[[Column, Column, Column, Column], Column]] = {
     "Accuracy": lambda p, n, P, N: p - n,
     "BinaryEntropy": lambda p, n, P, N: -_conditional_entropy(p, n, P, N),
@@ -125,12 +126,20 @@ MEASURES: dict[str, Callable[[Column, Column, Column, Column], Column]] = {
 LOG_RANK = "LogRank"
 
 
+def check_measure(measure) -> None:
+    """A built-in name that works on counts, or a function; anything else is an error."""
+    if callable(measure) or measure in MEASURES:
+        return
+    if measure == LOG_RANK:
+        raise ValueError("LogRank is what survival models use by themselves; it has no value for p, n, P, N")
+    raise ValueError(f"unknown measure {measure!r}")
+
+
 def quality(measure, p: Column, n: Column, P: Column, N: Column) -> Column:
     """Quality as a double column, for a built-in name or a user's function."""
     if callable(measure):
         return user_measure(measure)(p, n, P, N)
-    if measure not in MEASURES:
-        raise ValueError(f"unknown measure {measure!r}")
+    check_measure(measure)
     p, n, P, N = (c.cast("double") for c in (p, n, P, N))
     return MEASURES[measure](p, n, P, N).cast("double")
 

@@ -281,18 +281,6 @@ class ExpertInduction:
             self.search.params = old
 
 
-def preferred_table(spark, knowledge: Knowledge) -> DataFrame:
-    """The multiset as rows: (attr, op, lo, hi, value, multiplicity, class)."""
-    rows = [
-        (i, c.attr, c.op, c.lo, c.hi, c.value, None if math.isinf(p.left) else int(p.left), p.label)
-        for i, p in enumerate(knowledge.preferred)
-        for c in p.conditions
-    ]
-    return spark.createDataFrame(
-        rows, "item int, attr string, op string, lo double, hi double, value string, multiplicity int, class string"
-    )
-
-
 def extend_using_preferred(
     df: DataFrame, rest: Sequence[Condition], preferred: Mapping[str, Sequence[Condition]], label: str, target: str,
     measure="Correlation",

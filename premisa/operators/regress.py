@@ -42,8 +42,9 @@ class RegressionSearch(SingleSearch):
         self.label = label
         rows = df.where(quoted(label).cast("double").isNotNull())
         # Sums of squares are taken about the mean, which keeps them accurate for large labels.
-        self.center = rows.agg(F.coalesce(F.avg(quoted(label).cast("double")), F.lit(0.0))).first()[0]
         w = quoted(weight) if weight else F.lit(1.0)
+        y = quoted(label).cast("double")
+        self.center = rows.agg(F.coalesce(F.try_divide(F.sum(w * y), F.sum(w).cast("double")), F.lit(0.0))).first()[0]
         extra = {"__y": quoted(label).cast("double") - F.lit(self.center), "__w": w}
         super().__init__(TrainingTable(rows, features, params.bins, extra, thresholds), params)
 

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from premisa.functions.measures import quality
-from premisa.functions.premise import premise, quoted
+from premisa.functions.premise import quoted
 from premisa.functions.tails import chi2_lower, chi2_upper_1df, fisher_log10
-from premisa.operators.matching import _rules
+from premisa.operators.matching import _rules, every_rule, matching_ids
 from premisa.operators.survival import log_rank
 
 ALPHA = 0.05
@@ -36,22 +36,18 @@ def regression_pvalue(df: DataFrame, ruleset, label: str) -> DataFrame:
 
     chi2 = n var(covered) / var(uncovered) with n - 1 degrees of freedom, lower tail.
     """
-    y, aggs, rows = quoted(label).cast("double"), [], []
-    for i, r in enumerate(_rules(ruleset), 1):
-        hit = F.coalesce(premise(r.conditions, df.schema), F.lit(False))
-        aggs += [
-            F.count(F.when(hit, y)).cast("double").alias(f"c{i}"),
-            F.var_pop(F.when(hit, y)).alias(f"v{i}"),
-            F.var_pop(F.when(~hit, y)).alias(f"u{i}"),
-        ]
-        rows.append(
-            F.struct(
-                F.lit(i).alias("rule_id"),
-                F.col(f"c{i}").alias("covered"),
-                (F.col(f"c{i}") * F.col(f"v{i}") / F.nullif(F.col(f"u{i}"), F.lit(0.0))).alias("chi2"),
-            )
-        )
-    stats = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    rules, y = _rules(ruleset), quoted(label).cast("double")
+    rows = df.where(y.isNotNull())
+    center = rows.agg(F.coalesce(F.avg(y), F.lit(0.0))).first()[0]
+    ids = F.concat(F.array(F.lit(0)), matching_ids(df, rules))
+    cells = rows.select(F.explode(ids).alias("rule_id"), (y - F.lit(center)).alias("y"))
+    sums = cells.groupBy("rule_id").agg(F.count(F.lit(1)).cast("double").alias("c"), F.sum("y").alias("s"), F.sum(F.col("y") ** 2).alias("q"))
+    whole = sums.where("rule_id = 0").select(F.col("c").alias("tc"), F.col("s").alias("ts"), F.col("q").alias("tq"))
+    per_rule = every_rule(sums.where("rule_id > 0"), rules, ["c", "s", "q"]).join(F.broadcast(whole), F.lit(True), "left")  # one row
+    of = lambda c, s, q: F.try_divide(q, c) - F.pow(F.try_divide(s, c), F.lit(2.0))
+    v = of(F.col("c"), F.col("s"), F.col("q"))
+    u = of(F.col("tc") - F.col("c"), F.col("ts") - F.col("s"), F.col("tq") - F.col("q"))
+    stats = per_rule.select("rule_id", F.col("c").alias("covered"), (F.col("c") * v / F.nullif(u, F.lit(0.0))).alias("chi2"))
     return stats.withColumn("pvalue", chi2_lower(F.col("chi2"), F.col("covered") - 1))
 
 

@@ -6,6 +6,8 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, fields
 from typing import Any
 
+from premisa.functions.measures import check_measure
+
 Measure = str | Callable
 
 # The public defaults of every induction option.
@@ -45,6 +47,9 @@ class InductionParams:
             raise ValueError("max_uncovered_fraction must lie in [0, 1]")
         if self.approximate_bins_count < 2:
             raise ValueError("approximate_bins_count must be at least 2")
+        for measure in (self.induction_measure, self.pruning_measure, self.voting_measure):
+            if measure != "UserDefined":  # a stored model does not keep a user's function
+                check_measure(measure)
 
     @property
     def bins(self) -> int | None:

@@ -78,19 +78,6 @@ class Condition:
             hi, hi_closed = other.hi, other.hi_closed
         return replace(self, lo=lo, lo_closed=lo_closed, hi=hi, hi_closed=hi_closed)
 
-    def overlaps(self, other: Condition) -> bool:
-        """Whether two conditions on one attribute can hold for the same value."""
-        if self.attr != other.attr:
-            return False
-        if "any" in (self.op, other.op):
-            return True
-        if self.op == "interval" and other.op == "interval":
-            both = self.merged(other)
-            if both.lo is None or both.hi is None:
-                return True
-            return both.lo < both.hi or (both.lo == both.hi and both.lo_closed and both.hi_closed)
-        return self.op == other.op and self.value == other.value
-
     def text(self) -> str:
         if self.op == "any":
             body = f"{self.attr} = Any"
@@ -209,7 +196,6 @@ class RuleSet:
     time_growing_s: float = 0.0
     time_pruning_s: float = 0.0
     voting: bool = True
-    trace: list[dict] = field(default_factory=list)
 
     def __len__(self):
         return len(self.rules)

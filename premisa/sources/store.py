@@ -12,7 +12,7 @@ from premisa.plans.rules import Condition, Rule, RuleSet
 
 def _facts(ruleset: RuleSet) -> dict:
     names = ("problem", "target", "params", "classes", "numeric_label", "default_label", "default_value", "priors",
-             "time_total_s", "time_growing_s", "time_pruning_s", "voting", "trace")
+             "time_total_s", "time_growing_s", "time_pruning_s", "voting")
     return {n: getattr(ruleset, n) for n in names}
 
 
