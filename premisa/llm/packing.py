@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premisa.llm.common import numbered, written
+from premisa.llm.common import numbered, ready, written
 
 CAPACITY = 4096
 END = 1
@@ -37,6 +38,9 @@ BROADCAST_PLAN = 500_000
 
 PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
+#: A full stop or comma that ends a word.
+_TAIL = re.compile(rb"(?<=[a-z0-9])[.,](?=[ \n\t\r]|\Z)")
+
 _encoders: dict[int, WordEncoder] = {}
 
 
@@ -58,10 +62,13 @@ class WordEncoder:
             (self.new if len(word) <= REMEMBERED_BYTES else rare)[word] = ids
 
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        """ASCII white space splits: the tokenizer never joins across it."""
+        """ASCII white space splits: the tokenizer never joins across it, nor a letter with the full stop behind it.
+
+        It lowers letters itself, so ASCII letters may be lowered before: fewer words are to be remembered.
+        """
         if len(self.new) > REMEMBERED_WORDS:
             self.old, self.new = self.new, {}
-        split = [(t or "").encode().split() for t in texts]
+        split = [_TAIL.sub(rb" \g<0>", (t or "").encode().lower()).split() for t in texts]
         rare: dict[bytes, bytes] = {}
         unseen = set().union(*split).difference(self.new)
         for word in unseen.intersection(self.old):
@@ -86,6 +93,7 @@ def _groups(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[in
 
 def tokenized(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, ids: bool = True) -> DataFrame:
     """One row per piece: row_id, doc_id, piece, start, length, ids_crc32 and, if wanted, ids (little-endian 32-bit)."""
+    ready(docs.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     end = END.to_bytes(4, "little")
