@@ -3,13 +3,29 @@
 from __future__ import annotations
 
 import math
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from premisa.session import shared_folder, written
 
-__all__ = ["packed", "unpacked", "written", "shared_folder", "numbered", "tree_nodes", "partitions_for", "WORD_BREAK"]
+__all__ = ["packed", "unpacked", "ready", "written", "shared_folder", "numbered", "tree_nodes", "partitions_for", "WORD_BREAK"]
+
+_sent: set[str] = set()
+
+
+def ready(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _sent:
+        package = Path(__file__).parents[1]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='premisa-code-')}/premisa", "zip", package.parent, package.name)
+        context.addPyFile(archive)  # Spark's own file server hands it out
+        _sent.add(context.applicationId)
+
 
 #: White space between words: space and the ASCII controls tab to carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from premisa.llm.common import ready
 from premisa.llm.hashing import mix, parts, prefix_sums, sequence_hashes, span_hashes
 
 EDITS = 5  # one edit for so many words
@@ -198,6 +199,7 @@ def nearest(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 def blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The items, a bounded number of bytes at a time."""
+    ready(benchmark.sparkSession)
     rows = benchmark.where("text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))

@@ -26,7 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from premisa.llm.common import tree_nodes
+from premisa.llm.common import ready, tree_nodes
 
 TRAINING_PAGES = 500
 ROUNDS, DEPTH, SEED = 20, 4, 11
@@ -416,6 +416,7 @@ def forest(spark: SparkSession, pages: int = TRAINING_PAGES) -> Forest:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    ready(pages.sparkSession)
     sent = pages.sparkSession.sparkContext.broadcast(forest(pages.sparkSession))
 
     def texts(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:

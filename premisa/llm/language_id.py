@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from premisa.llm.common import written
+from premisa.llm.common import ready, written
 from premisa.llm.hashing import mix, parts
 
 SAMPLE = 2000
@@ -49,6 +49,7 @@ def _lowered(texts: pa.Array) -> pa.Array:
 
 def likelihoods(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """The languages, by name, and their log trigram probabilities (one row per language)."""
+    ready(docs.sparkSession)
     known = docs.where("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
@@ -77,6 +78,7 @@ def likelihoods(docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.nd
 
 def scored(rows: DataFrame, model: np.ndarray) -> DataFrame:
     """``rows`` (id columns and ``text``) with ``fit``, the tempered log-likelihood of each language, instead of text."""
+    ready(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in rows.columns if c != "text"]
     schema = rows.select(*kept).schema.add("fit", T.ArrayType(T.DoubleType()))

@@ -28,7 +28,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premisa.llm.common import written
+from premisa.llm.common import ready, written
 from premisa.session import scratch_path
 
 LEAST_BYTES = 1000
@@ -70,6 +70,7 @@ def _opened(location: str) -> tuple[pafs.FileSystem, str]:
 
 def write_archives(pages: DataFrame, folder: str | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write every page; the stored manifest of the files: path, bytes, records."""
+    ready(pages.sparkSession)
     folder = folder or scratch_path(pages.sparkSession, "warc")
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -187,6 +188,7 @@ def parsed(data: bytes) -> tuple[int | None, str | None, int, str, str, int | No
 
 def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = False) -> DataFrame:
     """One row per record of the files in ``manifest`` (path, bytes); with the payload if wanted."""
+    ready(manifest.sparkSession)
     splits = manifest.where("bytes > 0").select(
         "path", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("first")
     )
