@@ -2,8 +2,9 @@
 
 A rule predicts the mean of the labels it covers; its positives are all examples within one population
 deviation of that mean, so P and N differ per candidate.  First pass: moments of every candidate by prefix
-sums.  Second pass: with the intervals known, labels are coded by the intervals' end points and counted per
-(attribute, slot, code); every candidate's p and P are then sums over a rectangle of that small grid.
+sums.  Then, with the intervals known, p and P are sums over rectangles of the (value, label) plane: exact search takes
+them from sums over dominated points, for all candidates at once; approximate search, which has few candidates, codes
+labels by the intervals' end points and adds up the cells of a small grid.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premisa.functions.measures import python_quality, quality
@@ -22,6 +24,7 @@ from premisa.operators.base import TrainingTable
 from premisa.operators.candidates import bucketize, split_candidates, value_sums
 from premisa.operators.counts import exact_medians
 from premisa.operators.covering import Premise
+from premisa.operators.dominance import dominated_sums
 from premisa.operators.single import SingleSearch, Slots
 from premisa.plans.params import InductionParams
 from premisa.plans.rules import Condition, Rule
@@ -61,6 +64,55 @@ class RegressionSearch(SingleSearch):
         spread = "sqrt(greatest(s2 / c - (s1 / c) * (s1 / c), 0D))"
         return cand.selectExpr("*", f"s1 / c - {spread} as lo", f"s1 / c + {spread} as hi", "c as p")
 
+    def exact(self, premise: Premise, cand: DataFrame) -> DataFrame:
+        """p and P of every candidate from sums over dominated points in the (value, label) plane.
+
+        Below a cut and at most hi, less below the cut and under lo; the other side is the attribute's total less that.
+        Nominal candidates meet the rows of their value in a join.
+        """
+        inside, everywhere = self.table.holds(premise), F.lit(math.inf)
+        cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+
+        def cell(a: str) -> Column:
+            numeric = a in self.table.numeric
+            there = quoted(a).isNotNull()
+            x = F.coalesce(quoted(a).cast("double"), F.lit(-math.inf)) if numeric else F.lit(0.0)
+            nom = F.lit(None).cast("string") if numeric else quoted(a).cast("string")
+            got = F.when(inside & there, F.col("__w").cast("double")).otherwise(F.lit(0.0))
+            made = F.struct(F.lit(a).alias("k"), x.alias("x"), nom.alias("nom"), F.col("__y").alias("y"),
+                            got.alias("got"), F.col("__w").cast("double").alias("all"))
+            return F.when(there, made) if self.params.ignore_missing else made
+
+        long = self.table.df.select(F.inline(F.array_compact(F.array(*[cell(a) for a in self.table.features]))))
+        points = long.groupBy("k", "x", "y").agg(F.sum("got").alias("got"), F.sum("all").alias("all")).persist(StorageLevel.MEMORY_AND_DISK)
+        ask = lambda x, y, closed, which: F.struct(
+            x.alias("x"), F.col(y).alias("y"), F.lit(False).alias("x_in"), F.lit(closed).alias("y_in"), F.lit(which).alias("which"))
+        asked = F.array(ask(everywhere, "lo", False, 0), ask(everywhere, "hi", True, 1),
+                        ask(F.col("cut"), "lo", False, 2), ask(F.col("cut"), "hi", True, 3))
+        key = {"cut": F.coalesce("cut", F.lit(0.0)), "value": F.coalesce("value", F.lit(""))}
+        queries = cand.select(F.col("attr").alias("k"), "op", key["cut"].alias("at"), key["value"].alias("of"), F.explode(asked).alias("q"))
+        queries = queries.select("k", "op", "at", "of", "q.*").where("x is not null")
+        sums = dominated_sums(points, queries, ["got", "all"], "op string, at double, of string, which int")
+        pick = lambda name, i: F.coalesce(F.sum(F.when(F.col("which") == i, F.col(name))), F.lit(0.0))
+        found = sums.groupBy("k", "op", "at", "of").agg(
+            (pick("got", 1) - pick("got", 0)).alias("band"), (pick("got", 3) - pick("got", 2)).alias("below"),
+            (pick("all", 1) - pick("all", 0)).alias("p_all"))
+        totals = points.groupBy("k").agg(F.sum("all").alias("total"))
+        near = cand.where("value is not null").select(F.col("attr").alias("k"), "op", F.col("value").alias("nom"), "lo", "hi")
+        own = long.where("nom is not null and got > 0").groupBy("k", "nom", "y").agg(F.sum("got").alias("got")).join(near, ["k", "nom"])
+        own = own.groupBy("k", "op", F.col("nom").alias("of")).agg(
+            F.sum(F.when(F.col("y").between(F.col("lo"), F.col("hi")), F.col("got")).otherwise(0.0)).alias("own"))
+        scored = (
+            cand.withColumns({"k": F.col("attr"), "at": key["cut"], "of": key["value"]})
+            .join(found, ["k", "op", "at", "of"]).join(totals, "k").join(own, ["k", "op", "of"], "left")
+            .withColumn("own", F.coalesce("own", F.lit(0.0)))
+            .withColumn("p", F.expr("case op when 'lt' then below when 'ge' then band - below when 'eq' then own else band - own end"))
+        )
+        scored = scored.select("attr", "op", "cut", "value", "c", "p_new", "p", "p_all", (F.col("total") - F.col("p_all")).alias("n_all"),
+                               (F.col("c") - F.col("p")).alias("n"))
+        args = [F.col(x) for x in ("p", "n", "p_all", "n_all")]
+        return scored.withColumn("quality", quality(self.params.induction_measure, *args)).withColumn("target", F.lit(""))
+
     def second_pass(self, premise: Premise, rows) -> DataFrame:
         slots = Slots(self.table, rows)
         # End points per attribute; hi is inclusive, so its code boundary is the next double.

@@ -92,11 +92,7 @@ class SingleSearch:
         if allow is not None:
             cand = allow(cand)
         winner = None
-        for share in self._passes(cand):
-            rows = share.collect()
-            if not rows:
-                continue
-            scored = self.second_pass(premise, rows)
+        for scored in self._scored(premise, cand):
             if self.adjust:
                 scored = self.adjust(scored)
             found = best_by_quality(scored).collect()
@@ -109,6 +105,20 @@ class SingleSearch:
         self._covered[grown], self._new[grown] = winner["c"], winner["p_new"]
         return {TARGET: Step(candidate_condition(winner, self.table), winner["quality"], winner["c"], n, winner["p_new"])}
 
+    def _scored(self, premise: Premise, cand: DataFrame) -> Iterator[DataFrame]:
+        """Candidates with their qualities. Exact search scores all of them at once, in a fixed number of jobs."""
+        if not self.table.approximate and (scored := self.exact(premise, cand)) is not None:
+            yield scored
+            return
+        for share in self._passes(cand):
+            rows = share.collect()
+            if rows:
+                yield self.second_pass(premise, rows)
+
+    def exact(self, premise: Premise, cand: DataFrame) -> DataFrame | None:
+        """All candidates scored without shares; None where a search has no such way."""
+        return None
+
     def _passes(self, cand: DataFrame) -> Iterator[DataFrame]:
         """Shares of the candidates small enough for one second pass; together they are all of them."""
         if self.table.candidates_per_attribute <= 2 * CANDIDATES_PER_PASS:

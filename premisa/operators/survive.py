@@ -7,6 +7,7 @@ taken from (attribute, slot, K) cells, cut into stretches of K so that no task h
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -27,6 +28,8 @@ from premisa.operators.candidates import (
     value_sums,
 )
 from premisa.operators.covering import Premise
+from premisa.operators.dominance import dominated_sums
+from premisa.operators.running import running_sums
 from premisa.operators.single import SingleSearch, Slots
 from premisa.operators.survival import log_rank_from_sums, log_rank_on, with_risk
 from premisa.plans.params import InductionParams
@@ -72,6 +75,69 @@ class SurvivalSearch(SingleSearch):
         )
         return cand.selectExpr("*", "c as p")
 
+    def exact(self, premise: Premise, cand: DataFrame) -> DataFrame:
+        """The quadratic part of every candidate's variance, then its statistic, in a fixed number of jobs.
+
+        It is the sum of K(the earlier time) over all pairs of covered examples. Adding examples by growing value, each
+        new one pairs with those before it: two sums over dominated points in the (value, K) plane. ``full`` pairs each
+        example with all: the other side of a cut, or of a nominal value, is whole + own part - 2 full.
+        """
+        inside = self.table.holds(premise)
+        cand = cand.persist(StorageLevel.MEMORY_AND_DISK)
+        numeric = set(self.table.numeric)
+        made = [
+            F.when(quoted(a).isNotNull(), F.struct(
+                F.lit(a).alias("k"), (quoted(a).cast("double") if a in numeric else F.lit(0.0)).alias("x"),
+                (F.lit(None).cast("string") if a in numeric else quoted(a).cast("string")).alias("nom"),
+                F.lit(a in numeric).alias("is_numeric"), F.col("__K").cast("double").alias("y")))
+            for a in self.table.features
+        ]
+        long = self.table.df.where(inside).select(F.inline(F.array_compact(F.array(*made))))
+        cells = long.groupBy("k", "x", "nom", "is_numeric", "y").agg(F.count(F.lit(1)).cast("double").alias("m"))
+        cells = cells.withColumn("my", F.col("m") * F.col("y")).persist(StorageLevel.MEMORY_AND_DISK)
+        bucket = "__b" if self.stretches else None
+        strips = lambda df: bucketize(df, {"__b": self.stretches}, {"__b": "y"})
+        # every example with all of its attribute
+        line = strips(cells.groupBy("k", "y").agg(F.sum("m").alias("m"), F.sum("my").alias("my")))
+        run = running_sums(line, ["k"], "y", ["m", "my"], bucket=bucket)
+        sizes = cells.groupBy("k").agg(F.sum("m").alias("size"))
+        pairs = run.join(sizes, "k").select(
+            "k", "y", (F.col("cum_my") - F.col("my") + F.col("y") * (F.col("size") - F.col("cum_m") + F.col("m"))).alias("with_all"))
+        full = cells.join(pairs, ["k", "y"]).groupBy("k", "x", "nom").agg(F.sum(F.col("m") * F.col("with_all")).alias("full"))
+        full = full.persist(StorageLevel.MEMORY_AND_DISK)
+        whole = full.groupBy("k").agg(F.sum("full").alias("whole"))
+        # numeric: pairs with smaller values, and within a value
+        points = cells.where("is_numeric").select("k", "x", "y", "m", "my")
+        ask = lambda x, y, x_in, which: F.struct(x.alias("qx"), y.alias("qy"), F.lit(x_in).alias("x_in"), F.lit(which).alias("which"))
+        x, y, top = F.col("x"), F.col("y"), F.lit(math.inf)
+        asked = F.array(ask(x, y, False, 0), ask(x, y, True, 1), ask(x, top, False, 2))
+        queries = points.select("k", F.col("x").alias("at"), F.col("y").alias("own_y"), F.explode(asked).alias("q"))
+        queries = queries.select("k", "at", "own_y", F.col("q.qx").alias("x"), F.col("q.qy").alias("y"), F.col("q.x_in").alias("x_in"),
+                                 F.lit(False).alias("y_in"), F.col("q.which").alias("which"))
+        sums = dominated_sums(points, queries, ["m", "my"], "at double, own_y double, which int")
+        pick = lambda name, i: F.coalesce(F.sum(F.when(F.col("which") == i, F.col(name))), F.lit(0.0))
+        before = sums.groupBy("k", F.col("at").alias("x"), F.col("own_y").alias("y")).agg(
+            pick("my", 0).alias("my0"), pick("m", 0).alias("m0"), pick("my", 1).alias("my1"), pick("m", 2).alias("smaller"))
+        added = points.join(before, ["k", "x", "y"]).groupBy("k", "x").agg(
+            F.sum(F.expr("2 * m * (my0 + y * (smaller - m0)) + 2 * m * (my1 - my0) + m * m * y")).alias("added"))
+        steps = added.join(full.where("nom is null").select("k", "x", "full"), ["k", "x"]).select("k", "x", F.lit(0.0).alias("y"), "added", "full")
+        cuts = cand.where("cut is not null").select(F.col("attr").alias("k"), F.col("cut").alias("x")).distinct()
+        cuts = cuts.select("k", "x", F.col("x").alias("at"), top.alias("y"), F.lit(False).alias("x_in"), F.lit(False).alias("y_in"))
+        under = dominated_sums(steps, cuts, ["added", "full"], "at double").withColumnsRenamed({"added": "own", "full": "own_full"})
+        # nominal: pairs within a value
+        named = strips(cells.where("not is_numeric").select("k", "nom", "y", "m", "my"))
+        run = running_sums(named, ["k", "nom"], "y", ["my"], bucket=bucket)
+        within = run.groupBy("k", "nom").agg(F.sum(F.expr("m * (2 * cum_my - my)")).alias("own"))
+        within = within.join(full.where("nom is not null").select("k", "nom", F.col("full").alias("own_full")), ["k", "nom"])
+        cand = cand.withColumn("k", F.col("attr"))
+        left = cand.where("cut is not null").join(under.withColumnRenamed("at", "cut"), ["k", "cut"])
+        right = cand.where("value is not null").join(within.withColumnRenamed("nom", "value"), ["k", "value"])
+        both = left.unionByName(right).join(whole, "k")
+        both = both.withColumn("q", F.expr("if(op in ('lt', 'eq'), own, whole + own - 2 * own_full)"))
+        # Rounded: complementary conditions tie exactly, whatever the order of summation.
+        chi2 = F.round(log_rank_from_sums(F.col("o"), F.col("e"), F.col("v"), F.col("q")), 9)
+        return both.select(F.lit("").alias("target"), "attr", "op", "cut", "value", "c", "p_new", F.col("c").alias("p"), chi2.alias("quality"))
+
     def second_pass(self, premise: Premise, rows) -> DataFrame:
         slots = Slots(self.table, rows)
         df, slot = slots.assign(self.table.df.where(self.table.holds(premise)))
