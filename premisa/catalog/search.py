@@ -27,6 +27,7 @@ from premisa.operators.covering import Covering
 from premisa.operators.expert import extend_using_preferred, forbidden_filter, refine_condition
 from premisa.operators.matching import covered
 from premisa.operators.single import TARGET
+from premisa.operators.regress import RegressionSearch
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import InductionParams
 from premisa.plans.rules import (
@@ -513,10 +514,22 @@ def _uncovered_fraction(spark, sf):
 _SCUTS = {"l_quantity": [10, 25, 40], "l_extendedprice": [20000, 50000, 80000]}
 
 
-def _survival_cand_sql() -> str:
+def _survival_groups() -> list[tuple]:
     groups = [(a, "lt", float(c), "", f"{a} < {c}") for a, cs in _SCUTS.items() for c in cs]
     groups += [(a, "ge", float(c), "", f"{a} >= {c}") for a, cs in _SCUTS.items() for c in cs]
-    groups += [("l_returnflag", o, None, v, f"l_returnflag {'=' if o == 'eq' else '<>'} '{v}'") for o in ("eq", "ne") for v in "ANR"]
+    return groups + [("l_returnflag", o, None, v, f"l_returnflag {'=' if o == 'eq' else '<>'} '{v}'") for o in ("eq", "ne") for v in "ANR"]
+
+
+def _growth_groups() -> list[tuple]:
+    """Every midpoint of quantity (whole numbers 1 to 50) and every nominal value."""
+    cuts = [k + 0.5 for k in range(1, 50)]
+    groups = [("l_quantity", o, c, "", f"l_quantity {s} {c}") for c in cuts for o, s in (("lt", "<"), ("ge", ">="))]
+    groups += [("l_returnflag", "eq", None, v, f"l_returnflag = '{v}'") for v in "ANR"]
+    names = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    return groups + [("o_orderpriority", "eq", None, v, f"o_orderpriority = '{v}'") for v in names]
+
+
+def _survival_cand_sql(groups: list[tuple]) -> str:
     h = " union all ".join(
         f"select '{a}' as attr, '{o}' as op, {'null' if c is None else c}::double as cut, nullif('{v}', '') as value, time, status from t where {w}"
         for a, o, c, v, w in groups
@@ -537,7 +550,7 @@ def _survival_cand_sql() -> str:
 
 @query(
     "survival_candidates",
-    f"""with {SURV}, {_survival_cand_sql()} select attr, op, round(cut, 6) as cut, value, covered,
+    f"""with {SURV}, {_survival_cand_sql(_survival_groups())} select attr, op, round(cut, 6) as cut, value, covered,
         round((o - e) ** 2 / v, 5) as chi2 from lr""",
 )
 def _survival_candidates(spark, sf):
@@ -560,16 +573,41 @@ def _survival_candidates(spark, sf):
     return spark.createDataFrame(out, "attr string, op string, cut double, value string, covered long, chi2 double")
 
 
-@query("survival_growth")
-def _survival_growth(spark, sf):
-    """The best exact survival condition over every midpoint of quantity and every nominal value."""
+def _survival_step(spark, sf, features):
     params = InductionParams(max_growing=1, enable_pruning=False)
-    features = ["l_quantity", "l_returnflag", "o_orderpriority"]
     data = example_set(surv(spark, sf), "status", survival_time="time", features=features)
     search = SurvivalSearch(data, features, "status", "time", params)
     step = search.best({TARGET: ()})[TARGET]
     search.close()
-    return spark.createDataFrame([(step.condition.text(), step.quality, step.covered)], "condition string, chi2 double, covered double")
+    return spark.createDataFrame([(step.condition.text(), round(step.quality, 5), step.covered)], "condition string, chi2 double, covered double")
+
+
+@query(
+    "survival_growth_quantity",
+    f"""with {SURV}, {_survival_cand_sql(_growth_groups())}, q as (select *, round((o - e) ** 2 / v, 9) as chi2 from lr
+          where covered >= 0.05 * (select count(*) from t) and covered < (select count(*) from t))
+        select case op when 'lt' then printf('%s = (-inf, %.2f)', attr, cut) when 'ge' then printf('%s = <%.2f, inf)', attr, cut)
+               else printf('%s = {{%s}}', attr, value) end as condition, round(chi2, 5) as chi2, covered::double as covered
+        from q order by q.chi2 desc, q.covered desc, attr, op, cut, value limit 1""",
+)
+def _survival_growth_quantity(spark, sf):
+    """The best exact survival condition over every midpoint of quantity and every nominal value."""
+    return _survival_step(spark, sf, ["l_quantity", "l_returnflag", "o_orderpriority"])
+
+
+@query("survival_growth")
+def _survival_growth(spark, sf):
+    """The best exact survival condition over all features, with the continuous price among them."""
+    return _survival_step(spark, sf, SURVIVAL_FEATURES)
+
+
+@query("regression_growth")
+def _regression_growth(spark, sf):
+    """The best exact regression condition over all features, with the continuous price among them."""
+    search = RegressionSearch(cls(spark, sf), FEATURES, "rev", InductionParams(max_growing=1, enable_pruning=False))
+    step = search.best({TARGET: ()})[TARGET]
+    search.close()
+    return spark.createDataFrame([(step.condition.text(), round(step.quality, 6), step.covered)], "condition string, quality double, covered double")
 
 
 # --- expert guidance ---------------------------------------------------------------------------
