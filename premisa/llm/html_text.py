@@ -334,7 +334,8 @@ def training_page(rng: random.Random) -> str:
 
     body = []
     if rng.random() < 0.8:
-        body.append(f"<h{(k := rng.randint(1, 2))}>{_sentence(rng, 2, 10)[:-1]}</h{k}>")
+        title = f"<h{(k := rng.randint(1, 2))}>{_sentence(rng, 2, 10)[:-1]}</h{k}>"
+        body.append(f"<header>{title}</header>" if rng.random() < 0.25 else title)
     for _ in range(rng.choice((1, 1, 2, 3, 5, 8, 14))):
         r = rng.random()
         if r < 0.75:
