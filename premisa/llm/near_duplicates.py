@@ -7,9 +7,11 @@ texts agree on a register with the probability of their probability Jaccard simi
 candidates; the similarity of candidates is then computed from their texts, and links join texts into classes.
 
 Copies (equal word sequences) are merged before anything else. Within a bucket nothing is paired with everything: all
-members are held against its most central one (the one that meets most texts in all its buckets). Buckets that still
-span several classes go on: each round draws four times as many members to compare with, from buckets narrowed by a
-further register, until every member has been drawn.
+members are held against its most central one, the one that meets most texts in all its buckets. That suffices in a family
+of copies of one text: two members that are similar without sharing a change are both similar to the original; members that
+share changes also meet in small buckets of their own. Buckets that still span several classes are then narrowed by three
+further registers, other ones in each of ``ROUNDS_AFTER`` rounds, and about ``DRAWN`` members are drawn and held against all
+the others, so small buckets are compared throughout.
 
 Defined cases: null, empty and wordless texts have no shingle and are copies of each other; rows with one doc_id count as
 one document; a null doc_id is an id of its own; repeated rows are copies; other columns are not read by ``classes`` and
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premisa.llm.common import packed, unpacked, written
+from premisa.llm.common import packed, ready, unpacked, written
 from premisa.llm.hashing import mix, parts, powers, prefix_sums, sequence_hashes, span_hashes, word_spans
 
 WORDS = 5
@@ -33,6 +35,11 @@ THRESHOLD = 0.8
 #: 26 bands of 5: a pair at the threshold shares a bucket with probability 1 - (1 - 0.8**5)**26 = 0.99997.
 BANDS, ROWS = 26, 5
 REGISTERS = BANDS * ROWS
+#: Registers that a pair at the threshold agrees on at least, but for one in 30,000 (four standard deviations).
+LEAST_AGREEING = int(REGISTERS * THRESHOLD - 4 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+#: Further registers in the key of a narrowed bucket.
+NARROWED = 3
+ROUNDS_AFTER, DRAWN = 2, 4
 NULL_ID = -(1 << 63)
 
 Bag = tuple[np.ndarray, np.ndarray]
@@ -147,11 +154,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
 
 
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough. The side with many partners is joined last, where Spark can split
-    it, and goes straight into the verification."""
-    left = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
-    both = left.join(texts.select(F.col("id").alias("a"), F.col("text").alias("a_text")), "a")
+def _linked(pairs: DataFrame, registers: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are similar enough.
+
+    Pairs whose registers agree far too seldom are dropped first; the texts of the others decide. The side with many
+    partners is joined last, where Spark can split it, and goes straight into the verification.
+    """
+    side = lambda table, x, name: table.select(F.col("id").alias(x), F.col(name).alias(f"{x}_{name}"))
+    both = pairs.join(side(registers, "b", "registers"), "b").join(side(registers, "a", "registers"), "a")
+    agree = "aggregate(zip_with(a_registers, b_registers, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)"
+    near = written(both.where(f"{agree} >= {LEAST_AGREEING}").select("a", "b"), "pairs")
+    both = near.join(side(texts, "b", "text"), "b").join(side(texts, "a", "text"), "a")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
 
 
@@ -163,6 +176,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = written(edges, "links")
+    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -172,16 +186,18 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
         small = written(small.where("u <> v").distinct(), "links")
-        changed = small.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(small, ["u", "v"], "left_anti").limit(1).count()
+        seen = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         edges = small
-        if not changed:
+        if seen == before:
             break
+        before = seen
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("class_id")).distinct()
     return written(edges.select(F.col("u").alias("id"), F.col("v").alias("class_id")).unionByName(roots), "classes")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id and class_id, the smallest doc_id of its near-duplicate class."""
+    ready(docs.sparkSession)
     source = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").cast("string").alias("text")
     )
@@ -199,37 +215,25 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = written(buckets.select("id", "band", "key").join(central, "id"), "buckets")
     wanted = buckets.select("id").distinct()
     texts = written(source.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "candidates")
+    registers = own.select("id", "registers")
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
     pairs = pairs.select("a", F.col("id").alias("b")).distinct()
-    links = written(_linked(pairs, texts), "links")
+    links = written(_linked(pairs, registers, texts), "links")
     found = components(links)
-    drawn, rounds = 4, 0
-    registers = own.select("id", "registers")
-    while True:
-        # buckets, narrowed by further registers, that span several classes
-        rounds += 1
-        named = buckets.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id")).drop("met")
-        if rounds > 1:
-            named = named.join(registers, "id").withColumn(
-                "key", F.xxhash64("key", F.expr(f"transform(sequence(1, {rounds - 1}), i -> registers[(band * {ROWS} + {ROWS} + i * 7) % {REGISTERS}])"))
-            ).drop("registers")
+    for more in range(1, ROUNDS_AFTER + 1):
+        # buckets, narrowed by further registers (others in each round), that span several classes
+        further = f"transform(sequence(1, {NARROWED}), i -> registers[(band * {ROWS} + {ROWS} + (i + {NARROWED * more}) * 7) % {REGISTERS}])"
+        named = buckets.drop("met").join(registers, "id").select("id", F.xxhash64("key", F.expr(further)).alias("key"))
+        named = named.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
         open_ = named.groupBy("key").agg(F.count("*").alias("n"), F.min("class_id").alias("c1"), F.max("class_id").alias("c2"))
-        open_ = open_.where("c1 <> c2").select("key", "n")
-        named = written(named.join(open_, "key"), "open-buckets")
-        if named.isEmpty():
-            break
-        asked = F.expr(f"pmod(xxhash64(id, key, {rounds}), n) < {drawn}")
+        named = written(named.join(open_.where("c1 <> c2").select("key", "n"), "key"), "open-buckets")
+        asked = F.expr(f"pmod(xxhash64(id, key), n) < {DRAWN}")
         heads = named.where(asked).select("key", F.col("id").alias("a"), F.col("class_id").alias("a_class"))
         pairs = named.join(heads, "key").where("a_class <> class_id")
         pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        new = written(_linked(pairs, texts), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            found = components(links)
-        if named.where(f"n > {drawn}").isEmpty():
-            break  # every member of every open bucket was compared with all the others
-        drawn *= 4
+        links = written(links.unionByName(_linked(pairs, registers, texts)), "links")
+    found = components(links)
     out = member.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.nullif(F.col("id"), F.lit(NULL_ID)).alias("doc_id"),
