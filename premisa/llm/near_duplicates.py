@@ -215,7 +215,7 @@ def classes(docs: DataFrame) -> DataFrame:
     buckets = written(buckets.select("id", "band", "key").join(central, "id"), "buckets")
     wanted = buckets.select("id").distinct()
     texts = written(source.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "candidates")
-    registers = own.select("id", "registers")
+    registers = written(own.select("id", "registers").join(wanted, "id", "left_semi"), "registers")
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
     pairs = pairs.select("a", F.col("id").alias("b")).distinct()
