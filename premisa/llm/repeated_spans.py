@@ -11,8 +11,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts at anothe
    block is expanded breadth first, from the empty string, by one character to the left each round; round l sets exactly the
    places where neighbouring suffixes have l characters in common. It stops at ``LENGTH``: places not set by then are
    neighbours with a longer common prefix, that is, repeated strings.
-5. A minimizer with more than ``HOT_SEGMENTS`` different segments does not fit into one block. Its strings are hashed one by
-   one (128 bits) and counted by a grouped aggregate instead, which spreads over all tasks.
+5. A minimizer whose different segments have more than ``HOT_BYTES`` does not fit into a block. Its strings are hashed one
+   by one (128 bits) and counted by a grouped aggregate instead, which spreads over all tasks.
 
 Defined cases: a null text is an empty one; texts shorter than ``LENGTH`` lose nothing; equal rows are documents of their own
 and repeat each other; an empty table gives an empty result; other columns are not read.
@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from premisa.llm.common import written
+from premisa.llm.common import ready, written
 from premisa.llm.hashing import mix, parts, powers, prefix_sums, span_hashes
 
 LENGTH = 200
 GRAM = 32
 BLOCK_BYTES = 1 << 20
-HOT_SEGMENTS = 1000
+HOT_BYTES = BLOCK_BYTES
 #: Longer texts are worked on in pieces of this size.
 PIECE_BYTES = 1 << 22
 NULL_ID = -(1 << 63)
@@ -267,8 +267,8 @@ def repeated(texts: DataFrame) -> DataFrame:
         F.count("*").alias("c"), F.min(F.struct("doc_id", "text_hash", "s", "n")).alias("x")), "segments")
     whole = again.join(kinds.where("c > 1").select("gram", "segment"), ["gram", "segment"])
     spans = whole.select("doc_id", "text_hash", "s", "n").distinct()
-    mixed = kinds.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
-    asked = kinds.join(mixed, "gram").select("gram", "segment", "m", "x.*")
+    mixed = kinds.groupBy("gram").agg(F.count("*").alias("m"), F.sum("x.n").alias("held")).where("m > 1").select("gram", "held")
+    asked = kinds.join(mixed, "gram").select("gram", "segment", "x.*")
     # the bytes of one copy of each segment that must be compared
     lists = asked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("s", "n", "gram", "segment")).alias("wanted"))
     with_text = texts.join(lists, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "wanted")
@@ -276,9 +276,9 @@ def repeated(texts: DataFrame) -> DataFrame:
     data = written(data.dropDuplicates(["gram", "segment"]).join(mixed, "gram"), "segment-bytes")
     size = data.agg(F.sum(F.length("data"))).first()[0] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    cool = data.where(f"m <= {HOT_SEGMENTS}").withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
+    cool = data.where(f"held <= {HOT_BYTES}").withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
     compared = cool.groupBy("block").applyInPandas(_block, "doc_id long, text_hash long, s long, n long")
-    strings = written(data.where(f"m > {HOT_SEGMENTS}").mapInArrow(
+    strings = written(data.where(f"held > {HOT_BYTES}").mapInArrow(
         _strings, "doc_id long, text_hash long, s long, h1 long, h2 long"), "strings")
     twice = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
     hot = strings.join(twice, ["h1", "h2"]).select("doc_id", "text_hash", "s", F.lit(LENGTH).cast("long").alias("n"))
@@ -287,6 +287,7 @@ def repeated(texts: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (array of start and bytes)."""
+    ready(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"),
                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")

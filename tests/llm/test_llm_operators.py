@@ -340,8 +340,8 @@ def test_repeated_spans(spark, empty, monkeypatch):
         spans = sum(1 for i, x in enumerate(gone) if x and (i == 0 or not gone[i - 1]))
         want.append((d, len(data), sum(gone), spans, hashlib.sha256(bytes(x for x, y in zip(data, gone, strict=True) if not y)).hexdigest()))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for hot in (1000, 2):  # in blocks; and as if every minimizer were hot
-        monkeypatch.setattr(repeated_spans, "HOT_SEGMENTS", hot)
+    for hot in (1 << 20, 700):  # in blocks; and as if every larger group of segments were hot
+        monkeypatch.setattr(repeated_spans, "HOT_BYTES", hot)
         got = repeated_spans.deduplicated(clashing(docs).drop("s")).drop("removed").collect()
         assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
     assert repeated_spans.deduplicated(empty).count() == 0
@@ -426,6 +426,53 @@ def test_secrets(spark, empty):
     assert secret_scan.secrets(empty).count() == 0
 
 
+# pages
+
+LONG = "Lorem ipsum dolor sit amet, consectetur adipiscing elit. Sed do eiusmod tempor incididunt ut labore."
+SHORT = "Anha the of are haedre anti."
+PAGES = [
+    (f"<body><nav><a href=/a>A</a></nav><article><h1>Title&amp;  here</h1><p><b>{LONG}<br><p>{SHORT}\n&eacute;</p></article>"
+     f"<footer>&copy; x &middot; {SHORT}</footer></body>", ["Title& here", LONG, SHORT + " é"]),
+    (f'<body><div class="cookie-notice"><p>We use cookies. {SHORT}</p><button>OK</button></div><header><h1>Site</h1></header><main><article><h1>T</h1>'
+     f'<p>{LONG}</p><ul><li>one item<li>two item</ul></article><section id="comments"><div class="comment"><p>Nice. {SHORT}</p></div></section></main>'
+     f'<aside class="sidebar"><p>{SHORT}</p></aside></body>', ["T", LONG, "one item", "two item"]),
+    (f'<body><div id="header"><a href=/>Home</a></div><div id="menu"><ul><li><a href=/1>one</a></li><li><a href=/2>two</a></li></ul></div><div id="content">'
+     f'<h2>Head</h2><p>{LONG} <a href=/x>link</a> more.</p><div class="advert">{SHORT}</div><p>{SHORT}</p><form action=/s><label>Mail</label><input name=e></form>'
+     f'</div><div id="sidebar"><h3>Related</h3><p>{SHORT}</p></div><div id="footer"><p>{SHORT}</p></div></body>', ["Head", LONG + " link more.", SHORT]),
+    (f'<article><header><h1>Real title</h1></header><p>{LONG}</p><script>var a = "<p>no</p>";</script><style>p {{}}</style><!-- <p>no</p> --></article>', ["Real title", LONG]),
+    (f"<p>{LONG}</p><p>{SHORT}", [LONG, SHORT]),
+    (LONG, [LONG]),
+    ("", []),
+    (None, []),
+]
+
+
+def test_main_text(spark):
+    from premisa.llm import html_text
+
+    rows = [(i, f"u{i}", page) for i, (page, _) in enumerate(PAGES)]
+    pages = clashing(spark.createDataFrame([*rows, rows[0], (None, None, "<p>x")], "page_id long, url string, html string"))
+    got = html_text.extracted(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    found = {r["page_id"]: r for r in got.collect()}
+    for i, (_, blocks) in enumerate(PAGES):
+        assert found[i]["text"] == "\n\n".join(blocks) and found[i]["n_chars"] == len(found[i]["text"])
+    assert got.count() == len(PAGES) + 2 and html_text.extracted(pages.limit(0)).count() == 0
+    # pages the trees have not seen
+    model, rng, right = html_text.forest(spark), random.Random(999), 0
+    for _ in range(150):
+        page = html_text.training_page(rng)
+        root = html_text.parsed(html_text._marked(page))
+        nodes = html_text._measured(root)
+        own = {x: k for x in nodes for k in ("main", "away") if f"\x00{k}" in x.marks}
+        kept = set()
+        for x, label in zip(nodes, html_text._labels(nodes, own), strict=True):
+            if x.parent is None or x.parent.number in kept and label > 0.5:
+                kept.add(x.number)
+        right += html_text.main_text(re.sub(r" data-(main|away)", "", page), model) == "\n\n".join(html_text.blocks(root, kept))
+    assert right >= 0.95 * 150
+
+
 # languages
 
 
