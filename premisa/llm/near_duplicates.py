@@ -6,12 +6,12 @@ the shingle that arrives first, and a text is done as soon as its next arrivals
 texts agree on a register with the probability of their probability Jaccard similarity. Bands of registers make the
 candidates; the similarity of candidates is then computed from their texts, and links join texts into classes.
 
-Copies (equal word sequences) are merged before anything else. Within a bucket nothing is paired with everything: all
-members are held against its most central one, the one that meets most texts in all its buckets. That suffices in a family
-of copies of one text: two members that are similar without sharing a change are both similar to the original; members that
-share changes also meet in small buckets of their own. Buckets that still span several classes are then narrowed by three
-further registers, other ones in each of ``ROUNDS_AFTER`` rounds, and about ``DRAWN`` members are drawn and held against all
-the others, so small buckets are compared throughout.
+Copies (equal word sequences) are merged before anything else. All members of a bucket are held against its most central
+one, the one that meets most texts in all its buckets. In buckets that still span several classes, every member outside the
+bucket's largest class is then compared with all members of other classes: first by one byte of each register, in blocks of
+about ``BLOCK`` by ``BLOCK`` members, then by text. A round takes the ``BEST`` most agreeing partners of a member in a block,
+the next round four times as many, without the pairs that meanwhile are in one class, until no pair is left out. So two
+texts of a bucket are either compared or in one class by other links.
 
 Defined cases: null, empty and wordless texts have no shingle and are copies of each other; rows with one doc_id count as
 one document; a null doc_id is an id of its own; repeated rows are copies; other columns are not read by ``classes`` and
@@ -35,11 +35,9 @@ THRESHOLD = 0.8
 #: 26 bands of 5: a pair at the threshold shares a bucket with probability 1 - (1 - 0.8**5)**26 = 0.99997.
 BANDS, ROWS = 26, 5
 REGISTERS = BANDS * ROWS
-#: Registers that a pair at the threshold agrees on at least, but for one in 30,000 (four standard deviations).
-LEAST_AGREEING = int(REGISTERS * THRESHOLD - 4 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
-#: Further registers in the key of a narrowed bucket.
-NARROWED = 3
-ROUNDS_AFTER, DRAWN = 2, 4
+#: Registers that a pair at the threshold agrees on at least, but for one in some million (six standard deviations).
+LEAST_AGREEING = int(REGISTERS * THRESHOLD - 6 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
+BLOCK, BEST = 256, 4
 NULL_ID = -(1 << 63)
 
 Bag = tuple[np.ndarray, np.ndarray]
@@ -133,8 +131,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "empty": pa.array(empty),
                 "keys": pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)),
                                                  pa.array(keys.view(np.int64).ravel())),
-                "registers": pa.ListArray.from_arrays(pa.array(np.arange(0, n * REGISTERS + 1, REGISTERS, dtype=np.int32)),
-                                                      pa.array((found >> np.uint64(32)).astype(np.uint32).view(np.int32).ravel())),
+                "registers": pa.array([x.tobytes() for x in (found >> np.uint64(56)).astype(np.uint8)], pa.binary()),
             })
 
 
@@ -154,20 +151,76 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
 
 
-def _linked(pairs: DataFrame, registers: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough.
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Binary values of REGISTERS bytes each, as rows."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, REGISTERS)
 
-    Pairs whose registers agree far too seldom are dropped first; the texts of the others decide. The side with many
-    partners is joined last, where Spark can split it, and goes straight into the verification.
-    """
-    side = lambda table, x, name: table.select(F.col("id").alias(x), F.col(name).alias(f"{x}_{name}"))
-    both = pairs.join(side(registers, "b", "registers"), "b").join(side(registers, "a", "registers"), "a")
-    agree = "aggregate(zip_with(a_registers, b_registers, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x)"
-    near = written(both.where(f"{agree} >= {LEAST_AGREEING}").select("a", "b"), "pairs")
-    both = near.join(side(texts, "b", "text"), "b").join(side(texts, "a", "text"), "a")
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, a_registers, b_registers) to the (a, b) whose registers agree often enough."""
+    for batch in batches:
+        agree = (_bytes(batch.column("a_registers")) == _bytes(batch.column("b_registers"))).sum(axis=1)
+        yield batch.select(["a", "b"]).filter(pa.array(agree >= LEAST_AGREEING))
+
+
+def _partners(best: int):
+    """Blocks, arrays ``of`` of (minor, id, class_id, registers), to pairs (a, b): for each minor member the ``best`` most
+    agreeing ones of other classes; ``rest`` marks a pair of a member that has more than these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = batch.column("of")
+            ends = of.offsets.to_numpy()
+            minor, ids, named = (of.values.field(k).to_numpy(zero_copy_only=False) for k in ("minor", "id", "class_id"))
+            registers = _bytes(of.values.field("registers"))
+            found: tuple[list, list, list] = ([], [], [])
+            for i, j in zip(ends[:-1], ends[1:], strict=True):
+                left = i + np.flatnonzero(minor[i:j])
+                right = i + np.flatnonzero(~minor[i:j])
+                for x in left:
+                    y = right[named[right] != named[x]]
+                    agree = (registers[y] == registers[x]).sum(axis=1)
+                    near = np.flatnonzero(agree >= LEAST_AGREEING)
+                    more = len(near) > best
+                    if more:
+                        near = near[np.argsort(-agree[near], kind="stable")[:best]]
+                    for k, z in enumerate((np.minimum(ids[x], ids[y[near]]), np.maximum(ids[x], ids[y[near]]), np.full(len(near), more))):
+                        found[k].append(z)
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["a", "b", "rest"])
+
+    return run
+
+
+def _side(table: DataFrame, x: str, name: str) -> DataFrame:
+    return table.select(F.col("id").alias(x), F.col(name).alias(f"{x}_{name}"))
+
+
+def _linked(near: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are similar enough. The side with many partners is joined last, where Spark can split
+    it, and goes straight into the verification."""
+    both = near.join(_side(texts, "b", "text"), "b").join(_side(texts, "a", "text"), "a")
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
 
 
+def _blocks(members: DataFrame, found: DataFrame, registers: DataFrame) -> DataFrame:
+    """Of the buckets that span several classes: blocks of members outside the largest class by blocks of all members, in
+    an array ``of`` of (minor, id, class_id, registers)."""
+    named = members.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+    sizes = named.groupBy("key", "class_id").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class_id")).alias("most"))
+    open_ = sizes.where("n > most.n").select(
+        "key", F.col("most.class_id").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("wide"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("long"))
+    named = written(named.join(open_, "key").join(registers, "id"), "open-buckets")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
+    of = lambda minor: F.struct(F.lit(minor).alias("minor"), "id", "class_id", "registers").alias("x")
+    minors = named.where("class_id <> major").select("key", dealt(1, "wide").alias("i"), every("long").alias("j"), of(True))
+    others = named.select("key", every("wide").alias("i"), dealt(2, "long").alias("j"), of(False))
+    return minors.unionByName(others).groupBy("key", "i", "j").agg(F.collect_list("x").alias("of")).select("of")
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components: (id, class_id), the smallest id of each; ids without links are left out.
 
@@ -202,7 +255,7 @@ def classes(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").cast("string").alias("text")
     )
     signed = written(source.mapInArrow(
-        _signed, "id long, h1 long, h2 long, empty boolean, keys array<long>, registers array<int>"), "signatures")
+        _signed, "id long, h1 long, h2 long, empty boolean, keys array<long>, registers binary"), "signatures")
     # one representative of all copies
     copies = signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     member = signed.select("id", "h1", "h2").join(copies, ["h1", "h2"]).select("id", "rep")
@@ -219,21 +272,25 @@ def classes(docs: DataFrame) -> DataFrame:
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
     pairs = pairs.select("a", F.col("id").alias("b")).distinct()
-    links = written(_linked(pairs, registers, texts), "links")
-    found = components(links)
-    for more in range(1, ROUNDS_AFTER + 1):
-        # buckets, narrowed by further registers (others in each round), that span several classes
-        further = f"transform(sequence(1, {NARROWED}), i -> registers[(band * {ROWS} + {ROWS} + (i + {NARROWED * more}) * 7) % {REGISTERS}])"
-        named = buckets.drop("met").join(registers, "id").select("id", F.xxhash64("key", F.expr(further)).alias("key"))
-        named = named.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
-        open_ = named.groupBy("key").agg(F.count("*").alias("n"), F.min("class_id").alias("c1"), F.max("class_id").alias("c2"))
-        named = written(named.join(open_.where("c1 <> c2").select("key", "n"), "key"), "open-buckets")
-        asked = F.expr(f"pmod(xxhash64(id, key), n) < {DRAWN}")
-        heads = named.where(asked).select("key", F.col("id").alias("a"), F.col("class_id").alias("a_class"))
-        pairs = named.join(heads, "key").where("a_class <> class_id")
-        pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-        links = written(links.unionByName(_linked(pairs, registers, texts)), "links")
+    near = pairs.join(_side(registers, "b", "registers"), "b").join(_side(registers, "a", "registers"), "a")
+    near = near.select("a", "b", "a_registers", "b_registers").mapInArrow(_near, "a long, b long")
+    links = written(_linked(written(near, "pairs"), texts), "links")
     found = components(links)
+    # the head of a bucket has been compared with all of it
+    members = buckets.select("id", "key").join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id").drop("a")
+    best, tested = BEST, None
+    while True:
+        near = _blocks(members, found, registers).mapInArrow(_partners(best), "a long, b long, rest boolean")
+        near = written(near.groupBy("a", "b").agg(F.max("rest").alias("rest")), "pairs")
+        new = near.select("a", "b") if tested is None else near.join(tested, ["a", "b"], "left_anti").select("a", "b")
+        new = written(_linked(new, texts), "links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            found = components(links)
+        if near.where("rest").isEmpty():
+            break
+        tested = near.select("a", "b") if tested is None else tested.unionByName(near.select("a", "b"))
+        best *= 4
     out = member.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.nullif(F.col("id"), F.lit(NULL_ID)).alias("doc_id"),

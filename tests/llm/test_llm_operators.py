@@ -303,6 +303,33 @@ def test_near_duplicate_classes(spark, empty):
     assert near_duplicates.classes(empty).count() == 0
 
 
+def pairs_on_a_core(n):
+    """2n texts around one core: 2k and 2k + 1 are similar (0.82), others are not (0.78), so no member is a centre."""
+    core = " ".join(f"core{i}" for i in range(400))
+    return [(d, f"{core} {' '.join(f'both{d // 2}x{i}' for i in range(12))} {' '.join(f'own{d}x{i}' for i in range(45))}") for d in range(2 * n)]
+
+
+def test_near_duplicates_without_a_centre(spark):
+    rows = pairs_on_a_core(150)
+    sets = [set(zip(*[t.split()[i:] for i in range(5)])) for _, t in rows[:3]]
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert like(sets[0], sets[1]) >= 0.81 and like(sets[0], sets[2]) < 0.79
+    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {(r["doc_id"], r["class_id"]) for r in got.collect()} == {(d, d - d % 2) for d, _ in rows}
+
+
+def test_partners_left_out_of_a_block_are_told():
+    import numpy as np
+    import pyarrow as pa
+
+    row = lambda k: {"minor": k == 0, "id": k, "class_id": k, "registers": bytes(min(k, 20)) + b"\1" * (near_duplicates.REGISTERS - min(k, 20))}
+    batch = pa.RecordBatch.from_pydict({"of": pa.array([[row(k) for k in range(10)]])})
+    few = pa.Table.from_batches(near_duplicates._partners(4)([batch])).to_pydict()
+    assert few == {"a": [0] * 4, "b": [1, 2, 3, 4], "rest": [True] * 4}
+    every = pa.Table.from_batches(near_duplicates._partners(16)([batch])).to_pydict()
+    assert sorted(every["b"]) == list(np.arange(1, 10)) and not any(every["rest"])
+
+
 def test_registers_estimate_probability_jaccard():
     import numpy as np
 
