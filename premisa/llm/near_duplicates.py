@@ -13,9 +13,13 @@ about ``BLOCK`` by ``BLOCK`` members, then by text. A round takes the ``BEST`` m
 the next round four times as many, without the pairs that meanwhile are in one class, until no pair is left out. So two
 texts of a bucket are either compared or in one class by other links.
 
-Defined cases: null, empty and wordless texts have no shingle and are copies of each other; rows with one doc_id count as
-one document; a null doc_id is an id of its own; repeated rows are copies; other columns are not read by ``classes`` and
-pass through ``deduplicated`` untouched; an empty table gives an empty result.
+Rows are told apart by their texts, never by doc_id: each distinct word sequence gets a number, links and classes are of
+these numbers, and a class takes its name, the smallest doc_id, at the end.
+
+Defined cases: null, empty and wordless texts have no shingle and are copies of each other; rows with one doc_id, or with a
+null one, and different texts are different documents, whose classes may have the same name; null is the smallest doc_id;
+repeated rows are copies; other columns are not read by ``classes`` and pass through ``deduplicated`` untouched; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premisa.llm.common import packed, ready, unpacked, written
@@ -125,7 +129,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + found[:, r::ROWS])
             empty = np.array([len(x) == 0 for x, _ in of])
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id").slice(start, n),
+                **{k: batch.column(k).slice(start, n) for k in ("doc", "t1", "t2")},
                 "h1": pa.array(whole[:, 0].view(np.int64)),
                 "h2": pa.array(whole[:, 1].view(np.int64)),
                 "empty": pa.array(empty),
@@ -248,26 +252,31 @@ def components(links: DataFrame) -> DataFrame:
     return written(edges.select(F.col("u").alias("id"), F.col("v").alias("class_id")).unionByName(roots), "classes")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id and class_id, the smallest doc_id of its near-duplicate class."""
+def _rows(doc: str, text: str) -> list[Column]:
+    """What tells the rows of ``docs`` apart: doc_id (NULL_ID for null) and 128 bits of the text."""
+    words = F.col(text).cast("string")
+    return [F.coalesce(F.col(doc).cast("long"), F.lit(NULL_ID)).alias("doc"),
+            F.xxhash64(words).alias("t1"), F.xxhash64(F.lit(1), words).alias("t2")]
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All rows with the row that names their class (doc, name), and these rows (doc, t1, t2), one of each class."""
     ready(docs.sparkSession)
-    source = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), F.col("text").cast("string").alias("text")
-    )
+    source = docs.select(*_rows("doc_id", "text"), F.col("text").cast("string").alias("text"))
     signed = written(source.mapInArrow(
-        _signed, "id long, h1 long, h2 long, empty boolean, keys array<long>, registers binary"), "signatures")
-    # one representative of all copies
-    copies = signed.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    member = signed.select("id", "h1", "h2").join(copies, ["h1", "h2"]).select("id", "rep")
-    own = written(signed.where("not empty").groupBy("h1", "h2").agg(
-        F.min(F.struct("id", "keys", "registers")).alias("x")).select("x.*"), "representatives")
-    spread = own.select("id", F.posexplode("keys").alias("band", "key"))
+        _signed, "doc long, t1 long, t2 long, h1 long, h2 long, empty boolean, keys array<long>, registers binary"), "signatures")
+    # one row, and a number, for all copies
+    own = signed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t1", "t2", "empty", "keys", "registers")).alias("x"))
+    own = written(own.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "x.*"), "representatives")
+    spread = own.where("not empty").select("id", F.explode("keys").alias("key"))
     crowd = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = written(spread.join(crowd, "key"), "buckets")
     central = buckets.groupBy("id").agg(F.sum("n").alias("met"))
-    buckets = written(buckets.select("id", "band", "key").join(central, "id"), "buckets")
+    buckets = written(buckets.select("id", "key").join(central, "id"), "buckets")
     wanted = buckets.select("id").distinct()
-    texts = written(source.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")), "candidates")
+    asked = own.select("id", "doc", "t1", "t2").join(wanted, "id")
+    texts = source.join(asked, ["doc", "t1", "t2"]).groupBy("doc", "t1", "t2", "id").agg(F.min("text").alias("text"))
+    texts = written(texts.select("id", "text"), "candidates")
     registers = written(own.select("id", "registers").join(wanted, "id", "left_semi"), "registers")
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
@@ -291,16 +300,22 @@ def classes(docs: DataFrame) -> DataFrame:
             break
         tested = near.select("a", "b") if tested is None else tested.unionByName(near.select("a", "b"))
         best *= 4
-    out = member.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    return out.select(
-        F.nullif(F.col("id"), F.lit(NULL_ID)).alias("doc_id"),
-        F.nullif(F.coalesce("class_id", "rep"), F.lit(NULL_ID)).alias("class_id"),
-    )
+    named = own.select("id", "h1", "h2", F.struct("doc", "t1", "t2").alias("row")).join(found, "id", "left")
+    named = written(named.withColumn("class_id", F.coalesce("class_id", "id")), "named")
+    least = named.groupBy("class_id").agg(F.min("row").alias("row"))
+    of = named.select("h1", "h2", "class_id").join(least, "class_id").select("h1", "h2", F.col("row.doc").alias("name"))
+    return signed.select("doc", "h1", "h2").join(of, ["h1", "h2"]).select("doc", "name"), least.select("row.*")
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id and class_id, the smallest doc_id of its near-duplicate class."""
+    rows, _ = _classes(docs)
+    return rows.select(*[F.nullif(F.col(x), F.lit(NULL_ID)).alias(y) for x, y in (("doc", "doc_id"), ("name", "class_id"))])
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each class the row of its smallest doc_id, once."""
-    kept = classes(docs).where("doc_id <=> class_id").select("doc_id").distinct()
-    rows = packed(docs).withColumn("id", F.coalesce(F.col("row.doc_id").cast("long"), F.lit(NULL_ID)))
-    kept = kept.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"))
-    return unpacked(rows.join(kept, "id", "left_semi").dropDuplicates(["id"]))
+    """The rows of ``docs`` without near duplicates: of each class one row, of those with its smallest doc_id."""
+    _, kept = _classes(docs)
+    rows = packed(docs)
+    rows = rows.select("row", *_rows("row.doc_id", "row.text"))
+    return unpacked(rows.join(kept, ["doc", "t1", "t2"], "left_semi").dropDuplicates(["doc", "t1", "t2"]))

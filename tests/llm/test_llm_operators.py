@@ -318,6 +318,15 @@ def test_near_duplicates_without_a_centre(spark):
     assert {(r["doc_id"], r["class_id"]) for r in got.collect()} == {(d, d - d % 2) for d, _ in rows}
 
 
+def test_documents_without_an_own_id_are_kept(spark):
+    rng = random.Random(21)
+    texts = [prose(rng, 80) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (9, texts[1] + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    once = near_duplicates.deduplicated(docs)
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in once.collect()) == sorted([(0, texts[0]), (0, texts[1]), (0, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5])])
+
+
 def test_partners_left_out_of_a_block_are_told():
     import numpy as np
     import pyarrow as pa
