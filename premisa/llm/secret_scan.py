@@ -1,16 +1,18 @@
 """Secret scan: candidates by shape, false positives removed by a random forest. DataFrame functions only.
 
-A candidate is a run of at least twelve token characters that holds a digit or is assigned to a name. Its features are its
-length and make-up, how likely its letters follow each other in prose, the share covered by dictionary words, the words
-around it and the path (source) it was found in. Letter transitions and the dictionary are counted over all words of all
-documents. The forest is trained here on labelled findings; no table of the data has any, so ``labelled_findings`` makes a
+A candidate is every run of at least twelve token characters of a word that holds a digit or is assigned to a name, and the
+whole right side of an assignment to a credential name (or the password of a login in an address) whatever its length and
+symbols; a right side ends at its closing quote, or without quotes at a quote, comma, semicolon, ampersand or the word's end.
+Its features are its length and make-up, how likely its letters follow each other in prose, the share covered by dictionary
+words, the words around it and the path (source) it was found in. Letter transitions and the dictionary are counted over all
+words of all documents. The forest is trained here on labelled findings; no table of the data has any, so ``labelled_findings`` makes a
 bounded set from templates with known answers (``FINDINGS`` rows; keys of common issuers, assigned passwords and tokens;
 against them numbers, hashes, identifiers, dates, placeholders, test fixtures). The trained trees become one expression,
 evaluated next to the text: no join, no shuffle of texts.
 
 Defined cases: null and empty texts hold no secret; a null source is an ordinary path; a secret is masked wherever its
-value occurs in the document; repeated rows are scanned each; other columns pass through ``masked`` untouched; an empty
-table gives an empty result.
+value occurs in the document (one of under twelve characters only where no letter or digit is next to it);
+repeated rows are scanned each; other columns pass through ``masked`` untouched; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +35,14 @@ MASK = "[SECRET]"
 
 # Shapes and words.
 VALUE = r"(eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+|[A-Za-z0-9+/_-]{12,}={0,2})[^A-Za-z0-9]*$"
+RUN = r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+|[A-Za-z0-9+/_-]{12,}={0,2}"
+NAME = r"(?i:pass(?:word|wd)?|pwd|secret|token|api_?key|auth|credential|private|access)[_A-Za-z0-9-]{0,20}[\"']?[=:]{1,2}"
+PLAIN = r"[^\"'&,;]*[^\"'&,;.:)\]}>]"
+ASSIGNED = (rf"(?<=[=:\"'])(?:(?<={NAME}\")[^\"]+(?=\"|$)|(?<={NAME}')[^']+(?='|$)|(?<={NAME}){PLAIN}"
+            r"|(?<=://[^\s/:@]{0,64}:)[^@/\s]+(?=@))")
+#: For a word whose assignment is in the words before it.
+RIGHT_SIDE = rf"(?<=^\")[^\"]+(?=\"|$)|(?<=^')[^']+(?='|$)|^{PLAIN}"
+LOGIN = r"://[^\s/:@]*:$"
 ISSUERS = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-|^eyJ[A-Za-z0-9_-]+\\.|^sk_live_|^AIza"
 CREDENTIAL = r"(?i)(pass|passwd|password|pwd|secret|token|api_?key|auth|credential|private|access)[_a-z]*[^a-z]*$"
 HARMLESS = r"(?i)(example|sample|dummy|test|fake|sha|commit|revision|md5|checksum|digest|uuid|card|account|order|invoice|build|version|file|id)[^a-z]*$"
@@ -67,20 +77,24 @@ def statistics(counts: DataFrame) -> tuple[list[float], list[str]]:
     return table, [r["w"] for r in top]
 
 
+def _literal(pattern: str) -> str:
+    return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _class(c: str) -> str:
     at = f"instr('{ALPHABET}', {c})"
     return f"case when {at} = 0 then 27 when {at} > 26 then 26 else {at} - 1 end"
 
 
 def _features(c: str, table: list[float], dictionary: list[str]) -> dict[str, str]:
-    """SQL of each feature over a struct with value, word, before, before2, path."""
+    """SQL of each feature over a struct with value, head (the word before the value), assigned, before, before2, path."""
     v, low, n = f"{c}.value", f"lower({c}.value)", f"length({c}.value)"
     share = lambda kept: f"cast(length(regexp_replace({v}, '{kept}', '')) as double) / {n}"
     known = "|".join(sorted(dictionary, key=lambda w: (-len(w), w))) or "(?!)"
-    head = f"substring_index({c}.word, {v}, 1)"
+    head = f"{c}.head"
     around = f"concat_ws(' ', {c}.before2, {c}.before, {head})"
     step = f"element_at(array({', '.join(f'{x}D' for x in table)}), 1 + {CLASSES} * ({_class('substring(t, i, 1)')}) + ({_class('substring(t, i + 1, 1)')}))"
-    chain = f"aggregate(transform(sequence(1, {n} - 1), i -> element_at(transform(array({low}), t -> {step}), 1)), 0D, (a, x) -> a + x) / ({n} - 1)"
+    chain = f"if({n} < 2, 0D, aggregate(transform(sequence(1, greatest({n} - 1, 1)), i -> element_at(transform(array({low}), t -> {step}), 1)), 0D, (a, x) -> a + x) / ({n} - 1))"
     return {
         "length": f"cast(least({n}, 200) as double)",
         "transitions": chain,
@@ -92,7 +106,7 @@ def _features(c: str, table: list[float], dictionary: list[str]) -> dict[str, st
         "switches": f"cast(length(regexp_replace(regexp_replace({v}, '[0-9]+', '0'), '[^0]+', 'a')) as double) / {n}",
         "hexadecimal": f"if({low} rlike '^[0-9a-f]+$' and {low} rlike '[a-f]', 1D, 0D)",
         "issuer": f"if({v} rlike '{ISSUERS}', 1D, 0D)",
-        "credential": f"if({around} rlike '{CREDENTIAL}', 1D, 0D)",
+        "credential": f"if({around} rlike '{CREDENTIAL}' or {c}.assigned and {head} rlike {_literal(LOGIN)}, 1D, 0D)",
         "harmless": f"if({around} rlike '{HARMLESS}' or {low} rlike '(example|sample|dummy|xxxx|your)', 1D, 0D)",
         "quoted": f"if({head} rlike '[\"\\\\x27]$', 1D, 0D)",
         "assigned": f"if({head} rlike '[=:][\"\\\\x27]?$' or {c}.before rlike '[=:]$', 1D, 0D)",
@@ -107,19 +121,35 @@ def _with_features(df: DataFrame, column: str, table: list[float], dictionary: l
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """``row`` (the input row) and ``found``: array of (at, word, value, before2, before, path)."""
+    """``row`` (the input row) and ``found``: array of (at, head, value, assigned, before2, before, path)."""
     path_sql = f"cast(row.{path} as string)" if path in docs.columns else "cast(null as string)"
     df = packed(docs).withColumn("words", words(F.col("row.text").cast("string")))
-    shape = (
-        f"length(x) >= {LEAST_LENGTH} and (x rlike '[0-9]' or x rlike '[=:]' or coalesce(get(words, i - 1), '') rlike '[=:]$')"
-    )
+    # an assignment inside the word, one that ends before it, or a long word with a digit
+    last = "rtrim('\\x22\\x27', coalesce(get(words, i - 1), ''))".replace("\\x22", '"').replace("\\x27", "\\'")
+    shape = (f"(instr(x, '=') > 0 or instr(x, ':') > 0) and x rlike '[=:].' or length(x) >= {LEAST_LENGTH} and x rlike '[0-9]' "
+             f"or {last} like '%=' or {last} like '%:'")
     df = df.withColumn("places", F.expr(f"filter(transform(words, (x, i) -> if({shape}, i, -1)), i -> i >= 0)"))
-    found = (
-        f"transform(places, i -> struct(i as at, words[i] as word, regexp_extract(words[i], '{VALUE}', 1) as value, "
-        f"coalesce(get(words, i - 2), '') as before2, coalesce(get(words, i - 1), '') as before, {path_sql} as path))"
-    )
-    real = "c.value <> '' and (c.value rlike '[0-9]' or substring_index(c.word, c.value, 1) rlike '[=:]' or c.before rlike '[=:]$')"
-    return df.withColumn("found", F.expr(f"filter({found}, c -> {real})")).select("row", "found")
+    df = df.withColumn("places", F.expr(
+        f"transform(places, i -> struct(i as at, translate(words[i], '\x01', '\x02') as word, coalesce(get(words, i - 2), '') as before2, "
+        f"coalesce(get(words, i - 1), '') as before, {path_sql} as path))"))
+    # values between marks: first the right sides of assignments, then the runs in what is left
+    after = f"concat(p.before2, p.before) rlike {_literal(f'{NAME}[{chr(34)}{chr(39)}]?$')}"
+    marked = "'\x01$0\x01'"
+    sides = (f"case when {after} then regexp_replace(p.word, {_literal(f'{RIGHT_SIDE}|{ASSIGNED}')}, {marked}) "
+             f"when p.word rlike '[=:].' then regexp_replace(p.word, {_literal(ASSIGNED)}, {marked}) else p.word end")
+    df = df.withColumn("places", F.expr(f"transform(places, p -> struct(p.*, split({sides}, '\x01', -1) as sides))".replace(
+        "p.*", "p.at as at, p.before2 as before2, p.before as before, p.path as path")))
+    split_run = f"split(regexp_replace(s, {_literal(RUN)}, {marked}), '\x01', -1)"
+    pieces = (f"flatten(transform(p.sides, (s, k) -> if(k % 2 = 1, array(struct(s as value, 'a' as kind)), "
+              f"transform({split_run}, (r, m) -> struct(r as value, if(m % 2 = 1, 'r', '') as kind)))))")
+    df = df.withColumn("places", F.expr(
+        f"transform(places, p -> struct(p.at as at, p.before2 as before2, p.before as before, p.path as path, {pieces} as pieces))"))
+    df = df.withColumn("found", F.expr(
+        "flatten(transform(places, p -> filter(transform(p.pieces, (v, k) -> if(v.kind = '', null, struct(p.at as at, "
+        "concat_ws('', transform(slice(p.pieces, 1, k), y -> y.value)) as head, v.value as value, v.kind = 'a' as assigned, "
+        "p.before2 as before2, p.before as before, p.path as path))), c -> c is not null)))"))
+    real = "c.assigned or c.value rlike '[0-9]' or c.head rlike '[=:]' or c.before rlike '[=:]$'"
+    return df.withColumn("found", F.expr(f"filter(found, c -> {real})")).select("row", "found")
 
 
 def labelled_findings(spark: SparkSession, dictionary: list[str], rows: int = FINDINGS) -> DataFrame:
@@ -138,6 +168,9 @@ def labelled_findings(spark: SparkSession, dictionary: list[str], rows: int = FI
     value = f"{pick(12, f'substr({hexa}, 1, {size(13, 16, 64)})', f'substr({plain}, 1, {size(14, 14, 44)})', f'substr({mixed}, 1, {size(15, 16, 44)})')}"
     quiet = pick(16, *[f"'{x}'" for x in ("commit", "sha256:", "md5", "checksum", "revision", "digest", "build", "uuid")])
     uuid = f"concat_ws('-', substr({hexa}, 1, 8), substr({hexa}, 9, 4), substr({hexa}, 13, 4), substr({hexa}, 17, 4), substr({hexa}, 21, 12))"
+    symbols = pick(24, "''", "'!'", "'@'", "'#'", "'$'")
+    short = f"concat(initcap(substr({word(25)}, 1, 4)), {symbols}, substr({plain}, 1, {size(26, 3, 9)}), pmod(id, 90) + 10, {pick(27, repr(''), repr('$'), repr('#x'))})"
+    issued = pick(28, f"concat('AKIA', substr({upper}, 1, 16))", f"concat('ghp_', substr({plain}, 1, 36))")
     # (label, word before the last, word before, word with the value, value, path)
     kinds = [
         (1, word(1), word(2), f"concat('AKIA', substr({upper}, 1, 16))", None, None),
@@ -157,16 +190,25 @@ def labelled_findings(spark: SparkSession, dictionary: list[str], rows: int = FI
         (0, word(1), word(2), f"concat({name}, '=', {pick(23, repr('your_api_key_here'), repr('xxxxxxxxxxxxxxxx1'), repr('example_password_1'), repr('changeme_changeme'))})", None, None),
         (0, word(1), word(2), f"concat({name}, '=', {value})", value, "'tests/fixtures/settings.py'"),
         (0, word(1), f"concat({word(6)}, ':')", f"concat({word(3)}, {word(4)}, {word(5)})", None, None),
+        (1, word(1), word(2), f"concat({name}, '=', {short})", short, None),
+        (1, word(1), word(2), f"concat({name}, '=\"', {short}, '\"')", short, None),
+        (1, word(1), word(2), f"concat('{{\"', {name}, '\":\"', {issued}, '\",\"', {word(3)}, '\":1}}')", issued, None),
+        (1, word(1), word(2), f"concat('{{\"key\":\"', {issued}, '\",\"', {word(3)}, '\":1}}')", issued, None),
+        (1, word(1), word(2), f"concat({word(3)}, ',', {issued}, ',', {word(4)})", issued, None),
+        (1, word(1), word(2), f"concat('postgres://', {word(3)}, ':', {short}, '@', {word(4)}, ':5432/app')", short, None),
+        (0, word(1), word(2), f"concat({name}, '=', {word(3)})", word(3), None),
+        (0, word(1), f"concat({name}, ':')", word(3), word(3), None),
     ]
     rows_of = []
-    for label, before2, before, text, _, path in kinds:
+    for label, before2, before, text, value, path in kinds:
         rows_of.append(
-            f"named_struct('label', {label}, 'before2', {before2}, 'before', {before}, 'word', cast({text} as string), 'path', {path or "concat('src', pmod(id, 20))"})"
+            f"named_struct('label', {label}, 'before2', {before2}, 'before', {before}, 'word', cast({text} as string), 'given', cast({value or 'null'} as string), 'path', {path or "concat('src', pmod(id, 20))"})"
         )
     made = spark.range(0, rows, 1, 1).select("id", F.expr(
         "case " + " ".join(f"when pmod(id, {len(kinds)}) = {k} then {r}" for k, r in enumerate(rows_of)) + " end").alias("x"))
-    made = made.select("id", "x.*").withColumn("value", F.expr(f"regexp_extract(word, '{VALUE}', 1)")).where("value <> ''")
-    found = F.array(F.struct(F.lit(0).alias("at"), "word", "value", "before2", "before", "path"))
+    made = made.select("id", "x.*").withColumn("value", F.expr(f"coalesce(given, regexp_extract(word, '{VALUE}', 1))")).where("value <> ''")
+    made = made.withColumn("head", F.expr("substring_index(word, value, 1)")).withColumn("assigned", F.expr("given is not null"))
+    found = F.array(F.struct(F.lit(0).alias("at"), "head", "value", "assigned", "before2", "before", "path"))
     return made.select("id", F.col("label").cast("double").alias("label"), found.alias("found"))
 
 
@@ -205,7 +247,10 @@ def secrets(docs: DataFrame) -> DataFrame:
 def masked(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret's value replaced by MASK; n_chars, where it is a column, follows the text."""
     values = "array_sort(array_distinct(transform(found, f -> f.value)), (a, b) -> length(b) - length(a))"
-    df = scanned(docs).withColumn("text", F.expr(f"aggregate({values}, cast(row.text as string), (t, v) -> replace(t, v, '{MASK}'))"))
+    # a short value only where it stands alone
+    alone = r"concat('(?<![A-Za-z0-9])\\Q', replace(v, '\\E', '\\E\\\\E\\Q'), '\\E(?![A-Za-z0-9])')"
+    masking = f"if(length(v) < {LEAST_LENGTH}, regexp_replace(t, {alone}, '{MASK}'), replace(t, v, '{MASK}'))"
+    df = scanned(docs).withColumn("text", F.expr(f"aggregate({values}, cast(row.text as string), (t, v) -> {masking})"))
     row = F.col("row").withField("text", F.col("text").cast(docs.schema["text"].dataType))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
