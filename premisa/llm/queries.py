@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from premisa.llm import decontamination, html_text, language_id, near_duplicates, packing, quality_rules, repeated_spans, secret_scan, sharding, warc
+from premisa.llm import (
+    decontamination,
+    html_text,
+    language_id,
+    near_duplicates,
+    packing,
+    quality_rules,
+    repeated_spans,
+    secret_scan,
+    sharding,
+    token_prefixes,
+    warc,
+)
 from premisa.llm.quality_sql import QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,10 +54,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 SHARDS = 24
@@ -98,3 +110,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_prefixes.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
