@@ -10,6 +10,7 @@ from premisa.llm import (
     decontamination,
     html_text,
     language_id,
+    merkle,
     near_duplicates,
     packing,
     quality_rules,
@@ -115,3 +116,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_token_counts")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefixes.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
+
+
+@query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
