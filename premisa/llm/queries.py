@@ -19,6 +19,7 @@ from premisa.llm import (
     sharding,
     token_prefixes,
     warc,
+    whitening,
 )
 from premisa.llm.quality_sql import QUALITY
 
@@ -113,6 +114,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 @query("op12_token_counts")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefixes.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
