@@ -177,9 +177,10 @@ def manifest(docs: DataFrame, tampered_text: Column, fields: tuple[str, ...] = F
     over = Forest(tops.select(
         F.lit(0).cast("long").alias("tree"), F.col("tree").alias("idx"), F.lit(number).cast("long").alias("size"), "digest",
         F.struct(F.col("tree").alias("of")).alias("payload")))
-    roots = over.tops().select(F.col("digest").alias("root"))  # one row
+    top = over.tops().first()
+    root = bytes(top["digest"]) if top else None
     subroots = over.proofs().select(F.col("payload.of").alias("_of"), F.col("digest").alias("subroot"), F.col("segment").alias("_above"))
-    subroots = written(subroots.join(F.broadcast(roots), F.lit(True)), "subroots")
+    subroots = written(subroots.withColumn("root", F.lit(root).cast("binary")), "subroots")
     found = _with_source(forest.proofs(), subroots, number, F.col("tree") == F.col("_of"), ["_of"])
     return found.select(
         "payload.doc_id", "payload.source", _hex(F.col("digest")).alias("leaf"), _hex(F.col("payload.tampered")).alias("tampered"),

@@ -21,6 +21,7 @@ from premisa.llm import (
     warc,
     whitening,
 )
+from premisa.llm.merkle_sql import MANIFEST
 from premisa.llm.quality_sql import QUALITY
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +125,6 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_prefixes.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), limit=512)
 
 
-@query("op13_merkle_manifest")
+@query("op13_merkle_manifest", MANIFEST)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
