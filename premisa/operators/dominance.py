@@ -1,15 +1,16 @@
-"""Sums over dominated points: for queries (x, y) the sums over the points to the left of and below them.
-
-The plane is cut into at most BLOCKS columns and rows by quantiles of the points; every quantile value is a strip of its own,
-so a value that many points share never has to be split. A query adds up whole cells from prefix sums of the grid (bounded:
-BLOCKS squared per key), the rest of its own column, and the rest of its own row. Columns and rows are groups of one task
-each; inside them sums come from a wavelet walk over ranks. The number of jobs does not depend on the number of points or
-queries.
+"""Sums over dominated points: for queries (x, y) the sums over the points to the left of and below them, at any size.
+
+Points and queries are ranked together along x and along y (``premisa.ordering``: range shuffles, no quantiles to guess), so
+both coordinates become dense whole numbers, however skewed the values are. A tree over x ranks, 2**FAN children to a node and
+2**LEAF rows to a leaf, splits a query's left side into the children before its own on each level, and the part of its own
+leaf. On each level the rows of a node are cut along y into chunks of 2**LEAF rows: whole chunks below a query come from the prefix sums
+of a table of (chunk, child), at most 2**FAN squared cells to a node, and the rest from its own chunk. Every group that a task takes
+therefore holds at most 2**LEAF rows, or one table of a node: nothing grows with the data but the number of groups and,
+with its logarithm, of levels. Tables and ranks stay in Spark; only the number of rows of each key comes to the driver.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -17,42 +18,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POINTS_PER_STRIP = 50_000
-BLOCKS = 256
-
-
-def _cuts(points: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Cuts of x and y per key; each quantile value v gives the strip [v, next double)."""
-    sizes = {r["k"]: r["n"] for r in points.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = min(BLOCKS, 1 + max(sizes.values(), default=0) // POINTS_PER_STRIP)
-    if blocks < 2:
-        return {k: (np.zeros(0), np.zeros(0)) for k in sizes}
-    at = [i / blocks for i in range(1, blocks)]
-    rows = points.groupBy("k").agg(
-        F.percentile_approx("x", at, 10_000).alias("x"), F.percentile_approx("y", at, 10_000).alias("y")
-    )
-    both = lambda q: np.array(sorted({e for v in q for e in (v, math.nextafter(v, math.inf))}))
-    return {r["k"]: (both(r["x"]), both(r["y"])) for r in rows.collect()}
-
-
-def _single(cuts: np.ndarray) -> np.ndarray:
-    """Which strips hold one value only."""
-    out = np.zeros(len(cuts) + 1, dtype=bool)
-    if len(cuts) > 1:
-        out[1:-1] = np.nextafter(cuts[:-1], np.inf) == cuts[1:]
-    return out
+from premisa.ordering import positioned
+from premisa.session import written
 
+LEAF = 15
+FAN = 8
 
-def dominated_sums(points: DataFrame, queries: DataFrame, sums: Sequence[str], tags: str) -> DataFrame:
-    """``queries`` with the sums over the points of their key with smaller x and y.
 
-    ``points``: k, x, y and ``sums``, one row per distinct (k, x, y). ``queries``: k, x, y, x_in, y_in (whether an equal
-    x or y counts), and the columns of the schema ``tags``, which tell queries apart. Returns k, the tags and the sums.
-    """
-    cuts = _cuts(points)
-    names = [t.split()[0] for t in tags.split(", ")]
+def _sum_functions(sums: list[str], names: list[str]):
+    """The work inside one group. Nested, so that workers get the code itself and need no installed package."""
 
-    # Nested, so that workers get the code itself and need no installed package.
     def prefix_rank_sums(rank: np.ndarray, weights: np.ndarray, first: np.ndarray, below: np.ndarray) -> np.ndarray:
         """For each query the column sums of ``weights`` over the first ``first`` points whose rank is under ``below``."""
         low, high = np.zeros(len(first), dtype=np.int64), first.astype(np.int64)
@@ -60,9 +35,9 @@ def dominated_sums(points: DataFrame, queries: DataFrame, sums: Sequence[str], t
         for bit in reversed(range(max(1, len(rank).bit_length()))):
             small = (rank >> bit) & 1 == 0
             zeros = np.concatenate([[0], np.cumsum(small)])
-            sums = np.concatenate([np.zeros((1, weights.shape[1])), np.cumsum(np.where(small[:, None], weights, 0.0), axis=0)])
+            upto = np.concatenate([np.zeros((1, weights.shape[1])), np.cumsum(np.where(small[:, None], weights, 0.0), axis=0)])
             take = (below >> bit) & 1 == 1
-            out += np.where(take[:, None], sums[high] - sums[low], 0.0)
+            out += np.where(take[:, None], upto[high] - upto[low], 0.0)
             low0, high0 = zeros[low], zeros[high]
             low = np.where(take, zeros[-1] + low - low0, low0)
             high = np.where(take, zeros[-1] + high - high0, high0)
@@ -70,88 +45,115 @@ def dominated_sums(points: DataFrame, queries: DataFrame, sums: Sequence[str], t
             rank, weights = rank[order], weights[order]
         return out
 
-    def _plain(frame: pd.DataFrame) -> pd.DataFrame:
-        """Text columns as plain objects: they go back to Spark in one piece."""
-        return frame.astype({c: object for c in frame.columns if pd.api.types.is_string_dtype(frame[c].dtype)})
-
-    columns = ["k", "x", "y", *sums]
-    cells_schema = "k string, i long, j long, " + ", ".join(f"{s} double" for s in sums)
-    none = (np.zeros(0), np.zeros(0))
-
-    def placed(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        i, j = np.zeros(len(frame), dtype=np.int64), np.zeros(len(frame), dtype=np.int64)
-        for k, at in frame.groupby("k").indices.items():
-            cx, cy = cuts.get(k, none)
-            i[at] = np.searchsorted(cx, frame["x"].to_numpy()[at], side="right")
-            j[at] = np.searchsorted(cy, frame["y"].to_numpy()[at], side="right")
-        return i, j
-
-    def counted(frames):
-        for frame in frames:
-            i, j = placed(frame)
-            yield _plain(frame.assign(i=i, j=j)[["k", "i", "j", *sums]].groupby(["k", "i", "j"], as_index=False).sum())
-
-    # at most BLOCKS squared cells per key: bounded
-    cells = points.select(*columns).mapInPandas(counted, cells_schema).groupBy("k", "i", "j").agg(*[F.sum(s).alias(s) for s in sums])
-    grids = {k: np.zeros((len(cx) + 2, len(cy) + 2, len(sums))) for k, (cx, cy) in cuts.items()}
-    for r in cells.collect():
-        grids[r["k"]][r["i"] + 1, r["j"] + 1] = [r[s] for s in sums]
-    grids = {k: g.cumsum(axis=0).cumsum(axis=1) for k, g in grids.items()}
-    alone = {k: (_single(cx), _single(cy)) for k, (cx, cy) in cuts.items()}
+    def dominated(points: pd.DataFrame, queries: pd.DataFrame, a: str, b: str) -> np.ndarray:
+        """Sums over the points whose columns a and b are both less than the query's."""
+        points = points.sort_values(a, kind="stable")
+        first = np.searchsorted(points[a].to_numpy(), queries[a].to_numpy(), "left")
+        values = points[b].to_numpy()
+        by_b = np.argsort(values, kind="stable")
+        rank = np.empty(len(points), dtype=np.int64)
+        rank[by_b] = np.arange(len(points))
+        below = np.searchsorted(values[by_b], queries[b].to_numpy(), "left")
+        return prefix_rank_sums(rank, points[sums].to_numpy(dtype=float), first, below)
+
+    def answer(queries: pd.DataFrame, out: np.ndarray) -> pd.DataFrame:
+        made = pd.concat([queries[["k", *names]].reset_index(drop=True), pd.DataFrame(out, columns=sums)], axis=1)
+        # text columns as plain objects: they go back to Spark in one piece
+        return made.astype({c: object for c in made.columns if pd.api.types.is_string_dtype(made[c].dtype)})
+
+    def whole(frame: pd.DataFrame) -> pd.DataFrame:
+        """A key that fits one group: ranks are made here, an equal coordinate coming before or after the query's."""
+        for axis in ("x", "y"):
+            order = np.lexsort((frame[f"{axis}_tie"].to_numpy(), frame[axis].to_numpy()))
+            rank = np.empty(len(frame), dtype=np.int64)
+            rank[order] = np.arange(len(frame))
+            frame = frame.assign(**{f"{axis}_rank": rank})
+        return leaf(frame)
+
+    def leaf(frame: pd.DataFrame) -> pd.DataFrame:
+        asked = frame["asked"].to_numpy(bool)
+        return answer(frame[asked], dominated(frame[~asked], frame[asked], "x_rank", "y_rank"))
+
+    def table(frame: pd.DataFrame) -> pd.DataFrame:
+        """The sums (chunk, child) of one node to the sums over all chunks before and children before, one row per chunk."""
+        chunks, children = int(frame["chunk"].max()) + 1, int(frame["child"].max()) + 1
+        grid = np.zeros((chunks + 1, children + 1, len(sums)))
+        grid[frame["chunk"].to_numpy() + 1, frame["child"].to_numpy() + 1] = frame[sums].to_numpy(dtype=float)
+        grid = grid.cumsum(axis=0).cumsum(axis=1)
+        return pd.DataFrame({"k": frame["k"].iloc[0], "node": frame["node"].iloc[0], "chunk": np.arange(chunks),
+                             "before": [row.ravel() for row in grid[:-1]]}).astype({"k": object})
+
+    def chunk(frame: pd.DataFrame) -> pd.DataFrame:
+        """The queries of one chunk: its own points below them in children before theirs, and the chunks before."""
+        head = frame["before"].notna().to_numpy()
+        asked = frame["asked"].to_numpy(bool)
+        queries = frame[asked & ~head]
+        out = dominated(frame[~asked & ~head], queries, "inside", "child")
+        if head.any() and len(queries):
+            before = np.asarray(frame["before"][head].iloc[0], dtype=float).reshape(-1, len(sums))
+            out += before[np.minimum(queries["child"].to_numpy(), len(before) - 1)]
+        return answer(queries, out)
+
+    return whole, leaf, table, chunk
+
+
+def dominated_sums(points: DataFrame, queries: DataFrame, sums: Sequence[str], tags: str) -> DataFrame:
+    """``queries`` with the sums over the points of their key with smaller x and y.
+
+    ``points``: k, x, y and ``sums``, one row per distinct (k, x, y). ``queries``: k, x, y, x_in, y_in (whether an equal
+    x or y counts), and the columns of the schema ``tags``, which tell queries apart. Returns k, the tags and the sums.
+    """
+    sums, names = list(sums), [t.split()[0] for t in tags.split(", ")]
+    whole, leaf, table, chunk = _sum_functions(sums, names)
+    result = "k string, " + tags + ", " + ", ".join(f"{s} double" for s in sums)
     extra = [f"cast(null as {t.split()[1]}) as {t.split()[0]}" for t in tags.split(", ")]
-    rows = points.selectExpr(*columns, "false as x_in", "false as y_in", "false as asked", *extra).unionByName(
-        queries.selectExpr("k", "x", "y", *[f"0D as {s}" for s in sums], "x_in", "y_in", "true as asked", *names))
-    strips_schema = rows.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", side long, strip long, i long, j long"
-
-    def dealt(frames):
-        """Points and queries to their column and row; strips of one value need no look inside."""
-        for frame in frames:
-            i, j = placed(frame)
-            frame = frame.assign(i=i.copy(), j=j.copy())
-            asked = frame["asked"].to_numpy()
-            lone_x, lone_y = np.zeros(len(frame), dtype=bool), np.zeros(len(frame), dtype=bool)
-            for k, at in frame.groupby("k").indices.items():
-                if k in alone:
-                    lone_x[at], lone_y[at] = alone[k][0][i[at]], alone[k][1][j[at]]
-            # an equal value that counts, alone in its strip: the whole strip counts
-            frame.loc[asked & lone_x & frame["x_in"].to_numpy(bool), "i"] += 1
-            frame.loc[asked & lone_y & frame["y_in"].to_numpy(bool), "j"] += 1
-            yield _plain(frame.assign(side=0, strip=i)[asked | ~lone_x])
-            yield _plain(frame.assign(side=1, strip=j)[~lone_y])
-
-    result_schema = "k string, " + tags + ", " + ", ".join(f"{s} double" for s in sums)
-
-    def summed(frame: pd.DataFrame) -> pd.DataFrame:
-        k, column, own = frame["k"].iloc[0], frame["side"].iloc[0] == 0, frame["strip"].iloc[0]
-        asked = frame["asked"].to_numpy()
-        p, q = frame[~asked], frame[asked]
-        out = np.zeros((len(q), len(sums)))
-        if not len(q):
-            return q[["k", *names]].assign(**{s: 0.0 for s in sums})
-        # within a column x and y decide, within a row the columns to the left and y
-        px = p["x"].to_numpy() if column else p["i"].to_numpy()
-        order = np.argsort(px, kind="stable")
-        p, px = p.iloc[order], px[order]
-        ys = p["y"].to_numpy()
-        by_y = np.argsort(ys, kind="stable")
-        rank = np.empty(len(p), dtype=np.int64)
-        rank[by_y] = np.arange(len(p))
-        sorted_y, y_in = ys[by_y], q["y_in"].to_numpy(bool)
-        qy = q["y"].to_numpy()
-        below = np.where(y_in, np.searchsorted(sorted_y, qy, "right"), np.searchsorted(sorted_y, qy, "left"))
-        if column:
-            qx, x_in = q["x"].to_numpy(), q["x_in"].to_numpy(bool)
-            first = np.where(x_in, np.searchsorted(px, qx, "right"), np.searchsorted(px, qx, "left"))
-            first[q["i"].to_numpy() > own] = 0  # the whole strip counts, and is counted by cells and rows
-            if k in grids:
-                g = grids[k]
-                out += g[np.minimum(q["i"].to_numpy(), len(g) - 1), np.minimum(q["j"].to_numpy(), g.shape[1] - 1)]
-        else:
-            first = np.searchsorted(px, q["i"].to_numpy(), "left")
-            first[q["j"].to_numpy() > own] = 0
-        if len(p):
-            out += prefix_rank_sums(rank, p[list(sums)].to_numpy(dtype=float), first, below)
-        return _plain(pd.concat([q[["k", *names]].reset_index(drop=True), pd.DataFrame(out, columns=list(sums))], axis=1))
-
-    parts = rows.mapInPandas(dealt, strips_schema).groupBy("k", "side", "strip").applyInPandas(summed, result_schema)
+    # among equal coordinates: queries that leave them out, points, queries that count them
+    tie = lambda axis: f"if({axis}_in, 2, 0) as {axis}_tie"
+    rows = points.selectExpr("k", "x", "y", *sums, "1 as x_tie", "1 as y_tie", "false as asked", *extra).unionByName(
+        queries.selectExpr("k", "x", "y", *[f"0D as {s}" for s in sums], tie("x"), tie("y"), "true as asked", *names))
+    counts = {r["k"]: r["n"] for r in rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    most = max(counts.values(), default=0)
+    if most <= 1 << LEAF:
+        return rows.groupBy("k").applyInPandas(whole, result)
+    ranked = _ranked(rows, names)
+    levels = -(-(max(most - 1, 1).bit_length() - LEAF) // FAN)
+    parts = ranked.withColumn("node", F.shiftright("x_rank", LEAF)).groupBy("k", "node").applyInPandas(leaf, result)
+    for level in range(levels):
+        parts = parts.unionByName(_level(ranked, level, levels, sums, names, result, table, chunk))
     return parts.groupBy("k", *names).agg(*[F.sum(s).alias(s) for s in sums])
+
+
+def _ranked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The rows, stored, with x_rank and y_rank: their places among the rows of their key."""
+    unlike = F.xxhash64(*names)
+    ranked = positioned(written(rows, "points"), [F.col("k"), F.col("x"), F.col("x_tie"), F.col("y"), unlike], "x_rank", "by-x")
+    ranked = positioned(written(ranked, "by-x"), [F.col("k"), F.col("y"), F.col("y_tie"), F.col("x"), unlike], "y_rank", "by-y")
+    first = ranked.groupBy("k").agg(F.min("x_rank").alias("first"))  # the keys stand in one order on both axes
+    ranked = ranked.join(F.broadcast(first), "k")  # one row for each attribute
+    return written(ranked.withColumns({"x_rank": F.col("x_rank") - F.col("first"), "y_rank": F.col("y_rank") - F.col("first")}).drop(
+        "x", "y", "x_tie", "y_tie"), "ranked")
+
+
+def _level(ranked: DataFrame, level: int, levels: int, sums: list[str], names: list[str], result: str, table, chunk) -> DataFrame:
+    """What the children before a query's own contribute on one level."""
+    low, high = LEAF + FAN * level, LEAF + FAN * (level + 1)
+    of = ranked.withColumns({"node": F.shiftright("x_rank", high), "child": F.shiftright("x_rank", low).bitwiseAND((1 << FAN) - 1)})
+    if level == levels - 1:  # one node: its rows are in the order of the whole key
+        of = of.withColumn("within", F.col("y_rank"))
+    else:
+        of = positioned(of, [F.col("first"), F.col("node"), F.col("y_rank")], "within", "by-node")
+        # ranks are dense, so the nodes before it have 2**high rows each
+        of = of.withColumn("within", F.col("within") - F.col("first") - F.shiftleft("node", high))
+    of = of.withColumns({"chunk": F.shiftright("within", LEAF), "inside": F.col("within").bitwiseAND((1 << LEAF) - 1)})
+    cells = of.where("not asked").groupBy("k", "node", "chunk", "child").agg(*[F.sum(s).alias(s) for s in sums])
+    # a chunk without points of its own still has those before it: every chunk gets a cell
+    cells = cells.unionByName(of.where("asked").groupBy("k", "node", "chunk").agg(F.lit(0).cast("long").alias("child")).selectExpr(
+        "k", "node", "chunk", "child", *[f"0D as {s}" for s in sums]))
+    cells = cells.groupBy("k", "node", "chunk", "child").agg(*[F.sum(s).alias(s) for s in sums])
+    heads = cells.groupBy("k", "node").applyInPandas(table, "k string, node long, chunk long, before array<double>")
+    columns = ["k", "node", "chunk", "inside", "child", *sums, "asked", *names]
+    plain = of.select(*columns, F.lit(None).cast("array<double>").alias("before"))
+    kinds = {f.name: f.dataType for f in plain.schema}
+    fill = {"inside": F.lit(0), "child": F.lit(0), "asked": F.lit(False)}
+    heads = heads.select(*[F.col(c) if c in heads.columns else fill.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in plain.columns])
+    return plain.unionByName(heads).groupBy("k", "node", "chunk").applyInPandas(chunk, result)
