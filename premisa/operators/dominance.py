@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premisa.ordering import positioned
-from premisa.session import written
 
 LEAF = 15
 FAN = 8
@@ -124,14 +123,13 @@ def dominated_sums(points: DataFrame, queries: DataFrame, sums: Sequence[str], t
 
 
 def _ranked(rows: DataFrame, names: list[str]) -> DataFrame:
-    """The rows, stored, with x_rank and y_rank: their places among the rows of their key."""
+    """The rows with x_rank and y_rank, their places among the rows of their key; each sort is stored."""
     unlike = F.xxhash64(*names)
-    ranked = positioned(written(rows, "points"), [F.col("k"), F.col("x"), F.col("x_tie"), F.col("y"), unlike], "x_rank", "by-x")
-    ranked = positioned(written(ranked, "by-x"), [F.col("k"), F.col("y"), F.col("y_tie"), F.col("x"), unlike], "y_rank", "by-y")
+    ranked = positioned(rows, [F.col("k"), F.col("x"), F.col("x_tie"), F.col("y"), unlike], "x_rank", "by-x")
+    ranked = positioned(ranked, [F.col("k"), F.col("y"), F.col("y_tie"), F.col("x"), unlike], "y_rank", "by-y")
     first = ranked.groupBy("k").agg(F.min("x_rank").alias("first"))  # the keys stand in one order on both axes
     ranked = ranked.join(F.broadcast(first), "k")  # one row for each attribute
-    return written(ranked.withColumns({"x_rank": F.col("x_rank") - F.col("first"), "y_rank": F.col("y_rank") - F.col("first")}).drop(
-        "x", "y", "x_tie", "y_tie"), "ranked")
+    return ranked.withColumns({"x_rank": F.col("x_rank") - F.col("first"), "y_rank": F.col("y_rank") - F.col("first")}).drop("x", "y", "x_tie", "y_tie")
 
 
 def _level(ranked: DataFrame, level: int, levels: int, sums: list[str], names: list[str], result: str, table, chunk) -> DataFrame:

@@ -13,7 +13,7 @@ def positioned(df: DataFrame, order: list[Column], out: str, what: str = "order"
 
     One shuffle deals the rows to ranges of the order; a row's place is the number of rows in the ranges before its own
     plus its place within. Only one count for each range leaves the tasks. Rows that tie in all columns stand in any order,
-    so a hot key is split if a later column tells its rows apart. ``df`` should be a stored table: it is read twice.
+    so a hot key is split if a later column tells its rows apart. ``df`` is read twice: it should be stored, or cheap to read.
     """
     if {"_part", "_at"} & set(df.columns):
         raise ValueError("reserved column name")
