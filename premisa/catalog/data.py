@@ -23,22 +23,28 @@ from premisa.sources.store import load_ruleset, ruleset_text, save_ruleset
 
 @query(
     "arff_scan",
-    f"""with {MISS} select l_orderkey::double as l_orderkey, l_quantity, l_extendedprice, l_discount,
+    f"""with {MISS} select case l_orderkey % 3 when 0 then '@data' when 1 then 'a, note' else '%, b' end as note,
+        l_orderkey::double as l_orderkey, l_quantity, l_extendedprice, l_discount,
         l_returnflag as "return flag", y from t""",
 )
 def _arff(spark, sf):
-    """Line items written out as ARFF lines, then scanned: numbers, a quoted name, nominal values, '?'."""
+    """Line items written out as ARFF files, each with a header, comments between its rows and quoted cells, then scanned;
+    some notes begin with an at sign, as lines of a header do."""
     path = scratch_path(spark, "arff")
-    header = ["% a comment", "@relation items", "", "@ATTRIBUTE l_orderkey integer", "@attribute l_quantity numeric",
+    header = ["% a comment", "@relation items", "", "@ATTRIBUTE note string", "@attribute l_orderkey integer", "@attribute l_quantity numeric",
               "@attribute l_extendedprice real", "@attribute l_discount NUMERIC", "@attribute 'return flag' {A,N,R}",
               "@attribute y {low, mid, high}", "@data"]
-    spark.createDataFrame([("\n".join(header),)], "value string").coalesce(1).write.text(f"{path}/header")
+    note = F.when(F.col("l_orderkey") % 3 == 0, "@data").when(F.col("l_orderkey") % 3 == 1, "'a, note'").otherwise('"%, b"')
     rows = miss(spark, sf).select(
-        F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in (
-            "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "y")])
-    )
-    rows.write.text(f"{path}/body")
-    return arff_scan(spark, f"{path}/body", header=f"{path}/header")
+        (F.col("l_orderkey") % 2).alias("part"),
+        F.concat_ws(", ", note, *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in (
+            "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "y")]).alias("value"))
+    rows = rows.withColumn("value", F.when(F.col("part") == 0, F.concat(F.col("value"), F.lit("\n  % 1, 2, a comment\n"))).otherwise(F.col("value")))
+    for part in (0, 1):
+        head = "\n".join([*header[:-1], "% more", header[-1], "% and more"])
+        first = spark.createDataFrame([(head,)], "value string")
+        first.unionByName(rows.where(F.col("part") == part).select("value")).coalesce(1).write.text(f"{path}/{part}")
+    return arff_scan(spark, f"{path}/*")
 
 
 @query(

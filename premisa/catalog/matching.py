@@ -15,8 +15,10 @@ from premisa.operators.counts import (
 from premisa.operators.matching import (
     coverage_matrix, covered, first_covering_rule, induction_trace, rule_match, uncovered,
 )
+from premisa.operators.rule_index import indexed_match
 from premisa.operators.statistics import regression_pvalue, survival_pvalue
 from premisa.operators.survival import kaplan_meier, km_at, log_rank, rule_curves
+from premisa.plans.rules import Rule, RuleSet, at_least, equals, interval, less, not_equals
 
 _K = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice"
 _ANY = " or ".join(f"({p})" for p in PREMISES_SQL)
@@ -28,6 +30,33 @@ def _match(spark, sf):
     return rule_match(cls(spark, sf), rules_cls(), KEY)
 
 
+# The number of made rules, and the width of their price intervals.
+MANY, WIDTH = 5000, 500
+
+
+def many_rules() -> RuleSet:
+    """Rules of three or four conditions each, spread over the prices."""
+    out = []
+    for i in range(MANY):
+        low = 1000 + i * 7919 % 90000
+        flag = [(equals("l_returnflag", "R"),), (not_equals("l_returnflag", "A"),), ()][i % 3]
+        out.append(Rule((interval("l_extendedprice", low, low + WIDTH), at_least("l_quantity", 1 + i % 40), less("l_discount", (2 + i % 9) / 100), *flag)))
+    return RuleSet(out, problem="classification", target="y")
+
+
+@query(
+    "rule_match_many",
+    f"""with {CLS}, r as (
+          select i + 1 as rule_id, 1000 + i * 7919 % 90000 as low, 1 + i % 40 as q, (2 + i % 9)::double / 100 as d, i % 3 as f from range({MANY}) g(i))
+        select rule_id::int as rule_id, count(*) as covered, sum(l_orderkey)::bigint as orders from t join r on l_extendedprice >= low and l_extendedprice < low + {WIDTH}
+          and l_quantity >= q and l_discount < d and (f = 2 or f = 0 and l_returnflag = 'R' or f = 1 and l_returnflag <> 'A') group by rule_id""",
+)
+def _match_many(spark, sf):
+    """Thousands of rules by the bitmap index, in one scan; the matches of each are counted."""
+    found = indexed_match(cls(spark, sf), many_rules(), KEY)
+    return found.groupBy("rule_id").agg(F.count(F.lit(1)).alias("covered"), F.sum("l_orderkey").alias("orders"))
+
+
 @query("covered", f"with {CLS} select {_K}, y from t where {_ANY}")
 def _covered(spark, sf):
     return covered(cls(spark, sf), rules_cls()).select(*KEY, "y")

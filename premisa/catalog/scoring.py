@@ -22,7 +22,7 @@ from premisa.operators.evaluate import (
     regression_metrics,
 )
 from premisa.operators.predict import (
-    class_probabilities, predict_class, predict_value, signature, signature_curves,
+    class_probabilities, predict_class, predict_value, signature, signature_curves, survival_probability_at,
 )
 from premisa.operators.selection import cross_validate, grid_search, mean_scores, stratified_kfold, train_test_split
 from premisa.operators.statistics import (
@@ -121,6 +121,21 @@ def _survival(spark, sf):
     return curves.join(sizes, "signature").select("signature", "n_rows", "time", r6("prob"))
 
 
+@query(
+    "survival_probability_at",
+    f"""with {SURV}, {H_SURV}, {_SIG_CURVES}, a as (
+          select {_K}, ltrim(sg, ',') as signature, case when l_quantity > 2 then time * l_quantity / 25 end as asked from s)
+        select {', '.join(f'a.{c.strip()}' for c in _K.split(','))}, round(case when asked is not null then coalesce(prob, 1.0) end, 6) as probability
+        from a asof left join curve on curve.signature = a.signature and curve.time <= a.asked""",
+)
+def _survival_at(spark, sf):
+    """Each row's probability at a time of its own, looked up in the curve of its signature."""
+    df, rules = surv(spark, sf), rules_surv()
+    at = F.when(F.col("l_quantity") > 2, F.col("time") * F.col("l_quantity") / 25)
+    found = survival_probability_at(df, rules, rule_curves(df, rules, "time", "status"), at)
+    return found.select(*KEY, r6("probability"))
+
+
 @query(
     "contrast_predict_survival",
     f"""with {SURV}, {H_SURV}, {_SIG_CURVES}, k as (select ltrim(sg, ',') as signature, count(*) as n_rows from s group by 1)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
 from premisa.operators.candidates import bucketize, value_buckets
-from premisa.operators.predict import covering_classes, covering_rules, predicted_class, signature, signature_curves
+from premisa.operators.predict import covering_classes, covering_rules, predicted_class, signature, signature_jumps
 from premisa.operators.running import running_sums
 from premisa.operators.survival import curve_from_counts, event_flag
+from premisa.ordering import positioned
 from premisa.plans.rules import RuleSet
 from premisa.roles import class_text, label_text
 from premisa.session import written
@@ -152,25 +153,19 @@ def brier_curve(df: DataFrame, ruleset, curves: DataFrame, time: str, status: st
         "signature", "time", "m", (F.col("d") / F.nullif(F.col("g_left"), F.lit(0.0))).alias("a"), F.lit(0.0).alias("jump")
     )
     sizes = counts.groupBy("signature").agg(F.sum("m").alias("size"))
-    steps = signature_curves(counts, curves)
-    sw = Window.partitionBy("signature").orderBy("time")
-    steps = steps.select(
-        "signature", "time", F.lit(0.0).alias("m"), F.lit(0.0).alias("a"),
-        (F.col("prob") - F.coalesce(F.lag("prob").over(sw), F.lit(1.0))).alias("jump"),
-    )
+    steps = signature_jumps(counts, curves).select("signature", "time", F.lit(0.0).alias("m"), F.lit(0.0).alias("a"), "jump")
     both = cells.unionByName(steps).groupBy("signature", "time").agg(
         *[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in ("m", "a", "jump")]
     )
-    run = running_sums(both, ["signature"], "time", ["m", "a", "jump"]).join(sizes, "signature")
-    prob = F.lit(1.0) + F.col("cum_jump")
-    run = run.select(
-        "signature",
-        "time",
-        (prob * prob * F.col("cum_a")).alias("u"),
-        ((F.lit(1.0) - prob) * (F.lit(1.0) - prob) * (F.col("size") - F.col("cum_m"))).alias("v"),
-    )
+    both = bucketize(both, {"__b": bounds}, {"__b": "time"})
+    run = running_sums(both, ["signature"], "time", ["m", "a", "jump"], bucket="__b" if bounds else None).join(sizes, "signature")
+    # Each part at a time less its value just before, which the same running sums give without their own term.
+    prob, before = F.lit(1.0) + F.col("cum_jump"), F.lit(1.0) + F.col("cum_jump") - F.col("jump")
+    left = F.col("size") - F.col("cum_m")
     deltas = run.select(
-        "time", *[(F.col(c) - F.coalesce(F.lag(c).over(sw), F.lit(0.0))).alias(c) for c in ("u", "v")]
+        "time",
+        (prob * prob * F.col("cum_a") - before * before * (F.col("cum_a") - F.col("a"))).alias("u"),
+        ((1 - prob) * (1 - prob) * left - (1 - before) * (1 - before) * (left + F.col("m"))).alias("v"),
     )
     by_time = deltas.groupBy("time").agg(F.sum("u").alias("u"), F.sum("v").alias("v"))
     by_time = bucketize(by_time, {"__b": bounds}, {"__b": "time"})
@@ -183,9 +178,10 @@ def brier_curve(df: DataFrame, ruleset, curves: DataFrame, time: str, status: st
 def integrated_brier_score(df: DataFrame, ruleset, curves: DataFrame, time: str, status: str) -> DataFrame:
     """Area under the Brier curve from 0 to the last time, divided by the last time.
 
-    The window has one row per distinct time.
+    Distinct times are placed in order by ranges; a time meets the next one in a join of their places.
     """
     curve = brier_curve(df, ruleset, curves, time, status)
-    w = Window.partitionBy(F.lit(0)).orderBy("time")
-    steps = curve.select("time", (F.col("brier") * (F.lead("time").over(w) - F.col("time"))).alias("area"))
-    return steps.agg((F.sum("area") / F.max("time")).alias("ibs"))
+    placed = positioned(curve, [F.col("time")], "place", "brier")
+    after = placed.select((F.col("place") - 1).alias("place"), F.col("time").alias("until"))
+    steps = placed.join(after, "place", "left")
+    return steps.agg((F.sum(F.col("brier") * (F.col("until") - F.col("time"))) / F.max("time")).alias("ibs"))

@@ -12,11 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from premisa.functions.premise import holds
+from premisa.functions.premise import holds, quoted
+from premisa.operators.candidates import bucketize, value_buckets
 from premisa.operators.matching import matching_ids
 from premisa.operators.running import running_sums
 from premisa.operators.survival import curve_jumps
 from premisa.plans.rules import RuleSet
+from premisa.session import written
 
 NO_RULE = ""
 
@@ -89,8 +91,8 @@ def signature(df: DataFrame, ruleset) -> Column:
     return F.array_join(matching_ids(df, ruleset).cast("array<string>"), ",")
 
 
-def signature_curves(signatures: DataFrame, curves: DataFrame) -> DataFrame:
-    """(signature, time, prob): the mean of the covering rules' curves; rule 0 stands in when none covers.
+def signature_jumps(signatures: DataFrame, curves: DataFrame) -> DataFrame:
+    """(signature, time, jump): the changes of the mean of the covering rules' curves; rule 0 stands in when none covers.
 
     Curves are added as jumps, so nothing is expanded to a grid of signatures and times.
     """
@@ -98,11 +100,35 @@ def signature_curves(signatures: DataFrame, curves: DataFrame) -> DataFrame:
     ids = F.when(F.col("signature") == F.lit(NO_RULE), F.array(F.lit("0"))).otherwise(F.split("signature", ","))
     parts = parts.select("signature", F.size(ids).alias("k"), F.explode(ids.cast("array<int>")).alias("rule_id"))
     jumps = parts.join(curve_jumps(curves, ["rule_id"]), "rule_id")
-    jumps = jumps.groupBy("signature", "time").agg(F.sum(F.col("jump") / F.col("k")).alias("jump"))
-    run = running_sums(jumps, ["signature"], "time", ["jump"])
+    return jumps.groupBy("signature", "time").agg(F.sum(F.col("jump") / F.col("k")).alias("jump"))
+
+
+def signature_curves(signatures: DataFrame, curves: DataFrame) -> DataFrame:
+    """(signature, time, prob): the curve of every signature at its own times."""
+    run = running_sums(signature_jumps(signatures, curves), ["signature"], "time", ["jump"])
     return run.select("signature", "time", (F.lit(1.0) + F.col("cum_jump")).alias("prob"))
 
 
+def survival_probability_at(df: DataFrame, ruleset, curves: DataFrame, at: Column, output: str = "probability") -> DataFrame:
+    """Every row with the probability of surviving ``at``, a time of its own: null for a null time, 1 before the first event.
+
+    Rows carry no curve. The distinct (signature, time) that are asked for stand among the curves' jumps as steps of height 0,
+    and one running sum gives the last value at or before each; in two levels where there are many times, so a signature
+    that most rows share is not one task's.
+    """
+    rows = df.withColumns({"__signature": signature(df, ruleset), "__at": at.cast("double")})
+    asked = rows.where("__at is not null").select(F.col("__signature").alias("signature"), F.col("__at").alias("time")).distinct()
+    asked = written(asked, "asked")
+    steps = signature_jumps(asked, curves).unionByName(asked.withColumn("jump", F.lit(0.0)))
+    steps = written(steps.groupBy("signature", "time").agg(F.sum("jump").alias("jump")), "steps")
+    bounds = value_buckets(steps, ["time"])["time"]
+    run = running_sums(
+        bucketize(steps, {"__b": bounds}, {"__b": "time"}), ["signature"], "time", ["jump"], bucket="__b" if bounds else None)
+    found = run.join(asked, ["signature", "time"], "left_semi").select(
+        F.col("signature").alias("__signature"), F.col("time").alias("__at"), (F.lit(1.0) + F.col("cum_jump")).alias(output))
+    return rows.join(found, ["__signature", "__at"], "left").select(*[quoted(c) for c in df.columns], output)
+
+
 def predict_survival(df: DataFrame, ruleset, curves: DataFrame, output: str = "prediction") -> DataFrame:
     """Every row with its curve as array<struct<time, prob>>.
 

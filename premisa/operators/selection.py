@@ -7,15 +7,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from premisa.functions.premise import quoted
-from premisa.operators.candidates import bucketize, quantile_cuts
-
-# Rows one ranking window should hold, and the most buckets a user's own order is cut into.
-ROWS_PER_BUCKET = 100_000
-MAX_ORDER_BUCKETS = 2_000
+from premisa.ordering import positioned
 
 
 def _hash_order(key: Sequence[str], seed: int) -> Column:
@@ -26,35 +22,25 @@ def _hash_order(key: Sequence[str], seed: int) -> Column:
 def class_ranks(
     df: DataFrame, strata: Sequence[str], key: Sequence[str], seed: int = 0, order: Column | None = None
 ) -> DataFrame:
-    """Add __rank (0-based within the stratum) and __size, by a hash of the key or by a numeric order.
+    """Add __rank (0-based within the stratum) and __size, by a hash of the key or by an order of the user's.
 
-    Two levels: rows are ranked inside buckets of the order, bucket sizes give the offsets.  Hashes are
-    spread evenly, so their buckets are equal intervals, as many as the row count asks for.
+    One range shuffle by (stratum, order, key) places all rows; where a stratum begins and how many rows it has are one row
+    per stratum. Ties of the order are told apart by the key, so a value that many rows share is spread as well.
     """
-    parts = 1 + df.count() // ROWS_PER_BUCKET
-    if order is None:
-        rows = df.withColumn("__order", _hash_order(key, seed))
-        rows = rows.withColumn("__bucket", F.floor(F.col("__order") * F.lit(parts)))
-    else:
-        rows = df.withColumn("__order", order.cast("double"))
-        cuts = quantile_cuts(rows, {"__order": min(MAX_ORDER_BUCKETS, parts)})["__order"]
-        rows = bucketize(rows, {"__bucket": cuts}, {"__bucket": "__order"})
-    sizes = rows.groupBy(*strata, "__bucket").agg(F.count(F.lit(1)).alias("__m"))
-    whole = Window.partitionBy(*(strata or [F.lit(0)]))
-    before = whole.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[quoted(c).alias(f"__s_{i}") for i, c in enumerate(strata)],
-        F.col("__bucket").alias("__b"),
-        F.coalesce(F.sum("__m").over(before), F.lit(0)).alias("__offset"),
-        F.sum("__m").over(whole).alias("__size"),
-    )
-    inside = Window.partitionBy(*strata, "__bucket").orderBy("__order", *key)
+    by = order if order is not None else _hash_order(key, seed)
+    rows = df.withColumn("__order", by)
+    place = [*[quoted(c).asc_nulls_first() for c in strata], F.col("__order"), *[quoted(k) for k in key]]
+    rows = positioned(rows, place, "__rank", "ranks").drop("__order")
+    names = [f"__s_{i}" for i in range(len(strata))]
+    sizes = rows.groupBy(*[quoted(c).alias(n) for c, n in zip(strata, names, strict=True)]).agg(
+        F.min("__rank").alias("__offset"), F.count(F.lit(1)).alias("__size"))
     # Null-safe keys: rows without a stratum value are ranked among themselves, not lost.
-    keys = [F.col("__bucket").eqNullSafe(F.col("__b"))]
-    keys += [quoted(c).eqNullSafe(F.col(f"__s_{i}")) for i, c in enumerate(strata)]
-    ranked = rows.withColumn("__in", F.row_number().over(inside) - 1).join(offsets, keys)
-    ranked = ranked.withColumn("__rank", F.col("__offset") + F.col("__in"))
-    return ranked.drop("__in", "__offset", "__bucket", "__b", "__order", *[f"__s_{i}" for i in range(len(strata))])
+    same = [quoted(c).eqNullSafe(F.col(n)) for c, n in zip(strata, names, strict=True)]
+    if strata:
+        rows = rows.join(sizes, reduce(lambda a, b: a & b, same))
+    else:
+        rows = rows.withColumns({"__offset": F.lit(0), "__size": F.lit(sizes.first()["__size"])})
+    return rows.withColumn("__rank", F.col("__rank") - F.col("__offset")).drop("__offset", *names)
 
 
 def train_test_split(

@@ -72,9 +72,8 @@ def arff_scan(spark: SparkSession, path: str, encoding: str = "utf-8", header: s
     schema = parse_header(head)
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
     line = F.trim("value")
-    # Behind @data a row may begin with any character: only the header's own lines are left out.
-    comments = sorted({x.strip() for x in head if x.strip().startswith("%")})
-    header_line = line.rlike(r"(?i)^@(relation|attribute|data)\b") | line.isin(comments)
+    # A percent sign begins a comment anywhere; an at sign does not, but for the lines of a header.
+    header_line = line.rlike(r"(?i)^@(relation|attribute)\s|^@data\s*$") | line.startswith("%")
     body = _lines(spark, path, encoding).where(~header_line & (line != ""))
     # A row with a double-quoted cell is read with double quotes, its single-quoted cells turned into such.
     double = line.rlike(r'(^|,)\s*"')

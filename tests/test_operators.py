@@ -150,7 +150,6 @@ def test_splits_keep_every_row(small, monkeypatch):
     """Shares hold per class, folds are even, rows without a class are kept, many ranking buckets included."""
     import premisa.operators.selection as selection
 
-    monkeypatch.setattr(selection, "ROWS_PER_BUCKET", 20)
     df = small.withColumn("c", F.when(F.col("id") % 3 != 0, F.col("y")))
     for order in (None, F.col("id") % 50):
         folds = selection.stratified_kfold(df, 4, "c", ["id"], seed=5, order=order).groupBy("c", "fold").count().collect()

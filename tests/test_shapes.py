@@ -16,11 +16,11 @@ def test_arff_rows_and_quotes(spark, tmp_path):
     path = tmp_path / "a.arff"
     path.write_text(
         "% a comment\n@relation r\n@attribute s {'x,1', \"y z\", w}\n@attribute n numeric\n@attribute 't t' string\n@data\n"
-        "'x,1',1,a\n%odd,2,'b, c'\n@odd,3,\"q,z\"\n\"y z\",4,'it, too'\nw,?,?\n"
+        "'x,1',1,a\n  %odd,2,'b, c'\n@odd,3,\"q,z\"\n\"y z\",4,'it, too'\nw,?,?\n"
     )
     df = arff_scan(spark, str(path))
     assert [tuple(r) for r in df.collect()] == [
-        ("x,1", 1.0, "a"), ("%odd", 2.0, "b, c"), ("@odd", 3.0, "q,z"), ("y z", 4.0, "it, too"), ("w", None, None)]
+        ("x,1", 1.0, "a"), ("@odd", 3.0, "q,z"), ("y z", 4.0, "it, too"), ("w", None, None)]
     assert df.schema["s"].metadata["domain"] == ["x,1", "y z", "w"]
 
 
