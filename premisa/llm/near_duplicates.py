@@ -8,10 +8,12 @@ candidates; the similarity of candidates is then computed from their texts, and
 
 Copies (equal word sequences) are merged before anything else. All members of a bucket are held against its most central
 one, the one that meets most texts in all its buckets. In buckets that still span several classes, every member outside the
-bucket's largest class is then compared with all members of other classes: first by one byte of each register, in blocks of
-about ``BLOCK`` by ``BLOCK`` members, then by text. A round takes the ``BEST`` most agreeing partners of a member in a block,
-the next round four times as many, without the pairs that meanwhile are in one class, until no pair is left out. So two
-texts of a bucket are either compared or in one class by other links.
+bucket's largest class is then compared with all members of other classes, each pair in the first bucket that both share:
+first by ``WIDE`` registers, drawn for members of such buckets only, in blocks of about ``BLOCK`` by ``BLOCK`` members, then by
+text. A round takes the ``BEST`` most agreeing partners of a member in a block, the next round four times as many, without the
+pairs that meanwhile are in one class, until no pair is left out. So two texts of a bucket are either compared or in one
+class by other links. So many registers tell pairs under the threshold apart that few texts are fetched in vain: at six standard
+deviations a pair at the threshold is lost once in a thousand million, and most pairs below 0.7 are dropped.
 
 Rows are told apart by their texts, never by doc_id: each distinct word sequence gets a number, links and classes are of
 these numbers, and a class takes its name, the smallest doc_id, at the end.
@@ -41,7 +43,11 @@ BANDS, ROWS = 26, 5
 REGISTERS = BANDS * ROWS
 #: Registers that a pair at the threshold agrees on at least, but for one in some million (six standard deviations).
 LEAST_AGREEING = int(REGISTERS * THRESHOLD - 6 * (REGISTERS * THRESHOLD * (1 - THRESHOLD)) ** 0.5)
-BLOCK, BEST = 256, 4
+#: Registers of members of open buckets, four bits each; what a pair at the threshold agrees on at least (six deviations).
+WIDE = 1024
+SAME = THRESHOLD + (1 - THRESHOLD) / 16
+LEAST_WIDE = int(WIDE * SAME - 6 * (WIDE * SAME * (1 - SAME)) ** 0.5)
+BLOCK, BEST = 512, 4
 NULL_ID = -(1 << 63)
 
 Bag = tuple[np.ndarray, np.ndarray]
@@ -167,31 +173,46 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(agree >= LEAST_AGREEING))
 
 
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, wide): WIDE registers of four bits, two to a byte."""
+    for batch in batches:
+        for start, data, offsets in parts(batch.column("text")):
+            found = (signatures(bags(data, offsets)[0], WIDE) >> np.uint64(60)).astype(np.uint8)
+            wide = found[:, ::2] << 4 | found[:, 1::2]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(start, len(offsets) - 1), pa.array([x.tobytes() for x in wide], pa.binary())], ["id", "wide"])
+
+
 def _partners(best: int):
-    """Blocks, arrays ``of`` of (minor, id, class_id, registers), to pairs (a, b): for each minor member the ``best`` most
-    agreeing ones of other classes; ``rest`` marks a pair of a member that has more than these."""
+    """Blocks, a key and an array ``of`` of (minor, id, class_id, keys, wide), to pairs (a, b): for each minor member the
+    ``best`` most agreeing ones of other classes, of those that share no bucket of an earlier band with it; ``rest`` marks a pair
+    of a member that has more than these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = batch.column("of")
-            ends = of.offsets.to_numpy()
-            minor, ids, named = (of.values.field(k).to_numpy(zero_copy_only=False) for k in ("minor", "id", "class_id"))
-            registers = _bytes(of.values.field("registers"))
-            found: tuple[list, list, list] = ([], [], [])
-            for i, j in zip(ends[:-1], ends[1:], strict=True):
-                left = i + np.flatnonzero(minor[i:j])
-                right = i + np.flatnonzero(~minor[i:j])
-                for x in left:
+            ends, here = of.offsets.to_numpy(), batch.column("key").to_numpy()
+            for k, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+                block = of.values.slice(i, j - i)
+                minor, ids, named = (block.field(c).to_numpy(zero_copy_only=False) for c in ("minor", "id", "class_id"))
+                keys = block.field("keys").flatten().to_numpy().reshape(-1, BANDS)
+                packed_ = np.frombuffer(b"".join(block.field("wide").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+                wide = np.concatenate([packed_ >> 4, packed_ & 15], axis=1)
+                band = int(np.flatnonzero(keys[0] == here[k])[0])
+                right = np.flatnonzero(~minor)
+                found: tuple[list, list, list] = ([], [], [])
+                for x in np.flatnonzero(minor):
                     y = right[named[right] != named[x]]
-                    agree = (registers[y] == registers[x]).sum(axis=1)
-                    near = np.flatnonzero(agree >= LEAST_AGREEING)
+                    y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
+                    agree = (wide[y] == wide[x]).sum(axis=1)
+                    near = np.flatnonzero(agree >= LEAST_WIDE)
                     more = len(near) > best
                     if more:
                         near = near[np.argsort(-agree[near], kind="stable")[:best]]
-                    for k, z in enumerate((np.minimum(ids[x], ids[y[near]]), np.maximum(ids[x], ids[y[near]]), np.full(len(near), more))):
-                        found[k].append(z)
-            if found[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["a", "b", "rest"])
+                    for c, z in enumerate((np.minimum(ids[x], ids[y[near]]), np.maximum(ids[x], ids[y[near]]), np.full(len(near), more))):
+                        found[c].append(z)
+                if found[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["a", "b", "rest"])
 
     return run
 
@@ -207,22 +228,28 @@ def _linked(near: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
 
 
-def _blocks(members: DataFrame, found: DataFrame, registers: DataFrame) -> DataFrame:
-    """Of the buckets that span several classes: blocks of members outside the largest class by blocks of all members, in
-    an array ``of`` of (minor, id, class_id, registers)."""
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that span several classes, stored: id, key, class_id, major (the bucket's largest class), and
+    how many blocks its members outside that class, and all of them, make."""
     named = members.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
     sizes = named.groupBy("key", "class_id").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class_id")).alias("most"))
     open_ = sizes.where("n > most.n").select(
-        "key", F.col("most.class_id").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("wide"),
-        F.ceil(F.col("n") / BLOCK).cast("int").alias("long"))
-    named = written(named.join(open_, "key").join(registers, "id"), "open-buckets")
+        "key", F.col("most.class_id").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("across"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("down"))
+    return written(named.join(open_, "key"), "open-buckets")
+
+
+def _blocks(named: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Blocks of members outside a bucket's largest class by blocks of all members: its key, and an array ``of`` of (minor, id,
+    class_id, keys, wide)."""
+    named = named.join(drawn, "id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
-    of = lambda minor: F.struct(F.lit(minor).alias("minor"), "id", "class_id", "registers").alias("x")
-    minors = named.where("class_id <> major").select("key", dealt(1, "wide").alias("i"), every("long").alias("j"), of(True))
-    others = named.select("key", every("wide").alias("i"), dealt(2, "long").alias("j"), of(False))
-    return minors.unionByName(others).groupBy("key", "i", "j").agg(F.collect_list("x").alias("of")).select("of")
+    of = lambda minor: F.struct(F.lit(minor).alias("minor"), "id", "class_id", "keys", "wide").alias("x")
+    minors = named.where("class_id <> major").select("key", dealt(1, "across").alias("i"), every("down").alias("j"), of(True))
+    others = named.select("key", every("across").alias("i"), dealt(2, "down").alias("j"), of(False))
+    return minors.unionByName(others).groupBy("key", "i", "j").agg(F.collect_list("x").alias("of")).select("key", "of")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -287,9 +314,15 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = components(links)
     # the head of a bucket has been compared with all of it
     members = buckets.select("id", "key").join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id").drop("a")
-    best, tested = BEST, None
+    best, tested, drawn = BEST, None, None
     while True:
-        near = _blocks(members, found, registers).mapInArrow(_partners(best), "a long, b long, rest boolean")
+        open_ = _open(members, found)
+        if open_.isEmpty():
+            break
+        if drawn is None:  # classes only grow: no later round opens another bucket
+            wide = texts.join(open_.select("id").distinct(), "id", "left_semi").mapInArrow(_widened, "id long, wide binary")
+            drawn = written(own.select("id", "keys").join(wide, "id"), "registers")
+        near = _blocks(open_, drawn).mapInArrow(_partners(best), "a long, b long, rest boolean")
         near = written(near.groupBy("a", "b").agg(F.max("rest").alias("rest")), "pairs")
         new = near.select("a", "b") if tested is None else near.join(tested, ["a", "b"], "left_anti").select("a", "b")
         new = written(_linked(new, texts), "links")

@@ -334,12 +334,34 @@ def test_partners_left_out_of_a_block_are_told():
     import numpy as np
     import pyarrow as pa
 
-    row = lambda k: {"minor": k == 0, "id": k, "class_id": k, "registers": bytes(min(k, 20)) + b"\1" * (near_duplicates.REGISTERS - min(k, 20))}
-    batch = pa.RecordBatch.from_pydict({"of": pa.array([[row(k) for k in range(10)]])})
+    size, bands = near_duplicates.WIDE // 2, near_duplicates.BANDS
+    # member k agrees with member 0 on all but 2k registers, and shares bucket 5 of band 3 with it; member 9 shares an earlier one too
+    keys = lambda k: [100 * k + i if i != 3 else 5 for i in range(bands)]
+    row = lambda k: {"minor": k == 0, "id": k, "class_id": k, "keys": keys(k) if k != 9 else keys(0), "wide": bytes(k) + b"\x11" * (size - k)}
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([5]), "of": pa.array([[row(k) for k in range(10)]])})
     few = pa.Table.from_batches(near_duplicates._partners(4)([batch])).to_pydict()
     assert few == {"a": [0] * 4, "b": [1, 2, 3, 4], "rest": [True] * 4}
     every = pa.Table.from_batches(near_duplicates._partners(16)([batch])).to_pydict()
-    assert sorted(every["b"]) == list(np.arange(1, 10)) and not any(every["rest"])
+    assert sorted(every["b"]) == list(np.arange(1, 9)) and not any(every["rest"])
+
+
+def test_wide_registers():
+    """Registers of four bits agree where the whole ones do, and else once in sixteen."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    base = [prose(rng, 1) + str(i) for i in range(400)]
+    texts = [" ".join(base), " ".join(base[:360] + [f"new{i}" for i in range(40)]), " ".join(f"other{i}" for i in range(300)), " ".join(base)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([3, 1, 2, 9]), "text": pa.array(texts)})
+    got = pa.Table.from_batches(near_duplicates._widened([batch])).to_pydict()
+    assert got["id"] == [3, 1, 2, 9] and all(len(w) == near_duplicates.WIDE // 2 for w in got["wide"])
+    wide = np.frombuffer(b"".join(got["wide"]), np.uint8).reshape(4, -1)
+    wide = np.concatenate([wide >> 4, wide & 15], axis=1)
+    share = lambda i, j: (wide[i] == wide[j]).mean()
+    true = 356 / (396 + 40)
+    assert share(0, 3) == 1 and abs(share(0, 1) - (true + (1 - true) / 16)) < 0.06 and abs(share(0, 2) - 1 / 16) < 0.04
+    assert near_duplicates.LEAST_WIDE / near_duplicates.WIDE > 0.7
 
 
 def test_registers_estimate_probability_jaccard():
