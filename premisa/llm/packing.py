@@ -7,8 +7,8 @@ longest first, packs the remainder. Every step places many pieces of one length
 (length, range of ranks) -> (range of sequences, offset). Pieces are numbered within their length in parallel and joined
 with that table.
 
-Tokens: white space separates tokens in this tokenizer family, so the distinct words of a run of texts are encoded apart, and
-the ids of documents put together from them as arrays; this equals encoding the whole text.
+Tokens: white space separates tokens in this tokenizer family, so words are encoded apart, once for each worker and word,
+and documents put together from them; this equals encoding the whole text.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are packed each; an empty table gives an empty
 result; other columns are not read; a text of any length is cut into pieces of the capacity.
@@ -20,13 +20,9 @@ import bisect
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,74 +30,58 @@ from premisa.llm.common import numbered, ready, written
 
 CAPACITY = 4096
 END = 1
-#: Words, and ids of words, that a worker remembers.
-REMEMBERED_WORDS = 500_000
-REMEMBERED_IDS = 4_000_000
+#: Words that a worker remembers, in each of two generations; longer words are not remembered.
+REMEMBERED_WORDS = 300_000
+REMEMBERED_BYTES = 60
 #: Rows of the plan that may be broadcast, about 50 bytes each.
 BROADCAST_PLAN = 500_000
 
 PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: A full stop or comma that ends a word.
-_TAIL = re.compile(r"(?<=[a-z0-9])[.,]\Z")
+_TAIL = re.compile(rb"(?<=[a-z0-9])[.,](?=[ \n\t\r]|\Z)")
 
 _encoders: dict[int, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Token ids of texts, put together from those of their distinct words, of which a bounded number is remembered."""
+    """Token ids of texts, as little-endian 32-bit bytes, with a bounded memory of words."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.forget()
-
-    def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.first, self.size, self.ids = array("q"), array("q"), array("I")
-
-    def learn(self, missing: list[str]) -> None:
-        """Encode new words; a full stop or comma behind a letter or digit is a token of its own, and ASCII letters have no case."""
-        short = [w.lower() if w.isascii() and "<" not in w else w for w in missing]
-        stems = [w[:-1] if _TAIL.search(w) else w for w in short]
-        asked = dict.fromkeys(stems)
-        asked.update((w[-1], None) for w, stem in zip(short, stems, strict=True) if w is not stem)
-        asked = list(asked)
-        found = self.tokenizer.encode_batch_fast(asked, add_special_tokens=False)
-        ids = dict(zip(asked, (e.ids for e in found), strict=True))
-        for word, last, stem in zip(missing, short, stems, strict=True):
-            held = ids[stem] if last is stem else ids[stem] + ids[last[-1]]
-            self.number[word] = len(self.first)
-            self.first.append(len(self.ids))
-            self.size.append(len(held))
-            self.ids.extend(held)
-
-    def batch(self, texts: list[str | None]) -> Iterator[memoryview]:
-        """For each text its ids and the end token, as little-endian 32-bit bytes.
-
-        ASCII white space splits: the tokenizer never joins across it. Each distinct word is looked up once.
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def learn(self, missing: list[bytes], rare: dict[bytes, bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
+        for word, encoding in zip(missing, found, strict=True):
+            ids = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
+            (self.new if len(word) <= REMEMBERED_BYTES else rare)[word] = ids
+
+    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        """ASCII white space splits: the tokenizer never joins across it, nor a letter with the full stop behind it.
+
+        It lowers letters itself, so ASCII letters may be lowered before: fewer words are to be remembered.
         """
-        if len(self.first) > REMEMBERED_WORDS or len(self.ids) > REMEMBERED_IDS:
-            self.forget()
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()).fill_null(""))
-        words = split.flatten().dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        self.learn([w for w in distinct if w not in self.number])
-        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
-        first, size = np.array(self.first, dtype=np.int64)[numbers], np.array(self.size, dtype=np.int64)[numbers]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        by_text = ends[split.offsets.to_numpy()]
-        place = np.arange(ends[-1])
-        out = np.full(ends[-1] + len(texts), END, dtype="<u4")
-        out[place + np.repeat(np.arange(len(texts)), np.diff(by_text))] = np.array(self.ids, dtype=np.uint32)[place + np.repeat(first - ends[:-1], size)]
-        data = memoryview(out).cast("B")
-        for i in range(len(texts)):
-            yield data[4 * (by_text[i] + i) : 4 * (by_text[i + 1] + i + 1)]
-
-
-def _groups(texts: list[str | None], size: int = 4_000_000) -> Iterator[tuple[int, list[str | None]]]:
+        if len(self.new) > REMEMBERED_WORDS:
+            self.old, self.new = self.new, {}
+        # special tokens have a case: a text that may hold one keeps it
+        plain = [(t or "").encode() for t in texts]
+        split = [_TAIL.sub(rb" \g<0>", t if b"<|" in t else t.lower()).split() for t in plain]
+        rare: dict[bytes, bytes] = {}
+        unseen = set().union(*split).difference(self.new)
+        for word in unseen.intersection(self.old):
+            self.new[word] = self.old[word]
+        self.learn(list(unseen.difference(self.new)), rare)
+        known = self.new.__getitem__
+        for text in split:
+            yield b"".join(map(known, text)) if not rare else b"".join([rare[w] if w in rare else known(w) for w in text])
+
+
+def _groups(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
     """Runs of texts of about ``size`` characters, so that memory does not follow the batch."""
     first, held = 0, 0
     for i, t in enumerate(texts):
@@ -118,6 +98,7 @@ def tokenized(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id
     ready(docs.sparkSession)
     with open(tokenizer_file, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
+    end = END.to_bytes(4, "little")
 
     def pieces(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key = zlib.crc32(definition.value.encode())
@@ -129,10 +110,11 @@ def tokenized(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, id
             for first, group in _groups(texts):
                 out = []
                 for k, data in enumerate(encoder.batch(group), first):
+                    data += end
                     for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[at : at + 4 * capacity]
                         row = (rows[k], docs_of[k], piece, at // 4, len(part) // 4, zlib.crc32(part))
-                        out.append((*row, bytes(part)) if ids else row)
+                        out.append((*row, part) if ids else row)
                 names = ["row_id", "doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
                 made = pd.DataFrame(out, columns=names)
                 made["doc_id"] = made["doc_id"].astype("Int64")

@@ -181,6 +181,19 @@ def test_plans():
         check_plan({rng.randint(1, capacity): rng.randint(1, 40) for _ in range(40)}, capacity)
 
 
+def test_special_strings_keep_their_case():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    library = Tokenizer.from_file(path)
+    texts = ["<|STARTOFTEXT|> One", "<|startoftext|>two three.", "Plain Text, ÉCOLE.", None, "a<|endoftext|>B"]
+    for text, got in zip(texts, encoder.batch(texts), strict=True):
+        assert got == b"".join(i.to_bytes(4, "little") for i in library.encode(text or "", add_special_tokens=False).ids)
+
+
 def test_packing_round_trip(odd, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
