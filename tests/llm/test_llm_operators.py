@@ -125,6 +125,56 @@ def test_sharding_follows_weights(spark):
     assert key.where("a <> b and b <> 4").count() == 0
 
 
+def descended(key, weights, base=None):
+    """The descent of one key in plain Python."""
+    import xxhash
+
+    def draw(path, weight):
+        seed = xxhash.xxh64_intdigest(str(key).encode(), 42)
+        for x in path:
+            seed = xxhash.xxh64_intdigest(x.to_bytes(4, "little", signed=True), seed)
+        return -math.log(((seed >> 12) + 0.5) / 2.0**52) / weight if weight > 0 else math.inf
+
+    base = len(weights) if base is None else base
+    at, nodes = [], {}
+    for s, w in enumerate(weights[:base]):
+        path = (s // 12, s // 4 % 3, s % 4)
+        for depth in range(1, 4):
+            nodes[path[:depth]] = nodes.get(path[:depth], 0.0) + w
+    least = math.inf
+    for depth in range(3):
+        here = {p: draw(p, w) for p, w in nodes.items() if len(p) == depth + 1 and list(p[:depth]) == at}
+        best = min(here, key=lambda p: (here[p], p))
+        at = list(best)
+        least = here[best] if depth == 0 else least
+    won = [(d, s) for s in range(base, len(weights)) if (d := draw((-1, s), weights[s])) < least]
+    return min(won)[1] if won else (at[0] * 3 + at[1]) * 4 + at[2]
+
+
+@pytest.mark.parametrize("weights, base", [([1.0] * 24, None), ([1.0] * 27, 24), ([0.5, 0.0, 2.0, 1.0, 0.0, 3.0, 1.5] * 4, 25), ([2.0], None)])
+def test_sharding_descends(spark, weights, base):
+    ids = spark.range(400)
+    got = ids.select("id", sharding.shard_of(ids["id"], weights, base).alias("s")).collect()
+    assert all(r["s"] == descended(r["id"], weights, base) for r in got)
+
+
+def test_sharding_confines_movement(spark):
+    ids = spark.range(20_000)
+    place = lambda weights, base=None: sharding.shard_of(ids["id"], weights, base)
+    weights = [1.0] * 36
+    swapped = weights[:12] + [5.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0] + weights[24:]
+    mirrored = weights[:12] + [1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 5.0, 1.0, 1.0, 1.0] + weights[24:]
+    moved = ids.select(place(weights).alias("a"), place(swapped).alias("b"), place(mirrored).alias("c"), place(weights + [1.0, 3.0], 36).alias("d"))
+    assert moved.where("a <> b and b div 12 <> 1").isEmpty()  # into the region that grew, from outside only into it
+    assert moved.where("a div 12 = 1 and b div 12 = 1 and a <> b and b div 4 <> 3").isEmpty()  # inside it, into the rack
+    assert moved.where("b div 12 <> c div 12 or (b div 12 <> 1 and b <> c)").isEmpty()  # order inside a region is its own
+    assert moved.where("a <> d and d < 36").isEmpty()
+    counts = {r["d"]: r["count"] for r in moved.groupBy("d").count().collect()}
+    assert abs(counts[37] / 1500 - 1) < 0.1 and abs(counts[36] / 500 - 1) < 0.2 and abs(counts[3] / 500 - 1) < 0.2
+    with pytest.raises(ValueError):
+        place([0.0, 0.0])
+
+
 # packing
 
 
