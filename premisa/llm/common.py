@@ -60,7 +60,7 @@ def numbered(df: DataFrame, by: list[str], unique: str, out: str) -> DataFrame:
         raise ValueError("reserved column name")
     groups = df.groupBy(*by).agg(F.ceil(F.sqrt(F.count("*"))).cast("int").alias("_buckets"))
     dealt = df.join(groups, by).withColumn("_bucket", F.pmod(F.xxhash64(unique), F.col("_buckets")).cast("int"))
-    dealt = dealt.drop("_buckets")
+    dealt = dealt.drop("_buckets").repartition(*by, "_bucket")  # else windows may keep the join's dealing by group alone
     sizes = dealt.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select(*by, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

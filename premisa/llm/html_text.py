@@ -7,7 +7,7 @@ best set of elements in which nothing below a dropped element is kept: for every
 dropped, or it is kept and its children choose; so no ancestor contradicts a descendant.
 
 Defined cases: null, empty and tagless pages: no text, or the text itself; a broken page is read as far as its tags make
-sense; repeated rows are read each; an empty table gives an empty result; other columns are not read.
+sense (a tag whose quotes never close ends at the next >; what is nested deeper than 512 elements is put at that depth); repeated rows are read each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -54,7 +54,13 @@ REPLIES = re.compile(r"(^|[^a-z])(comment|comments|commentlist|reply|replies|res
 MAIN = re.compile(r"(^|[^a-z])(article|content|post|entry|main|story|body|text|page|hentry|prose)([^a-z]|$)")
 TAGS = ("div", "p", "article", "main", "section", "nav", "header", "footer", "aside", "form", "ul", "li", "a", "table", "heading", "inline")
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAGS = r"<!--.*?(?:-->|$)|<!\[CDATA\[|<[!?][^>]*(?:>|$)|{whole}|<(/?)([a-zA-Z][^\s/>]*+)"
+#: A whole tag, else its beginning alone. The second never looks for the end: for pages with a tag that has none.
+_TAG = re.compile(_TAGS.format(whole=r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>"), re.S)
+_BEGIN = re.compile(_TAGS.format(whole="(?!)()()()"), re.S)
+_MARK = re.compile(r"[>\"']")
+#: Elements below this depth become children of the one at it.
+DEEPEST = 512
 _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACES = re.compile(r"\s+")
 
@@ -75,23 +81,49 @@ class Node:
         self.number = -1
 
 
+def _tag_end(page: str, at: int, hopeless: set[int]) -> int:
+    """Where the tag ends whose name ends at ``at``: behind the first > outside quotes; if quotes leave none, behind the
+    next >. ``hopeless`` remembers the quotes from which no end was found, so that a page is walked only a few times."""
+    here, trail = at, []
+    while True:
+        m = _MARK.search(page, here)
+        if m is not None and m[0] == ">":
+            return m.end()
+        close = -1 if m is None or m.start() in hopeless else page.find(m[0], m.end())
+        if m is not None:
+            trail.append(m.start())
+        if close < 0:
+            hopeless.update(trail)
+            return page.find(">", at) + 1 or len(page)
+        here = close + 1
+
+
 def parsed(page: str) -> Node:
-    """The tree of a page. Raw elements and what can hold no text are left out."""
+    """The tree of a page, in time that grows with its length. Raw elements and what can hold no text are left out."""
     root = Node("html", "", None)
+    root.depth = 0
     at, here, end = 0, root, len(page)
+    scan, hopeless, last_section = _TAG, set(), page.rfind("]]>")
     while at < end:
-        m = _TAG.search(page, at)
+        m = scan.search(page, at)
         if m is None:
             here.children.append(page[at:])
             break
         if m.start() > at:
             here.children.append(page[at : m.start()])
         at = m.end()
-        tag = m[2]
+        closing, tag, rest = m[1], m[2], m[3]
         if not tag:
-            continue
+            closing, tag = m[4], m[5]
+            if not tag:
+                if m[0] == "<![CDATA[":
+                    at = page.find("]]>", at) + 3 if at <= last_section else page.find(">", at) + 1 or end
+                continue
+            scan = _BEGIN
+            stop = _tag_end(page, at, hopeless)
+            rest, at = page[at:stop].removesuffix(">"), stop
         tag = tag.lower()
-        if m[1]:
+        if closing:
             up = here
             while up is not None and up.tag != tag:
                 up = None if up.tag in SCOPE and tag not in BLOCK else up.parent
@@ -112,9 +144,12 @@ def parsed(page: str) -> Node:
             if up.tag in SCOPE and not (shut and up.tag in shut):
                 break
             up = up.parent
-        node = Node(tag, " ".join(x for k in _MARKS.findall(m[3]) for x in k[1:] if x).lower() if m[3] else "", here)
+        node = Node(tag, " ".join(x for k in _MARKS.findall(rest) for x in k[1:] if x).lower() if rest else "", here)
+        node.depth = here.depth + 1
         here.children.append(node)
-        if tag not in VOID and not m[3].rstrip().endswith("/"):
+        if node.depth >= DEEPEST:
+            continue
+        if tag not in VOID and not rest.rstrip().endswith("/"):
             here = node
         elif tag not in VOID:
             here = node if tag in BLOCK else here

@@ -15,6 +15,7 @@ from pyspark.ml.linalg import Vectors
 
 from premisa.llm import (
     decontamination,
+    html_text,
     language_id,
     near_duplicates,
     packing,
@@ -97,6 +98,25 @@ def test_sketch_buckets(spark):
     assert df.where("v > id or id > v * 33 / 32 + 1 or (id < 64 and v <> id)").count() == 0
 
 
+# broken pages
+
+
+@pytest.mark.parametrize("piece, tail", [
+    ('<a "', ""), ('<a ">" ', '"'), ("<a '>", '"'), ("<![CDATA[", ""), ("<![CDATA[>", ""), ("<!x", ""), ("<b>", "</i>" * 30_000),
+    ("<b>", "<p>x</p>" * 15_000), ("<a x=1 ", ""), ("<a", ""), ("<script>", ""), ("<!--", "")])
+def test_broken_pages_end_soon(piece, tail):
+    start = time.time()
+    html_text.parsed("<p>before</p>" + piece * (1_000_000 // len(piece)) + tail)
+    assert time.time() - start < 8
+
+
+def test_tags_are_read_as_before():
+    texts = lambda x: [c if isinstance(c, str) else (c.tag, c.marks, texts(c)) for c in x.children]
+    assert texts(html_text.parsed('<div class="a > b" id=x><p>one<br/>two<p>three</div><![CDATA[ <b> ]]><!-- <i> -->end<')) == [
+        ("div", "a > b x", [("p", "", ["one", ("br", "", []), "two"]), ("p", "", ["three"])]), "end<"]
+    assert texts(html_text.parsed("<p title='open>text</p>rest")) == [("p", "", ["text"]), "rest"]
+
+
 # sharding
 
 
