@@ -703,6 +703,62 @@ def test_main_text(spark):
 # languages
 
 
+def test_fused_evidence(spark):
+    """Bayes' rule over given fits, against plain Python."""
+    rng = random.Random(5)
+    names, rows = ["aa", "bb", "cc"], []
+    pick = lambda *of: rng.choice([None, *of])
+    for i in range(120):
+        host = pick("x.one.org", "y.one.org", "z.two.org")
+        fit = [rng.uniform(-6, 0) for _ in names] if i % 10 else [-1.0, -1.0, -1.0]
+        rows.append((rng.choice(["page", "document"]), i, pick("aa", "bb", "zz"), pick("org", "de"), host, host and host[2:], fit))
+    schema = "kind string, id long, declared string, suffix string, host string, domain string, fit array<double>"
+    got = {r["id"]: r for r in language_id.combined(spark.createDataFrame(rows, schema), names).collect()}
+    own = {r[1]: [math.exp(x - max(r[6])) for x in r[6]] for r in rows}
+    own = {i: [x / sum(v) for x in v] for i, v in own.items()}
+    total = [sum(v[k] for v in own.values()) for k in range(3)]
+    corpus = [(x + 1) / (sum(total) + 3) for x in total]
+    m = language_id.SMOOTHING
+
+    def others(r, at):
+        return [max(0.0, sum(own[q[1]][k] for q in rows if q[0] == r[0] and q[at] == r[at]) - own[r[1]][k]) for k in range(3)]
+
+    for r in rows:
+        prior = corpus
+        for at in (5, 4):
+            if r[at] is not None:
+                seen = others(r, at)
+                prior = [(a + m * p) / (sum(seen) + m) for a, p in zip(seen, prior, strict=True)]
+        post = [x + math.log(p) for x, p in zip(r[6], prior, strict=True)]
+        for at in (2, 3):
+            if r[at] is not None:
+                seen = others(r, at)
+                post = [x + math.log((a + m * p) / (sum(seen) + m)) - math.log(p) for x, a, p in zip(post, seen, corpus, strict=True)]
+        post = [math.exp(x - max(post)) for x in post]
+        assert abs(got[r[1]]["probability"] - max(post) / sum(post)) < 2e-6
+        assert got[r[1]]["lang"] == names[post.index(max(post))]
+        assert got[r[1]]["text_lang"] == names[own[r[1]].index(max(own[r[1]]))]
+
+
+def test_any_number_of_languages(spark):
+    """More languages than a block and than the former cap, labels in several spellings, a very long text, clashing columns."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßñçéèêøåłşğıабвгдежзиклмноп"
+    names = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghijk"][:210]
+    alphabet = {x: rng.sample(letters, 6) for x in names}
+    text = lambda x, n: " ".join("".join(rng.choices(alphabet[x], k=5)) for _ in range(n))
+    spelled = lambda x, i: (x, x.upper(), f"{x}-XX", f" {x}_yy ")[i % 4]
+    rows = [(i, text(names[i % 210], 40), spelled(names[i % 210], i // 210), "web", 0.0) for i in range(840)]
+    rows.append((840, text(names[3], 60_000), None, None, 0.0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, fit double")
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    languages, model = language_id.likelihoods(docs)
+    assert languages == sorted(names) and len(model) == 4
+    found = {r["doc_id"]: r for r in language_id.identified(pages, docs).collect()}
+    assert len(found) == 841 and found[840]["lang"] == names[3] and found[210]["declared"] == names[0]
+    assert sum(found[i]["text_lang"] == names[i % 210] for i in range(840)) >= 800
+
+
 def test_languages(spark, sf, empty):
     pages, docs = spark.read.parquet(f"{sf}/pages.parquet"), spark.read.parquet(f"{sf}/documents.parquet")
     languages, model = language_id.likelihoods(docs.where("doc_id % 2 = 0"))
