@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -20,8 +21,10 @@ from premisa.plans.rules import Condition, Rule, add_condition, at_least, equals
 CLASSES_PER_JOB = 16
 # Equal coded rows are merged when that leaves at most this share of the rows.
 MERGE_SHARE = 0.25
-# Conditions up to which one aggregate by outcome pattern (2^m rows at most) serves all of pruning.
-PATTERN_CONDITIONS = 12
+# Sets of failing conditions, per class, that one aggregate for pruning may return.
+PATTERNS = 4096
+# Conditions in one long of such a set.
+WORD = 62
 # Accepted rules after which the uncovered flag is written out.
 RULES_PER_WRITE = 20
 
@@ -35,6 +38,14 @@ def candidate_condition(row, table: TrainingTable) -> Condition:
     return (equals if row["op"] == "eq" else not_equals)(row["attr"], row["value"])
 
 
+def _depth(conditions: int) -> int:
+    """The most conditions that may fail, at least one, so that the sets of failing ones stay within ``PATTERNS``."""
+    depth, sets = 0, 1
+    while depth < conditions and (sets := sets + math.comb(conditions, depth + 1)) <= PATTERNS:
+        depth += 1
+    return max(1, depth)
+
+
 class ClassSearch:
     must_improve = False
 
@@ -205,36 +216,49 @@ class ClassSearch:
     # --- pruning -----------------------------------------------------------------------------
 
     def prune(self, premises: Mapping[str, Premise]) -> dict[str, Premise]:
-        short = {t: p for t, p in premises.items() if len(p) <= PATTERN_CONDITIONS}
-        long = {t: p for t, p in premises.items() if t not in short}
-        out = climb(short, self._pattern_qualities(short))
-        out.update(climb(long, lambda asks: self._variant_qualities(long, asks)))
-        return out
-
-    def _patterns(self, premises: Mapping[str, Premise]) -> dict[str, dict[int, tuple[float, float, float]]]:
-        """Sums per set of failing conditions: one aggregate answers every removal."""
+        """Hill climbing. A premise without the conditions D covers the rows that fail no condition outside D. So one
+        aggregate by the set of failing conditions, over the rows that fail at most d, answers the next d removals; d is all
+        conditions of a short premise and less for a long one, such that at most ``PATTERNS`` sets come back."""
+        return climb(premises, self._removal_qualities(premises))
+
+    def _patterns(self, premises: Mapping[str, Premise], depth: Mapping[str, int]) -> dict[str, dict[int, tuple[float, float, float]]]:
+        """Sums per set of at most ``depth`` failing conditions (a bit each, in the premise's order)."""
+        words = [f"f{k}" for k in range(-(-max(len(p) for p in premises.values()) // WORD))]
         parts = []
         for t, premise in premises.items():
-            marks = self._marks(t)
-            failing = " + ".join(f"if({self.table.holds_sql([c])}, 0, {1 << j})" for j, c in enumerate(premise))
-            sums = ", ".join(f"if({m}, __w, 0D) as {x}" for x, m in marks.items())
-            parts.append(f"struct({q.text(t)} as target, {failing} as failing, {sums})")
+            bits = [f"if({self.table.holds_sql([c])}, 0L, {1 << j % WORD}L)" for j, c in enumerate(premise)]
+            sets = [f"{' + '.join(bits[k * WORD : (k + 1) * WORD] or ['0L'])} as {w}" for k, w in enumerate(words)]
+            sums = ", ".join(f"if({m}, __w, 0D) as {x}" for x, m in self._marks(t).items())
+            parts.append(f"struct({q.text(t)} as target, {depth[t]} as depth, {', '.join(sets)}, {sums})")
         rows = self.table.df.where("__y is not null").selectExpr(f"inline(array({', '.join(parts)}))")
+        rows = rows.where(f"{' + '.join(f'bit_count({w})' for w in words)} <= depth")
         table: dict[str, dict[int, tuple[float, float, float]]] = {t: {} for t in premises}
-        sums = rows.groupBy("target", "failing").agg(*[F.sum(x).alias(x) for x in "pnf"])
-        for r in sums.collect():  # at most 2^m rows per class
-            table[r["target"]][r["failing"]] = (r["p"], r["n"], r["f"])
+        for r in rows.groupBy("target", *words).agg(*[F.sum(x).alias(x) for x in "pnf"]).collect():
+            failing = sum(r[w] << k * WORD for k, w in enumerate(words))
+            table[r["target"]][failing] = (r["p"], r["n"], r["f"])
         return table
 
-    def _pattern_qualities(self, premises: Mapping[str, Premise]) -> Callable:
-        todo = {t: p for t, p in premises.items() if len(p) > 1}
-        table = self._patterns(todo) if todo else {}
+    def _removal_qualities(self, premises: Mapping[str, Premise]) -> Callable:
+        held: dict[str, tuple[tuple[int, ...], int, dict]] = {}  # positions the sets are of, their depth, their sums
 
         def qualities(asks):
+            stale: dict[str, set[int]] = {}
+            for t, kept in asks:
+                if t not in held or len(held[t][0]) - len(kept) > held[t][1]:
+                    stale.setdefault(t, set())
+            for t, kept in asks:
+                if t in stale:
+                    stale[t] |= set(kept)
+            if stale:
+                whole = {t: tuple(sorted(x)) for t, x in stale.items()}
+                depth = {t: _depth(len(x)) for t, x in whole.items()}
+                found = self._patterns({t: tuple(premises[t][i] for i in x) for t, x in whole.items()}, depth)
+                held.update({t: (x, depth[t], found[t]) for t, x in whole.items()})
             rows = []
             for t, kept in asks:
-                dropped = sum(1 << i for i in range(len(premises[t])) if i not in kept)
-                sums = [v for failing, v in table[t].items() if failing & ~dropped == 0]
+                whole, _, table = held[t]
+                dropped = sum(1 << j for j, i in enumerate(whole) if i not in kept)
+                sums = [v for failing, v in table.items() if failing & ~dropped == 0]
                 p, n, f = (sum(s[j] for s in sums) for j in range(3))
                 self._known[t, tuple(premises[t][i] for i in kept)] = (p, n, f)
                 rows.append((p, n, self.size[t], self.everything - self.size[t]))
@@ -242,19 +266,6 @@ class ClassSearch:
 
         return qualities
 
-    def _variant_qualities(self, premises, asks):
-        """For long premises: one wide aggregate per target and round."""
-        by_target: dict[str, list[Premise]] = {}
-        for t, kept in asks:
-            by_target.setdefault(t, []).append(tuple(premises[t][i] for i in kept))
-        for t, variants in by_target.items():
-            self._remember(t, variants)
-        rows = []
-        for t, kept in asks:
-            p, n, _ = self._known[t, tuple(premises[t][i] for i in kept)]
-            rows.append((p, n, self.size[t], self.everything - self.size[t]))
-        return python_quality(self.params.pruning_measure, self.table.df.sparkSession, rows)
-
     # --- results -----------------------------------------------------------------------------
 
     def describe(self, target: str, premise: Premise, **kw) -> Rule:

@@ -205,12 +205,40 @@ def test_pruning_does_not_hurt(small):
     assert len(kept) < 4 and values[1] >= values[0] - 1e-12
     import premisa.operators.classify as classify
 
-    # The route for long premises climbs the same way.
-    old, classify.PATTERN_CONDITIONS = classify.PATTERN_CONDITIONS, 0
+    # Asked anew for every removal, as very long premises are, it climbs the same way.
+    old, classify.PATTERNS = classify.PATTERNS, 1
     try:
         assert search.prune(long)["yes"] == kept
     finally:
-        classify.PATTERN_CONDITIONS = old
+        classify.PATTERNS = old
+    search.close()
+
+
+def test_pruning_of_long_premises(small):
+    """Seventy conditions, more than one long of bits holds: every removal against counts by brute force."""
+    params = InductionParams(minsupp_new=4)
+    search = ClassSearch(example_set(small, "y", features=FEATURES), FEATURES, "y", params)
+    long = tuple(at_least("a", 3.25 - k / 50) for k in range(35)) + tuple(less("b", 0.6 + k / 40) for k in range(35))
+    rows = [(r["a"], r["b"], r["y"] == "yes") for r in small.select("a", "b", "y").collect()]
+    known = lambda v: v is not None and v == v
+
+    def value(kept):
+        low = max((3.25 - i / 50 for i in kept if i < 35), default=None)
+        high = min((0.6 + (i - 35) / 40 for i in kept if i >= 35), default=None)
+        inside = [y for a, b, y in rows if (low is None or known(a) and a >= low) and (high is None or known(b) and b < high)]
+        pos = sum(y for *_, y in rows)
+        return correlation(sum(inside), len(inside) - sum(inside), pos, len(rows) - pos)
+
+    kept, now = tuple(range(70)), value(range(70))
+    while len(kept) > 1:
+        best = max((value(k), k) for k in (tuple(j for j in kept if j != i) for i in kept))
+        if best[0] < now:
+            break
+        now, kept = best
+    got = search.prune({"yes": long})["yes"]
+    p, n, _ = search.counts("yes", got)
+    assert len(got) < 70 and abs(correlation(p, n, search.size["yes"], search.everything - search.size["yes"]) - now) < 1e-9
+    assert got == tuple(long[i] for i in kept)
     search.close()
 
 
