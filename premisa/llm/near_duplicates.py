@@ -4,15 +4,15 @@ A text is the bag of its five-word shingles, each weighted by its count (a short
 shingle exponential arrivals of a Poisson process, whose rate is the weight, fall on random registers; a register keeps
 the shingle that arrives first, and a text is done as soon as its next arrivals come later than all registers hold. Two
 texts agree on a register with the probability of their probability Jaccard similarity. Bands of registers make the
-candidates; the similarity of candidates is then computed from their texts, and links join texts into classes.
+candidates; the similarity of candidates is then computed from all their shingles, stored once a text, and links join texts into classes.
 
 Copies (equal word sequences) are merged before anything else. All members of a bucket are held against its most central
 one, the one that meets most texts in all its buckets. In buckets that still span several classes, every member outside the
 bucket's largest class is then compared with all members of other classes, each pair in the first bucket that both share:
 first by ``WIDE`` registers, drawn for members of such buckets only, in blocks of about ``BLOCK`` by ``BLOCK`` members, then by
-text. A round takes the ``BEST`` most agreeing partners of a member in a block, the next round four times as many, without the
-pairs that meanwhile are in one class, until no pair is left out. So two texts of a bucket are either compared or in one
-class by other links. So many registers tell pairs under the threshold apart that few texts are fetched in vain: at six standard
+their shingles. A round takes the ``BEST`` most agreeing partners of a member in a block, the next round four times as many, or
+all of them when a round has found no link, without the pairs that meanwhile are in one class, until no pair is left out. So two texts of a bucket are either compared or in one
+class by other links. So many registers tell pairs under the threshold apart that few shingles are fetched in vain: at six standard
 deviations a pair at the threshold is lost once in a thousand million, and most pairs below 0.7 are dropped.
 
 Rows are told apart by their texts, never by doc_id: each distinct word sequence gets a number, links and classes are of
@@ -27,6 +27,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ WIDE = 1024
 SAME = THRESHOLD + (1 - THRESHOLD) / 16
 LEAST_WIDE = int(WIDE * SAME - 6 * (WIDE * SAME * (1 - SAME)) ** 0.5)
 BLOCK, BEST = 512, 4
+#: Shingles and registers that a task draws at once.
+AT_ONCE = 1 << 20
 NULL_ID = -(1 << 63)
 
 Bag = tuple[np.ndarray, np.ndarray]
@@ -109,6 +112,9 @@ def signatures(of: list[Bag], registers: int = REGISTERS) -> np.ndarray:
 
 def similarity(a: Bag, b: Bag) -> float:
     """Probability Jaccard similarity of two weighted bags; with equal weights the plain Jaccard similarity."""
+    if len(a[0]) and len(b[0]) and a[1].max() == b[1].max() == 1:
+        both = len(np.intersect1d(a[0], b[0], assume_unique=True))
+        return both / (len(a[0]) + len(b[0]) - both)
     keys = np.union1d(a[0], b[0])
     wa, wb = np.zeros(len(keys)), np.zeros(len(keys))
     wa[np.searchsorted(keys, a[0])] = a[1]
@@ -145,20 +151,36 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def _lists(of: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, of)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*of, np.zeros(0, of[0].dtype)]), kind))
+
+
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (id, shingles, counts): the bag of the text; no counts where all of them are one."""
+    for batch in batches:
+        for start, data, offsets in parts(batch.column("text")):
+            of, _ = bags(data, offsets)
+            counts = [w.astype(np.int32) if (w > 1).any() else np.zeros(0, np.int32) for _, w in of]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").slice(start, len(of)), _lists([x.view(np.int64) for x, _ in of], pa.int64()),
+                 _lists(counts, pa.int32())], ["id", "shingles", "counts"])
+
+
+def _stored(batch: pa.RecordBatch, prefix: str = "") -> Iterator[Bag]:
+    """The bags in the columns shingles and counts of a batch."""
+    shingles, counts = batch.column(f"{prefix}shingles"), batch.column(f"{prefix}counts")
+    keys, weights = shingles.values.to_numpy().view(np.uint64), counts.values.to_numpy()
+    for (i, j), (k, m) in zip(pairwise(shingles.offsets.to_numpy()), pairwise(counts.offsets.to_numpy()), strict=True):
+        yield keys[i:j], weights[k:m] if m > k else np.ones(j - i, np.int32)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, a_text, b_text) to the linked (a, b)."""
-    held: tuple[int, Bag] | None = None
+    """Pairs (a, b) and the bags of both to the linked (a, b)."""
     for batch in batches:
-        links: tuple[list[int], list[int]] = ([], [])
-        texts = batch.column("a_text"), batch.column("b_text")
-        for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
-            one = lambda k, i=i: next(bags(d, o)[0][0] for _, d, o in parts(texts[k].slice(i, 1)))
-            if held is None or held[0] != a:
-                held = (a, one(0))
-            if similarity(held[1], one(1)) >= THRESHOLD - 1e-12:
-                links[0].append(a)
-                links[1].append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(links[0], pa.int64()), pa.array(links[1], pa.int64())], ["a", "b"])
+        both = zip(_stored(batch, "a_"), _stored(batch, "b_"), strict=True)
+        alike = pa.array([similarity(a, b) >= THRESHOLD - 1e-12 for a, b in both], pa.bool_())
+        yield batch.select(["a", "b"]).filter(alike)
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -174,18 +196,20 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, wide): WIDE registers of four bits, two to a byte."""
+    """(id, shingles, counts) to (id, wide): WIDE registers of four bits, two to a byte."""
     for batch in batches:
-        for start, data, offsets in parts(batch.column("text")):
-            found = (signatures(bags(data, offsets)[0], WIDE) >> np.uint64(60)).astype(np.uint8)
+        of = list(_stored(batch))
+        ends = np.cumsum([len(x) + WIDE for x, _ in of])
+        for run in np.split(np.arange(len(of)), np.flatnonzero(np.diff(ends // AT_ONCE)) + 1):
+            found = (signatures([of[i] for i in run], WIDE) >> np.uint64(60)).astype(np.uint8)
             wide = found[:, ::2] << 4 | found[:, 1::2]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(start, len(offsets) - 1), pa.array([x.tobytes() for x in wide], pa.binary())], ["id", "wide"])
+            ids = batch.column("id").take(pa.array(run))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in wide], pa.binary())], ["id", "wide"])
 
 
-def _partners(best: int):
+def _partners(best: int | None):
     """Blocks, a key and an array ``of`` of (minor, id, class_id, keys, wide), to pairs (a, b): for each minor member the
-    ``best`` most agreeing ones of other classes, of those that share no bucket of an earlier band with it; ``rest`` marks a pair
+    ``best`` most agreeing ones (None: all) of other classes, of those that share no bucket of an earlier band with it; ``rest`` marks a pair
     of a member that has more than these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +230,7 @@ def _partners(best: int):
                     y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
                     agree = (wide[y] == wide[x]).sum(axis=1)
                     near = np.flatnonzero(agree >= LEAST_WIDE)
-                    more = len(near) > best
+                    more = best is not None and len(near) > best
                     if more:
                         near = near[np.argsort(-agree[near], kind="stable")[:best]]
                     for c, z in enumerate((np.minimum(ids[x], ids[y[near]]), np.maximum(ids[x], ids[y[near]]), np.full(len(near), more))):
@@ -217,15 +241,16 @@ def _partners(best: int):
     return run
 
 
-def _side(table: DataFrame, x: str, name: str) -> DataFrame:
-    return table.select(F.col("id").alias(x), F.col(name).alias(f"{x}_{name}"))
+def _side(table: DataFrame, x: str, *names: str) -> DataFrame:
+    return table.select(F.col("id").alias(x), *[F.col(name).alias(f"{x}_{name}") for name in names])
 
 
 def _linked(near: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough. The side with many partners is joined last, where Spark can split
+    """The pairs (a, b) whose bags are similar enough. The side with many partners is joined last, where Spark can split
     it, and goes straight into the verification."""
-    both = near.join(_side(texts, "b", "text"), "b").join(_side(texts, "a", "text"), "a")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(_verified, "a long, b long")
+    both = near.join(_side(texts, "b", "shingles", "counts"), "b").join(_side(texts, "a", "shingles", "counts"), "a")
+    both = both.select("a", "b", "a_shingles", "a_counts", "b_shingles", "b_counts")
+    return both.mapInArrow(_verified, "a long, b long")
 
 
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -303,7 +328,8 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = buckets.select("id").distinct()
     asked = own.select("id", "doc", "t1", "t2").join(wanted, "id")
     texts = source.join(asked, ["doc", "t1", "t2"]).groupBy("doc", "t1", "t2", "id").agg(F.min("text").alias("text"))
-    texts = written(texts.select("id", "text"), "candidates")
+    texts = texts.select("id", "text").mapInArrow(_bagged, "id long, shingles array<long>, counts array<int>")
+    texts = written(texts, "candidates")
     registers = written(own.select("id", "registers").join(wanted, "id", "left_semi"), "registers")
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
@@ -326,13 +352,14 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         near = written(near.groupBy("a", "b").agg(F.max("rest").alias("rest")), "pairs")
         new = near.select("a", "b") if tested is None else near.join(tested, ["a", "b"], "left_anti").select("a", "b")
         new = written(_linked(new, texts), "links")
-        if not new.isEmpty():
+        fruitless = new.isEmpty()
+        if not fruitless:
             links = links.unionByName(new)
             found = components(links)
         if near.where("rest").isEmpty():
             break
         tested = near.select("a", "b") if tested is None else tested.unionByName(near.select("a", "b"))
-        best *= 4
+        best = None if fruitless else 4 * best  # where classes do not grow, further rounds spare nothing
     named = own.select("id", "h1", "h2", F.struct("doc", "t1", "t2").alias("row")).join(found, "id", "left")
     named = written(named.withColumn("class_id", F.coalesce("class_id", "id")), "named")
     least = named.groupBy("class_id").agg(F.min("row").alias("row"))

@@ -437,7 +437,7 @@ def test_wide_registers():
     base = [prose(rng, 1) + str(i) for i in range(400)]
     texts = [" ".join(base), " ".join(base[:360] + [f"new{i}" for i in range(40)]), " ".join(f"other{i}" for i in range(300)), " ".join(base)]
     batch = pa.RecordBatch.from_pydict({"id": pa.array([3, 1, 2, 9]), "text": pa.array(texts)})
-    got = pa.Table.from_batches(near_duplicates._widened([batch])).to_pydict()
+    got = pa.Table.from_batches(near_duplicates._widened(near_duplicates._bagged([batch]))).to_pydict()
     assert got["id"] == [3, 1, 2, 9] and all(len(w) == near_duplicates.WIDE // 2 for w in got["wide"])
     wide = np.frombuffer(b"".join(got["wide"]), np.uint8).reshape(4, -1)
     wide = np.concatenate([wide >> 4, wide & 15], axis=1)
@@ -447,6 +447,30 @@ def test_wide_registers():
     assert near_duplicates.LEAST_WIDE / near_duplicates.WIDE > 0.7
 
 
+def test_stored_bags_are_those_of_the_texts(monkeypatch):
+    """Links from stored bags against counted shingles; drawing registers in many runs changes nothing."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    base = [prose(rng, 1) + str(i) for i in range(100)]
+    changed = lambda n: " ".join(base[:n] + [f"new{i}" for i in range(100 - n)])
+    texts = [" ".join(base), changed(90), changed(85), " ".join(base + base), "again and again " * 60, "again and again " * 61, "four words are few", "four words are few"]
+    shingled = lambda t: collections.Counter(zip(*[t.split()[i:] for i in range(5)]) if len(t.split()) > 4 else [t])
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    stored = pa.Table.from_batches(near_duplicates._bagged([batch])).combine_chunks().to_batches()[0]
+    assert [bool(c) for c in stored.column("counts").to_pylist()] == [False, False, False, True, True, True, False, False]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    sides = {f"{x}_{c}": stored.column(c).take(pa.array([p[k] for p in pairs])) for k, x in enumerate("ab") for c in ("shingles", "counts")}
+    both = pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in pairs]), "b": pa.array([p[1] for p in pairs]), **sides})
+    got = pa.Table.from_batches(near_duplicates._verified([both.slice(0, 9), both.slice(9)])).to_pydict()
+    bags = [shingled(t) for t in texts]
+    want = [(i, j) for i, j in pairs if probability_jaccard(bags[i], bags[j]) >= 0.8 - 1e-12]
+    assert list(zip(got["a"], got["b"], strict=True)) == want and {(1, 0), (5, 4), (7, 6)} <= set(want) and (2, 0) not in want
+    whole = pa.Table.from_batches(near_duplicates._widened([stored])).to_pydict()
+    monkeypatch.setattr(near_duplicates, "AT_ONCE", 1500)
+    assert pa.Table.from_batches(near_duplicates._widened([stored])).to_pydict() == whole
+
+
 def test_registers_estimate_probability_jaccard():
     import numpy as np
 
