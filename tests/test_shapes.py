@@ -7,11 +7,27 @@ from premisa import ContrastSetRuleRegressor, ContrastSetSurvivalRules, RuleClas
 from premisa.functions.measures import user_measure
 from premisa.operators.counts import regression_consequent, regression_contingency
 from premisa.operators.evaluate import binary_metrics, confusion_matrix
+from premisa.operators.selection import class_ranks
 from premisa.operators.survival import event_flag, log_rank
 from premisa.plans.rules import Rule, RuleSet, at_least, less
 from premisa.sources.arff import arff_scan
 
 
+@pytest.fixture
+def settings(spark):
+    """Sets Spark settings until the end of the test."""
+    before = {}
+
+    def change(values):
+        for k, v in values.items():
+            before.setdefault(k, spark.conf.get(k, None))
+            spark.conf.set(k, v)
+
+    yield change
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_arff_rows_and_quotes(spark, tmp_path):
     path = tmp_path / "a.arff"
     path.write_text(
@@ -81,3 +97,15 @@ def test_contrast_models_predict_and_score(spark, small):
     curves = ContrastSetSurvivalRules(max_growing=1, approximate_induction=True).fit(df, "died", "days", "flag", features=["a", "b"])
     assert curves.predict(df).schema["prediction"].dataType.typeName() == "array"
     assert 0 <= curves.score(df, "died", "days") <= 1
+
+
+def test_ranks_do_not_gather_a_class(spark, settings):
+    settings({"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.openCostInBytes": "0"})
+    df = spark.range(0, 20_000, 1, 8).selectExpr("id", "if(id < 19000, 'a', if(id < 19900, null, 'b')) as y")
+    ranked = class_ranks(df, ["y"], ["id"]).persist()
+    sizes = {r["y"]: (r["n"], r["last"], r["size"]) for r in ranked.groupBy("y").agg(
+        F.countDistinct("__rank").alias("n"), F.max("__rank").alias("last"), F.max("__size").alias("size")).collect()}
+    assert sizes == {"a": (19_000, 18_999, 19_000), None: (900, 899, 900), "b": (100, 99, 100)}
+    largest = ranked.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
+    ranked.unpersist()
+    assert largest <= 12_000
