@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import premisa.catalog.data as catalog_data
 from premisa import ContrastSetRuleRegressor, ContrastSetSurvivalRules, RuleClassifier
 from premisa.functions.measures import user_measure
 from premisa.operators.counts import regression_consequent, regression_contingency
@@ -109,3 +110,21 @@ def test_ranks_do_not_gather_a_class(spark, settings):
     largest = ranked.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0]
     ranked.unpersist()
     assert largest <= 12_000
+
+
+def test_arff_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    items = spark.range(0, 400, 1, 8).selectExpr(
+        "id as l_orderkey", "double(id) as l_quantity", "1000.0D + id as l_extendedprice", "nullif(id % 3, 0) / 100 as l_discount",
+        "'A' as l_returnflag", "'low' as y")
+    seen = []
+    monkeypatch.setattr(catalog_data, "miss", lambda spark, sf: items)
+    monkeypatch.setattr(catalog_data, "arff_scan", lambda spark, path: seen.append(path) or arff_scan(spark, path))
+    df = catalog_data._arff(spark, "")
+    assert sorted(r["l_orderkey"] for r in df.collect()) == [float(i) for i in range(400)]
+    assert df.where("l_discount is null").count() == 134 and df.where("note is null").count() == 0
+    files = spark.read.text(seen[0]).groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.when(F.col("value").startswith("@relation"), 1)).alias("heads"), F.count(F.lit(1)).alias("lines"))
+    files = files.collect()
+    assert len(files) >= 16 and all(r["heads"] == 1 for r in files) and max(r["lines"] for r in files) < 200
+    monkeypatch.setattr(catalog_data, "miss", lambda spark, sf: items.where("false"))
+    assert catalog_data._arff(spark, "").count() == 0
