@@ -8,8 +8,9 @@ from premisa import ContrastSetRuleRegressor, ContrastSetSurvivalRules, RuleClas
 from premisa.functions.measures import user_measure
 from premisa.operators.counts import regression_consequent, regression_contingency
 from premisa.operators.evaluate import binary_metrics, confusion_matrix
+from premisa.operators.predict import predict_survival
 from premisa.operators.selection import class_ranks
-from premisa.operators.survival import event_flag, log_rank
+from premisa.operators.survival import event_flag, log_rank, rule_curves
 from premisa.plans.rules import Rule, RuleSet, at_least, less
 from premisa.sources.arff import arff_scan
 
@@ -128,3 +129,15 @@ def test_arff_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert len(files) >= 16 and all(r["heads"] == 1 for r in files) and max(r["lines"] for r in files) < 200
     monkeypatch.setattr(catalog_data, "miss", lambda spark, sf: items.where("false"))
     assert catalog_data._arff(spark, "").count() == 0
+
+
+def test_facts_of_a_curve_are_computed_once_a_curve(spark, settings, small):
+    """With few points the rows are not shuffled, and each gets the same curve and facts as from a computation of its own."""
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = small.select("id", "a", "days", "died")
+    rules = RuleSet([Rule((at_least("a", 4.0),), weight=1.0), Rule((less("a", 7.0),), weight=1.0)], problem="survival", target="died")
+    mean = lambda curve: F.aggregate(curve, F.lit(0.0), lambda s, x: s + x["prob"]) / F.size(curve)
+    found = predict_survival(df, rules, rule_curves(df, rules, "days", "died"), facts={"mean": mean})
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+    got = found.select("id", "mean", mean(F.col("prediction")).alias("own")).collect()
+    assert len(got) == 240 and all(r["mean"] == r["own"] is not None for r in got)
