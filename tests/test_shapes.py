@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import premisa.catalog.data as catalog_data
+import premisa.operators.predict as predict
 from premisa import ContrastSetRuleRegressor, ContrastSetSurvivalRules, RuleClassifier
 from premisa.functions.measures import user_measure
 from premisa.operators.counts import regression_consequent, regression_contingency
 from premisa.operators.evaluate import binary_metrics, confusion_matrix
-from premisa.operators.predict import predict_survival
+from premisa.operators.predict import predict_survival, survival_probability_at
 from premisa.operators.selection import class_ranks
 from premisa.operators.survival import event_flag, log_rank, rule_curves
 from premisa.plans.rules import Rule, RuleSet, at_least, less
@@ -141,3 +142,19 @@ def test_facts_of_a_curve_are_computed_once_a_curve(spark, settings, small):
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
     got = found.select("id", "mean", mean(F.col("prediction")).alias("own")).collect()
     assert len(got) == 240 and all(r["mean"] == r["own"] is not None for r in got)
+
+
+def test_few_questions_leave_the_rows_in_place(spark, settings, small, monkeypatch):
+    settings({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    df = small.select("id", "a", "days", "died")
+    rules = RuleSet([Rule((at_least("a", 4.0),), weight=1.0)], problem="survival", target="died")
+    curves = rule_curves(df, rules, "days", "died")
+    ask = lambda: survival_probability_at(df, rules, curves, F.col("days") * F.nullif(F.col("id") % 3, F.lit(0)))
+    few = ask()
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(predict, "BROADCAST_ASKED", 0)
+    many = ask()
+    pairs = lambda t: sorted((r["id"], r["probability"]) for r in t.collect())
+    assert [i for i, _ in pairs(few)] == [i for i, _ in pairs(many)] and all(
+        p == q or abs(p - q) < 1e-12 for (_, p), (_, q) in zip(pairs(few), pairs(many), strict=True))
+    assert all((p is None) == (i % 3 == 0) for i, p in pairs(few))
