@@ -7,6 +7,7 @@ import pytest
 from test_learning import log_rank
 
 import premisa.operators.survive as survive
+from premisa import SurvivalRules
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import InductionParams
 from premisa.plans.rules import less
@@ -92,3 +93,23 @@ def test_approximate_survival_merges_equal_rows(spark):
     hit = np.array([x[0] < 2 for x in rows])
     assert search.variant_qualities([premise]) == [pytest.approx(log_rank(time, event, hit), abs=1e-6)]
     search.close()
+
+
+def _counted(spark, df, seen):
+    """The table, and every row that is derived for it counted."""
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    return df.coalesce(1).mapInArrow(count, df.schema)
+
+
+def test_survival_fit_reads_its_rows_once(spark):
+    """What derives the rows is run once in a fit, the curves included."""
+    seen = spark.sparkContext.accumulator(0)
+    df = _counted(spark, spark.createDataFrame(_lives(), SCHEMA), seen)
+    model = SurvivalRules(max_growing=1, max_rule_count=1, approximate_induction=True, approximate_bins_count=4)
+    model.fit(df, "died", "days", features=["a", "b", "s"])
+    assert model.curves.where("rule_id = 0").count() > 0 and seen.value == 300
