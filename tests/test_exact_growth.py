@@ -7,7 +7,7 @@ import pytest
 from test_learning import log_rank
 
 import premisa.operators.survive as survive
-from premisa import SurvivalRules
+from premisa import ContrastSetSurvivalRules, SurvivalRules
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import InductionParams
 from premisa.plans.rules import less
@@ -113,3 +113,11 @@ def test_survival_fit_reads_its_rows_once(spark):
     model = SurvivalRules(max_growing=1, max_rule_count=1, approximate_induction=True, approximate_bins_count=4)
     model.fit(df, "died", "days", features=["a", "b", "s"])
     assert model.curves.where("rule_id = 0").count() > 0 and seen.value == 300
+
+
+def test_contrast_fit_with_times_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame(_lives(), SCHEMA).selectExpr("*", "if(b > 2, 'x', 'y') as g")
+    model = ContrastSetSurvivalRules(approximate_induction=True, approximate_bins_count=4, minsupp_all=(0.2,), max_growing=1)
+    model.fit(_counted(spark, rows, seen), "died", "days", "g", features=["a", "b", "s"])
+    assert model.model.rules and model.curves.where("rule_id = 0").count() > 0 and seen.value == 300
