@@ -6,11 +6,14 @@ import numpy as np
 import pytest
 from test_learning import log_rank
 
+import premisa.operators.single as single
 import premisa.operators.survive as survive
 from premisa import ContrastSetSurvivalRules, SurvivalRules
+from premisa.operators.regress import RegressionSearch
+from premisa.operators.statistics import regression_pvalue
 from premisa.operators.survive import SurvivalSearch
 from premisa.plans.params import InductionParams
-from premisa.plans.rules import less
+from premisa.plans.rules import Rule, at_least, equals, less
 from premisa.roles import example_set
 
 
@@ -121,3 +124,45 @@ def test_contrast_fit_with_times_reads_its_rows_once(spark):
     model = ContrastSetSurvivalRules(approximate_induction=True, approximate_bins_count=4, minsupp_all=(0.2,), max_growing=1)
     model.fit(_counted(spark, rows, seen), "died", "days", "g", features=["a", "b", "s"])
     assert model.model.rules and model.curves.where("rule_id = 0").count() > 0 and seen.value == 300
+
+
+def _labelled(n=2_000):
+    rng = random.Random(5)
+    return [(rng.choice([None, 0.0, 1.0, 2.0, 3.0]), rng.choice(["u", "v", None]), rng.gauss(5 * (i % 3), 2.0)) for i in range(n)]
+
+
+@pytest.mark.parametrize("ignore_missing", [False, True])
+def test_approximate_regression_by_sums_of_cells(spark, monkeypatch, ignore_missing):
+    """First passes read one row per combination of cells, also once accepted rules are written out; counts are those of the rows."""
+    monkeypatch.setattr(single, "RULES_PER_WRITE", 1)
+    rows = _labelled()
+    data = spark.createDataFrame(rows, "a double, s string, y double")
+    params = InductionParams(approximate_induction=True, approximate_bins_count=4, ignore_missing=ignore_missing)
+    search = RegressionSearch(data, ["a", "s"], "y", params)
+    assert search.moments.count() <= 5 * 3
+    y = np.array([r[2] for r in rows])
+    assert search.accept("", (less("a", 1.0),)) == sum(r[0] == 0 for r in rows)
+    for premise, start in (((), np.ones(len(rows), bool)), ((less("a", 3.0),), np.array([r[0] is not None and r[0] < 3 for r in rows]))):
+        found = search.second_pass(premise, search.first_pass(premise).collect()).collect()
+        assert len({r["attr"] for r in found}) == 2
+        for r in found:
+            of = [x["as".index(r["attr"])] for x in rows]
+            cut = search.table.real_cut(r["attr"], r["cut"])
+            hit = start & np.array([v is not None and (v == r["value"] if r["op"] == "eq" else (v < cut) == (r["op"] == "lt")) for v in of])
+            near = np.abs(y - y[hit].mean()) <= y[hit].std()
+            there = np.array([v is not None for v in of]) | (not ignore_missing)
+            assert (r["c"], r["p"]) == (hit.sum(), (hit & near).sum())
+            assert (r["p_all"], r["n_all"]) == ((near & there).sum(), (~near & there).sum())
+            assert r["p_new"] == sum(h and not (x[0] is not None and x[0] < 1) for h, x in zip(hit, rows))
+    search.close()
+
+
+def test_regression_pvalue_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame(_labelled(), "a double, s string, y double")
+    rules = [Rule((less("a", 2.0),)), Rule((equals("s", "u"), at_least("a", 1.0))), Rule((equals("s", "none"),))]
+    got = regression_pvalue(_counted(spark, rows, seen), rules, "y", 5.0).collect()
+    assert seen.value == 2_000
+    want = regression_pvalue(rows, rules, "y").collect()
+    assert [r["covered"] for r in got] == [r["covered"] for r in want] and got[2]["pvalue"] is None
+    assert [r["pvalue"] for r in got[:2]] == [pytest.approx(r["pvalue"], rel=1e-9) for r in want[:2]]
