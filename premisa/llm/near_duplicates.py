@@ -26,6 +26,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -52,6 +53,8 @@ BLOCK, BEST = 512, 4
 #: Shingles and registers that a task draws at once.
 AT_ONCE = 1 << 20
 NULL_ID = -(1 << 63)
+#: A table of few rows is not made by many tasks: rows of a task at least, of texts (or pairs of bags) and of numbers.
+TASK_TEXTS, TASK_NUMBERS = 2_500, 50_000
 
 Bag = tuple[np.ndarray, np.ndarray]
 
@@ -241,6 +244,11 @@ def _partners(best: int | None):
     return run
 
 
+def _few(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """``df``, which has about ``rows`` rows, in no more tasks than such a table needs."""
+    return df.coalesce(max(2 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / each)))
+
+
 def _side(table: DataFrame, x: str, *names: str) -> DataFrame:
     return table.select(F.col("id").alias(x), *[F.col(name).alias(f"{x}_{name}") for name in names])
 
@@ -250,10 +258,10 @@ def _linked(near: DataFrame, texts: DataFrame) -> DataFrame:
     it, and goes straight into the verification."""
     both = near.join(_side(texts, "b", "shingles", "counts"), "b").join(_side(texts, "a", "shingles", "counts"), "a")
     both = both.select("a", "b", "a_shingles", "a_counts", "b_shingles", "b_counts")
-    return both.mapInArrow(_verified, "a long, b long")
+    return _few(both, near.count(), TASK_TEXTS).mapInArrow(_verified, "a long, b long")
 
 
-def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+def _open(members: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """The members of buckets that span several classes, stored: id, key, class_id, major (the bucket's largest class), and
     how many blocks its members outside that class, and all of them, make."""
     named = members.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
@@ -262,7 +270,7 @@ def _open(members: DataFrame, found: DataFrame) -> DataFrame:
     open_ = sizes.where("n > most.n").select(
         "key", F.col("most.class_id").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("across"),
         F.ceil(F.col("n") / BLOCK).cast("int").alias("down"))
-    return written(named.join(open_, "key"), "open-buckets")
+    return written(_few(named.join(open_, "key"), rows, TASK_NUMBERS), "open-buckets")
 
 
 def _blocks(named: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -284,24 +292,27 @@ def components(links: DataFrame) -> DataFrame:
     joined, never collected.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = written(edges, "links")
-    before = None
+    edges = written(_few(edges, links.count(), TASK_NUMBERS), "links")
+    before, rows = None, edges.count()
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = _few(large, 2 * rows, TASK_NUMBERS)
         # each node to the smallest of its smaller neighbours, and these to it
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
-        small = written(small.where("u <> v").distinct(), "links")
-        seen = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = joined.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
+        small = _few(small.where("u <> v"), 2 * rows, TASK_NUMBERS).distinct()
+        small = written(_few(small, 2 * rows, TASK_NUMBERS), "links")
+        rows, seen = small.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         edges = small
-        if seen == before:
+        if (rows, seen) == before:
             break
-        before = seen
+        before = rows, seen
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("class_id")).distinct()
-    return written(edges.select(F.col("u").alias("id"), F.col("v").alias("class_id")).unionByName(roots), "classes")
+    found = edges.select(F.col("u").alias("id"), F.col("v").alias("class_id")).unionByName(roots)
+    return written(_few(found, 2 * rows, TASK_NUMBERS), "classes")
 
 
 def _rows(doc: str, text: str) -> list[Column]:
@@ -319,35 +330,39 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         _signed, "doc long, t1 long, t2 long, h1 long, h2 long, empty boolean, keys array<long>, registers binary"), "signatures")
     # one row, and a number, for all copies
     own = signed.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t1", "t2", "empty", "keys", "registers")).alias("x"))
+    own = _few(own, signed.count(), TASK_TEXTS)
     own = written(own.select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "x.*"), "representatives")
+    rows = own.count()
     spread = own.where("not empty").select("id", F.explode("keys").alias("key"))
     crowd = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = written(spread.join(crowd, "key"), "buckets")
+    buckets = written(_few(spread.join(crowd, "key"), BANDS * rows, TASK_NUMBERS), "buckets")
+    entries = buckets.count()
     central = buckets.groupBy("id").agg(F.sum("n").alias("met"))
-    buckets = written(buckets.select("id", "key").join(central, "id"), "buckets")
+    buckets = written(_few(buckets.select("id", "key").join(central, "id"), entries, TASK_NUMBERS), "buckets")
     wanted = buckets.select("id").distinct()
     asked = own.select("id", "doc", "t1", "t2").join(wanted, "id")
     texts = source.join(asked, ["doc", "t1", "t2"]).groupBy("doc", "t1", "t2", "id").agg(F.min("text").alias("text"))
-    texts = texts.select("id", "text").mapInArrow(_bagged, "id long, shingles array<long>, counts array<int>")
+    texts = _few(texts.select("id", "text"), rows, TASK_TEXTS).mapInArrow(_bagged, "id long, shingles array<long>, counts array<int>")
     texts = written(texts, "candidates")
-    registers = written(own.select("id", "registers").join(wanted, "id", "left_semi"), "registers")
+    registers = written(_few(own.select("id", "registers").join(wanted, "id", "left_semi"), rows, TASK_TEXTS), "registers")
     heads = buckets.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("i"))).alias("h"))
     pairs = buckets.join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id")
-    pairs = pairs.select("a", F.col("id").alias("b")).distinct()
+    pairs = _few(pairs.select("a", F.col("id").alias("b")), entries, TASK_NUMBERS).distinct()
     near = pairs.join(_side(registers, "b", "registers"), "b").join(_side(registers, "a", "registers"), "a")
-    near = near.select("a", "b", "a_registers", "b_registers").mapInArrow(_near, "a long, b long")
+    near = _few(near.select("a", "b", "a_registers", "b_registers"), entries, TASK_NUMBERS).mapInArrow(_near, "a long, b long")
     links = written(_linked(written(near, "pairs"), texts), "links")
     found = components(links)
     # the head of a bucket has been compared with all of it
     members = buckets.select("id", "key").join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id").drop("a")
     best, tested, drawn = BEST, None, None
     while True:
-        open_ = _open(members, found)
+        open_ = _open(members, found, entries)
         if open_.isEmpty():
             break
         if drawn is None:  # classes only grow: no later round opens another bucket
-            wide = texts.join(open_.select("id").distinct(), "id", "left_semi").mapInArrow(_widened, "id long, wide binary")
-            drawn = written(own.select("id", "keys").join(wide, "id"), "registers")
+            wide = _few(texts.join(open_.select("id").distinct(), "id", "left_semi"), rows, TASK_TEXTS)
+            wide = wide.mapInArrow(_widened, "id long, wide binary")
+            drawn = written(_few(own.select("id", "keys").join(wide, "id"), rows, TASK_TEXTS), "registers")
         near = _blocks(open_, drawn).mapInArrow(_partners(best), "a long, b long, rest boolean")
         near = written(near.groupBy("a", "b").agg(F.max("rest").alias("rest")), "pairs")
         new = near.select("a", "b") if tested is None else near.join(tested, ["a", "b"], "left_anti").select("a", "b")
@@ -361,7 +376,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         tested = near.select("a", "b") if tested is None else tested.unionByName(near.select("a", "b"))
         best = None if fruitless else 4 * best  # where classes do not grow, further rounds spare nothing
     named = own.select("id", "h1", "h2", F.struct("doc", "t1", "t2").alias("row")).join(found, "id", "left")
-    named = written(named.withColumn("class_id", F.coalesce("class_id", "id")), "named")
+    named = written(_few(named.withColumn("class_id", F.coalesce("class_id", "id")), rows, TASK_NUMBERS), "named")
     least = named.groupBy("class_id").agg(F.min("row").alias("row"))
     of = named.select("h1", "h2", "class_id").join(least, "class_id").select("h1", "h2", F.col("row.doc").alias("name"))
     return signed.select("doc", "h1", "h2").join(of, ["h1", "h2"]).select("doc", "name"), least.select("row.*")
