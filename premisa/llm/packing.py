@@ -17,11 +17,14 @@ result; other columns are not read; a text of any length is cut into pieces of t
 from __future__ import annotations
 
 import bisect
+import json
 import os
-import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice, pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,47 +41,109 @@ BROADCAST_PLAN = 500_000
 
 PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
-#: A full stop or comma that ends a word.
-_TAIL = re.compile(rb"(?<=[a-z0-9])[.,](?=[ \n\t\r]|\Z)")
+#: Words that are encoded together.
+_TOGETHER = 500
+#: What is a token of its own behind a letter or digit, at the end of a word.
+_TAILS = [b".", b",", b";", b":", b"!", b"?"]
 
 _encoders: dict[int, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Token ids of texts, as little-endian 32-bit bytes, with a bounded memory of words."""
+    """Token ids of texts, as little-endian 32-bit bytes, with a bounded memory of words.
+
+    ``new`` numbers the words as they are met and ``ids`` has the ids of each number; ``old`` is the generation before.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.new: dict[bytes, bytes] = {}
+        self.normalizer = self.tokenizer.normalizer
+        self.tails = dict(zip(_TAILS, self._apart(_TAILS), strict=True))
+        vocabulary, suffix = self.tokenizer.get_vocab(), json.loads(definition)["model"].get("end_of_word_suffix")
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a run of letters
+        self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.old: dict[bytes, bytes] = {}
-
-    def learn(self, missing: list[bytes], rare: dict[bytes, bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        for word, encoding in zip(missing, found, strict=True):
-            ids = b"".join([i.to_bytes(4, "little") for i in encoding.ids])
-            (self.new if len(word) <= REMEMBERED_BYTES else rare)[word] = ids
+        self._begin()
+
+    def _begin(self) -> None:
+        self.ids: list[bytes] = []
+        self.new: defaultdict[bytes, int] = defaultdict(count().__next__)
+
+    def _apart(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        """The same for words of letters, which end where a token ends that ends a run of letters: encoded as one text."""
+        text = b" ".join(words).decode()
+        found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * np.flatnonzero(self.last[found]) + 4).tolist()
+        if len(ends) != len(words):  # each has one at least: not all are letters to the tokenizer
+            return self._apart(words)
+        whole = found.tobytes()
+        return [whole[i:j] for i, j in pairwise([0, *ends])]
+
+    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word."""
+        out: dict[bytes, bytes] = {}
+        letters = [w for w in words if w.decode().isalpha()]
+        normal = [w for w in letters if w.isascii() and w.islower()]  # the tokenizer would normalise them to themselves
+        same = set(normal)
+        for skip, of in (True, normal), (False, [w for w in letters if w not in same]):
+            self.tokenizer.normalizer = None if skip else self.normalizer
+            for first in range(0, len(of), _TOGETHER):
+                run = of[first : first + _TOGETHER]
+                out.update(zip(run, self._together(run), strict=True))
+        others = [w for w in words if w not in out]
+        out.update(zip(others, self._apart(others), strict=True))
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of the words with the next numbers. ``_TAILS`` are looked up apart."""
+        old, new, ids, tails, first = self.old, self.new, self.ids, self.tails, len(self.ids)
+        found = list(map(old.get, words))
+        missing: dict[bytes, list[tuple[int, bytes]]] = {}
+        for i, w in enumerate(words):
+            if found[i] is None:
+                tail = b""
+                if w[-1:] in tails and w[-2:-1].isalnum():
+                    w, tail = w[:-1], tails[w[-1:]]
+                    at = new.get(w, first)
+                    known = ids[at] if at < first else old.get(w)
+                    if known is not None:
+                        found[i] = known + tail
+                        continue
+                missing.setdefault(w, []).append((i, tail))
+        made = self.encoded(list(missing))
+        for w, places in missing.items():
+            for i, tail in places:
+                found[i] = made[w] + tail
+        ids += found
 
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
-        """ASCII white space splits: the tokenizer never joins across it, nor a letter with the full stop behind it.
+        """ASCII white space splits: the tokenizer never joins across it, nor a letter with the mark behind it.
 
         It lowers letters itself, so ASCII letters may be lowered before: fewer words are to be remembered.
         """
-        if len(self.new) > REMEMBERED_WORDS:
-            self.old, self.new = self.new, {}
+        if len(self.ids) > REMEMBERED_WORDS:
+            self.old = {w: self.ids[i] for w, i in self.new.items()}
+            self._begin()
+        before, first, number = len(self.new), len(self.ids), self.new.__getitem__
         # special tokens have a case: a text that may hold one keeps it
         plain = [(t or "").encode() for t in texts]
-        split = [_TAIL.sub(rb" \g<0>", t if b"<|" in t else t.lower()).split() for t in plain]
-        rare: dict[bytes, bytes] = {}
-        unseen = set().union(*split).difference(self.new)
-        for word in unseen.intersection(self.old):
-            self.new[word] = self.old[word]
-        self.learn(list(unseen.difference(self.new)), rare)
-        known = self.new.__getitem__
-        for text in split:
-            yield b"".join(map(known, text)) if not rare else b"".join([rare[w] if w in rare else known(w) for w in text])
+        numbers = [list(map(number, (t if b"<|" in t else t.lower()).split())) for t in plain]
+        words = list(islice(reversed(self.new), len(self.new) - before))[::-1]
+        self.learn(words)
+        ids = self.ids.__getitem__
+        for text in numbers:
+            yield b"".join(map(ids, text))
+        for i, word in enumerate(words, first):
+            if len(word) > REMEMBERED_BYTES:
+                del self.new[word]
+                self.ids[i] = b""
 
 
 def _groups(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:

@@ -280,6 +280,36 @@ def test_special_strings_keep_their_case():
         assert got == b"".join(i.to_bytes(4, "little") for i in library.encode(text or "", add_special_tokens=False).ids)
 
 
+def test_words_are_encoded_together():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    library = Tokenizer.from_file(path)
+    rng = random.Random(5)
+    made = ["".join(rng.choices("abcdeghilmnorst", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(made[i : i + 60]) + rng.choice(".,;:!?") for i in range(0, 3000, 60)]
+    texts += ["".join(rng.choices("aA.,!?'\x02 \n\x0bé\u0301\u2003İΣς1<|>😀", k=40)) for _ in range(2000)]
+    texts += ["a" * 100 + ". " + "a" * 100, "it's, it's. IT'S", "", None]
+    asked = []
+
+    class Counted:
+        normalizer = library.normalizer
+
+        def encode_batch_fast(self, of, **options):
+            asked.append(len(of))
+            return library.encode_batch_fast(of, **options)
+
+    encoder.tokenizer = Counted()
+    got = [x for _, group in packing._groups(texts[:50], 5_000) for x in encoder.batch(group)]
+    assert sum(asked) < 100  # 3,000 words of letters
+    got += [x for _, group in packing._groups(texts[50:], 5_000) for x in encoder.batch(group)]
+    for text, ids in zip(texts, got, strict=True):
+        assert ids == b"".join(i.to_bytes(4, "little") for i in library.encode(text or "", add_special_tokens=False).ids)
+
+
 def test_packing_round_trip(odd, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
