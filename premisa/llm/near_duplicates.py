@@ -9,10 +9,12 @@ candidates; the similarity of candidates is then computed from all their shingle
 Copies (equal word sequences) are merged before anything else. All members of a bucket are held against its most central
 one, the one that meets most texts in all its buckets. In buckets that still span several classes, every member outside the
 bucket's largest class is then compared with all members of other classes, each pair in the first bucket that both share:
-first by ``WIDE`` registers, drawn for members of such buckets only, in blocks of about ``BLOCK`` by ``BLOCK`` members, then by
-their shingles. A round takes the ``BEST`` most agreeing partners of a member in a block, the next round four times as many, or
-all of them when a round has found no link, without the pairs that meanwhile are in one class, until no pair is left out. So two texts of a bucket are either compared or in one
-class by other links. So many registers tell pairs under the threshold apart that few shingles are fetched in vain: at six standard
+first by ``WIDE`` registers, drawn for members of such buckets only, then by their shingles. This happens inside blocks of about ``BLOCK`` by
+``BLOCK`` members, which hold both: a block joins the classes that it finds linked and makes one row for each two classes joined, so it makes
+fewer rows than it has members, however many pairs are alike or nearly so. First each of these members meets one block, which is
+all of a bucket of ``BLOCK`` members and puts larger groups of copies into one class; buckets of more members that still span several classes
+then have all their blocks compared. So two texts of a bucket are either compared or in one class by other links. So many registers tell
+pairs under the threshold apart that few shingles are compared in vain: at six standard
 deviations a pair at the threshold is lost once in a thousand million, and most pairs below 0.7 are dropped.
 
 Rows are told apart by their texts, never by doc_id: each distinct word sequence gets a number, links and classes are of
@@ -49,7 +51,8 @@ LEAST_AGREEING = int(REGISTERS * THRESHOLD - 6 * (REGISTERS * THRESHOLD * (1 - T
 WIDE = 1024
 SAME = THRESHOLD + (1 - THRESHOLD) / 16
 LEAST_WIDE = int(WIDE * SAME - 6 * (WIDE * SAME * (1 - SAME)) ** 0.5)
-BLOCK, BEST = 512, 4
+#: Members on a side of a block, and their distinct shingles.
+BLOCK, ROOM = 512, 1 << 19
 #: Shingles and registers that a task draws at once.
 AT_ONCE = 1 << 20
 NULL_ID = -(1 << 63)
@@ -210,38 +213,52 @@ def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in wide], pa.binary())], ["id", "wide"])
 
 
-def _partners(best: int | None):
-    """Blocks, a key and an array ``of`` of (minor, id, class_id, keys, wide), to pairs (a, b): for each minor member the
-    ``best`` most agreeing ones (None: all) of other classes, of those that share no bucket of an earlier band with it; ``rest`` marks a pair
-    of a member that has more than these."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = batch.column("of")
-            ends, here = of.offsets.to_numpy(), batch.column("key").to_numpy()
-            for k, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                block = of.values.slice(i, j - i)
-                minor, ids, named = (block.field(c).to_numpy(zero_copy_only=False) for c in ("minor", "id", "class_id"))
-                keys = block.field("keys").flatten().to_numpy().reshape(-1, BANDS)
-                packed_ = np.frombuffer(b"".join(block.field("wide").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
-                wide = np.concatenate([packed_ >> 4, packed_ & 15], axis=1)
-                band = int(np.flatnonzero(keys[0] == here[k])[0])
-                right = np.flatnonzero(~minor)
-                found: tuple[list, list, list] = ([], [], [])
-                for x in np.flatnonzero(minor):
-                    y = right[named[right] != named[x]]
-                    y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
-                    agree = (wide[y] == wide[x]).sum(axis=1)
-                    near = np.flatnonzero(agree >= LEAST_WIDE)
-                    more = best is not None and len(near) > best
-                    if more:
-                        near = near[np.argsort(-agree[near], kind="stable")[:best]]
-                    for c, z in enumerate((np.minimum(ids[x], ids[y[near]]), np.maximum(ids[x], ids[y[near]]), np.full(len(near), more))):
-                        found[c].append(z)
-                if found[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["a", "b", "rest"])
-
-    return run
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks, a key and an array ``of`` of (minor, id, class_id, keys, wide, shingles, counts), to links (a, b) that join two classes
+    of the block each: minor members are held against the others that share no bucket of an earlier band with them."""
+    for batch in batches:
+        of, here = batch.column("of"), batch.column("key").to_numpy()
+        for k, (i, j) in enumerate(pairwise(of.offsets.to_numpy())):
+            links = _links_of(pa.RecordBatch.from_struct_array(of.values.slice(i, j - i)), here[k])
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], ["a", "b"])
+
+
+def _links_of(block: pa.RecordBatch, key: int) -> list[tuple[int, int]]:
+    """Fewer links than classes: one is kept only if its texts are not in one class by those before."""
+    minor, ids, named = (block.column(c).to_numpy(zero_copy_only=False) for c in ("minor", "id", "class_id"))
+    keys = block.column("keys").flatten().to_numpy().reshape(-1, BANDS)
+    halves = np.frombuffer(b"".join(block.column("wide").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+    wide = np.concatenate([halves >> 4, halves & 15], axis=1)
+    band = int(np.flatnonzero(keys[0] == key)[0])
+    right, named, of, found = np.flatnonzero(~minor), named.copy(), None, []
+    for x in np.flatnonzero(minor):
+        y = right[named[right] != named[x]]
+        y = y[~(keys[y, :band] == keys[x, :band]).any(axis=1)]
+        agree = (wide[y] == wide[x]).sum(axis=1)
+        near = np.flatnonzero(agree >= LEAST_WIDE)
+        if not len(near):
+            continue
+        if of is None:
+            of = list(_stored(block))
+            once = [bool((w == 1).all()) for _, w in of]
+            shingles, code = np.unique(np.concatenate([s for s, _ in of]), return_inverse=True)
+            code = np.split(code, np.cumsum([len(s) for s, _ in of])[:-1])
+            seen = np.zeros(len(shingles), dtype=bool)
+        seen[code[x]] = True
+        for z in y[near[np.argsort(-agree[near], kind="stable")]]:
+            if named[z] == named[x]:
+                continue
+            if once[x] and once[z]:
+                both = np.count_nonzero(seen[code[z]])
+                alike = both / (len(code[x]) + len(code[z]) - both)
+            else:
+                alike = similarity(of[x], of[z])
+            if alike >= THRESHOLD - 1e-12:
+                found.append((min(ids[x], ids[z]), max(ids[x], ids[z])))
+                named[named == named[z]] = named[x]
+        seen[code[x]] = False
+    return found
 
 
 def _few(df: DataFrame, rows: int, each: int) -> DataFrame:
@@ -263,26 +280,32 @@ def _linked(near: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _open(members: DataFrame, found: DataFrame, rows: int) -> DataFrame:
     """The members of buckets that span several classes, stored: id, key, class_id, major (the bucket's largest class), and
-    how many blocks its members outside that class, and all of them, make."""
+    how many blocks its members outside that class, and all of them, make. ``members`` has id, key and size, the shingles."""
     named = members.join(found, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
-    sizes = named.groupBy("key", "class_id").agg(F.count("*").alias("n"))
-    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class_id")).alias("most"))
+    sizes = named.groupBy("key", "class_id").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "size", "class_id")).alias("most"))
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / ROOM)).cast("int")
     open_ = sizes.where("n > most.n").select(
-        "key", F.col("most.class_id").alias("major"), F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("across"),
-        F.ceil(F.col("n") / BLOCK).cast("int").alias("down"))
-    return written(_few(named.join(open_, "key"), rows, TASK_NUMBERS), "open-buckets")
+        "key", F.col("most.class_id").alias("major"), blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("across"),
+        blocks(F.col("n"), F.col("size")).alias("down"))
+    return written(_few(named.drop("size").join(open_, "key"), rows, TASK_NUMBERS), "open-buckets")
 
 
-def _blocks(named: DataFrame, drawn: DataFrame) -> DataFrame:
+def _blocks(named: DataFrame, drawn: DataFrame, every: bool) -> DataFrame:
     """Blocks of members outside a bucket's largest class by blocks of all members: its key, and an array ``of`` of (minor, id,
-    class_id, keys, wide)."""
-    named = named.join(drawn, "id")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    class_id, and the columns of ``drawn``). If not ``every`` block, each member outside the largest class is in one."""
     dealt = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(n)).cast("int")
-    of = lambda minor: F.struct(F.lit(minor).alias("minor"), "id", "class_id", "keys", "wide").alias("x")
-    minors = named.where("class_id <> major").select("key", dealt(1, "across").alias("i"), every("down").alias("j"), of(True))
-    others = named.select("key", every("across").alias("i"), dealt(2, "down").alias("j"), of(False))
-    return minors.unionByName(others).groupBy("key", "i", "j").agg(F.collect_list("x").alias("of")).select("key", "of")
+    cell = lambda minor, i, j: F.struct(F.lit(minor).alias("minor"), i.alias("i"), j.alias("j"))
+    upto = lambda n, at: F.transform(F.sequence(F.lit(0), F.col(n) - 1), at)
+    if every:
+        minors = upto("down", lambda j: cell(True, dealt(1, "across"), j))
+        others = upto("across", lambda i: cell(False, i, dealt(2, "down")))
+    else:
+        minors, others = F.array(cell(True, F.lit(0), dealt(1, "down"))), F.array(cell(False, F.lit(0), dealt(2, "down")))
+    cells = F.when(F.col("class_id") != F.col("major"), F.concat(others, minors)).otherwise(others)
+    of = F.struct("minor", "id", "class_id", *[c for c in drawn.columns if c != "id"])
+    dealt_ = named.select("key", "id", "class_id", F.inline(cells)).join(drawn, "id")
+    return dealt_.groupBy("key", "i", "j").agg(F.collect_list(of).alias("of")).select("key", "of")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -354,27 +377,24 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = components(links)
     # the head of a bucket has been compared with all of it
     members = buckets.select("id", "key").join(heads.select("key", (-F.col("h.i")).alias("a")), "key").where("a <> id").drop("a")
-    best, tested, drawn = BEST, None, None
-    while True:
+    members = members.join(texts.select("id", F.size("shingles").alias("size")), "id")
+    drawn = None
+    for every in False, True:
         open_ = _open(members, found, entries)
+        if every:
+            open_ = open_.where("down > 1")  # a bucket of one block has been compared
         if open_.isEmpty():
             break
-        if drawn is None:  # classes only grow: no later round opens another bucket
+        if drawn is None:  # classes only grow: the second time no other bucket is open
             wide = _few(texts.join(open_.select("id").distinct(), "id", "left_semi"), rows, TASK_TEXTS)
             wide = wide.mapInArrow(_widened, "id long, wide binary")
             drawn = written(_few(own.select("id", "keys").join(wide, "id"), rows, TASK_TEXTS), "registers")
-        near = _blocks(open_, drawn).mapInArrow(_partners(best), "a long, b long, rest boolean")
-        near = written(near.groupBy("a", "b").agg(F.max("rest").alias("rest")), "pairs")
-        new = near.select("a", "b") if tested is None else near.join(tested, ["a", "b"], "left_anti").select("a", "b")
-        new = written(_linked(new, texts), "links")
-        fruitless = new.isEmpty()
-        if not fruitless:
+        new = written(_blocks(open_, drawn.join(texts, "id"), every).mapInArrow(_joined, "a long, b long"), "links")
+        if not new.isEmpty():
             links = links.unionByName(new)
             found = components(links)
-        if near.where("rest").isEmpty():
+        if open_.where("down > 1").isEmpty():
             break
-        tested = near.select("a", "b") if tested is None else tested.unionByName(near.select("a", "b"))
-        best = None if fruitless else 4 * best  # where classes do not grow, further rounds spare nothing
     named = own.select("id", "h1", "h2", F.struct("doc", "t1", "t2").alias("row")).join(found, "id", "left")
     named = written(_few(named.withColumn("class_id", F.coalesce("class_id", "id")), rows, TASK_NUMBERS), "named")
     least = named.groupBy("class_id").agg(F.min("row").alias("row"))

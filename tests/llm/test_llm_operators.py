@@ -467,19 +467,52 @@ def test_documents_without_an_own_id_are_kept(spark):
     assert sorted(((r["doc_id"] or 0), r["text"]) for r in once.collect()) == sorted([(0, texts[0]), (0, texts[1]), (0, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5])])
 
 
-def test_partners_left_out_of_a_block_are_told():
-    import numpy as np
+def test_blocks_make_fewer_links_than_classes():
     import pyarrow as pa
 
     size, bands = near_duplicates.WIDE // 2, near_duplicates.BANDS
-    # member k agrees with member 0 on all but 2k registers, and shares bucket 5 of band 3 with it; member 9 shares an earlier one too
-    keys = lambda k: [100 * k + i if i != 3 else 5 for i in range(bands)]
-    row = lambda k: {"minor": k == 0, "id": k, "class_id": k, "keys": keys(k) if k != 9 else keys(0), "wide": bytes(k) + b"\x11" * (size - k)}
-    batch = pa.RecordBatch.from_pydict({"key": pa.array([5]), "of": pa.array([[row(k) for k in range(10)]])})
-    few = pa.Table.from_batches(near_duplicates._partners(4)([batch])).to_pydict()
-    assert few == {"a": [0] * 4, "b": [1, 2, 3, 4], "rest": [True] * 4}
-    every = pa.Table.from_batches(near_duplicates._partners(16)([batch])).to_pydict()
-    assert sorted(every["b"]) == list(np.arange(1, 9)) and not any(every["rest"])
+    # members 0 to 29 are alike, but only by twos at the threshold; 30 to 39 all are; all share bucket 5 of band 3, 38 and 39 an earlier one too
+    keys = lambda k: [100 * k + i if i != 3 else 5 for i in range(bands)] if k < 38 else [100 * 38 + i if i != 3 else 5 for i in range(bands)]
+    core = list(range(1000, 1080))
+    own = lambda k: core + [k // 2 * 10 + i for i in range(9)] + [500 + k * 4 + i for i in range(4)] if k < 30 else core + [900 + k]
+    counted = lambda k: [1] * len(own(k)) if k % 2 else []
+    row = lambda k, minor: {"minor": minor, "id": k, "class_id": 100 if k in (4, 5) else k, "keys": keys(k), "wide": b"\x11" * size,
+                            "shingles": sorted(own(k)), "counts": counted(k)}
+    block = [row(k, minor) for minor in (True, False) for k in range(40)]
+    of = pa.array([block[:0], block, block[::-1][:40]], pa.list_(pa.struct([
+        ("minor", pa.bool_()), ("id", pa.int64()), ("class_id", pa.int64()), ("keys", pa.list_(pa.int64())), ("wide", pa.binary()),
+        ("shingles", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])))
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 5, 5]), of], ["key", "of"]).slice(1)
+    got = [tuple(x.values()) for x in pa.Table.from_batches(near_duplicates._joined([batch])).to_pylist()]
+    like = lambda a, b: len({*own(a)} & {*own(b)}) / len({*own(a)} | {*own(b)})
+    assert like(0, 1) >= 0.8 > like(1, 2) and like(30, 31) >= 0.8
+    assert all(a < b and like(a, b) >= 0.8 for a, b in got)
+    up = {k: k for k in range(40)} | {5: 4}
+    for a, b in got:
+        x, y = up[a], up[b]
+        assert x != y  # no link within a class
+        up = {k: min(x, y) if v in (x, y) else v for k, v in up.items()}
+    want = {k: k - k % 2 if k < 30 else 30 for k in range(40)}
+    linked = lambda of: {(a, b) for a in of for b in of if of[a] == of[b]}
+    assert linked(want) <= linked(up)
+
+
+def test_rows_of_links_grow_with_the_members_of_a_bucket(spark, monkeypatch):
+    """Texts that are nearly alike make no row for each pair, in one block or in many."""
+    made, store = [], near_duplicates.written
+
+    def counted(table, what):
+        out = store(table, what)
+        if what in ("pairs", "links"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "written", counted)
+    monkeypatch.setattr(near_duplicates, "BLOCK", 64)
+    rows = pairs_on_a_core(150)
+    got = near_duplicates.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {(r["doc_id"], r["class_id"]) for r in got.collect()} == {(d, d - d % 2) for d, _ in rows}
+    assert max(made) <= 10 * len(rows)
 
 
 def test_wide_registers():
