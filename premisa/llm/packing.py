@@ -20,12 +20,13 @@ import bisect
 import json
 import os
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count, islice, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ CAPACITY = 4096
 END = 1
 #: Words that a worker remembers, in each of two generations; longer words are not remembered.
 REMEMBERED_WORDS = 300_000
-REMEMBERED_BYTES = 60
+REMEMBERED_LETTERS = 60
 #: Rows of the plan that may be broadcast, about 50 bytes each.
 BROADCAST_PLAN = 500_000
 
@@ -43,8 +44,12 @@ PIECES = "row_id long, doc_id long, piece int, start long, length long, ids_crc3
 
 #: Words that are encoded together.
 _TOGETHER = 500
+#: How a special token begins.
+_MARK = "<|"
 #: What is a token of its own behind a letter or digit, at the end of a word.
-_TAILS = [b".", b",", b";", b":", b"!", b"?"]
+_TAILS = [".", ",", ";", ":", "!", "?"]
+_TAIL_OF = np.array([_TAILS.index(chr(b)) + 1 if chr(b) in _TAILS else 0 for b in range(256)])
+_ALNUM = np.array([bytes([b]).isalnum() for b in range(256)])
 
 _encoders: dict[int, WordEncoder] = {}
 
@@ -52,7 +57,7 @@ _encoders: dict[int, WordEncoder] = {}
 class WordEncoder:
     """Token ids of texts, as little-endian 32-bit bytes, with a bounded memory of words.
 
-    ``new`` numbers the words as they are met and ``ids`` has the ids of each number; ``old`` is the generation before.
+    ``new`` has the ids of words met lately, ``old`` is the generation before.
     """
 
     def __init__(self, definition: str):
@@ -61,89 +66,108 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.normalizer = self.tokenizer.normalizer
-        self.tails = dict(zip(_TAILS, self._apart(_TAILS), strict=True))
+        # a special token between words: the library cuts there before all else
+        special = [x for x in json.loads(definition)["added_tokens"] if x["special"] and not x["normalized"] and x["content"].startswith(_MARK)]
+        self.between = next(((x["content"], x["id"]) for x in special if not (x["single_word"] or x["lstrip"] or x["rstrip"])), None)
+        self.tails = pa.array([b"", *self._alone(_TAILS)], pa.large_binary())
         vocabulary, suffix = self.tokenizer.get_vocab(), json.loads(definition)["model"].get("end_of_word_suffix")
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a run of letters
         self.last[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        self.old: dict[bytes, bytes] = {}
-        self._begin()
+        self.old: dict[str, bytes] = {}
+        self.new: dict[str, bytes] = {}
 
-    def _begin(self) -> None:
-        self.ids: list[bytes] = []
-        self.new: defaultdict[bytes, int] = defaultdict(count().__next__)
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _apart(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _alone(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
-    def _together(self, words: list[bytes]) -> list[bytes]:
+    def _apart(self, words: list[str]) -> list[bytes]:
+        """The ids of words of any kind but special tokens, encoded as one text with a special token between them."""
+        if self.between is None:
+            return self._alone(words)
+        mark, number = self.between
+        found = self._ids(mark.join(words))
+        cuts = np.flatnonzero(found == number)
+        if len(cuts) != len(words) - 1:
+            return self._alone(words)
+        whole = found.tobytes()
+        return [whole[i:j] for i, j in zip([0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(whole)], strict=True)]
+
+    def _together(self, words: list[str]) -> list[bytes]:
         """The same for words of letters, which end where a token ends that ends a run of letters: encoded as one text."""
-        text = b" ".join(words).decode()
-        found = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        found = self._ids(" ".join(words))
         ends = (4 * np.flatnonzero(self.last[found]) + 4).tolist()
         if len(ends) != len(words):  # each has one at least: not all are letters to the tokenizer
             return self._apart(words)
         whole = found.tobytes()
         return [whole[i:j] for i, j in pairwise([0, *ends])]
 
-    def encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def encoded(self, words: list[str]) -> dict[str, bytes]:
         """The ids of each word."""
-        out: dict[bytes, bytes] = {}
-        letters = [w for w in words if w.decode().isalpha()]
+        out: dict[str, bytes] = {}
+        letters = [w for w in words if w.isalpha()]
         normal = [w for w in letters if w.isascii() and w.islower()]  # the tokenizer would normalise them to themselves
         same = set(normal)
-        for skip, of in (True, normal), (False, [w for w in letters if w not in same]):
+        others = [w for w in words if not w.isalpha()]
+        marked = [w for w in others if _MARK in w]
+        unmarked = [w for w in others if _MARK not in w]
+        for encode, skip, of in ((self._together, True, normal), (self._together, False, [w for w in letters if w not in same]),
+                                 (self._apart, False, unmarked), (self._alone, False, marked)):
             self.tokenizer.normalizer = None if skip else self.normalizer
             for first in range(0, len(of), _TOGETHER):
                 run = of[first : first + _TOGETHER]
-                out.update(zip(run, self._together(run), strict=True))
-        others = [w for w in words if w not in out]
-        out.update(zip(others, self._apart(others), strict=True))
+                out.update(zip(run, encode(run), strict=True))
         return out
 
-    def learn(self, words: list[bytes]) -> None:
-        """Remember the ids of the words with the next numbers. ``_TAILS`` are looked up apart."""
-        old, new, ids, tails, first = self.old, self.new, self.ids, self.tails, len(self.ids)
-        found = list(map(old.get, words))
-        missing: dict[bytes, list[tuple[int, bytes]]] = {}
-        for i, w in enumerate(words):
-            if found[i] is None:
-                tail = b""
-                if w[-1:] in tails and w[-2:-1].isalnum():
-                    w, tail = w[:-1], tails[w[-1:]]
-                    at = new.get(w, first)
-                    known = ids[at] if at < first else old.get(w)
-                    if known is not None:
-                        found[i] = known + tail
-                        continue
-                missing.setdefault(w, []).append((i, tail))
-        made = self.encoded(list(missing))
-        for w, places in missing.items():
-            for i, tail in places:
-                found[i] = made[w] + tail
-        ids += found
+    def learned(self, words: list[str]) -> list[bytes]:
+        """The ids of the words, each given once; short ones are remembered."""
+        found = list(map(self.new.get, words))
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        if fresh:
+            asked = [words[i] for i in fresh]
+            known = {w: ids for w, ids in zip(asked, map(self.old.get, asked), strict=True) if ids is not None}
+            known.update(self.encoded([w for w in asked if w not in known]))
+            for i, w in zip(fresh, asked, strict=True):
+                found[i] = known[w]
+            self.new.update((w, known[w]) for w in asked if len(w) <= REMEMBERED_LETTERS)
+        return found
 
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
         """ASCII white space splits: the tokenizer never joins across it, nor a letter with the mark behind it.
 
         It lowers letters itself, so ASCII letters may be lowered before: fewer words are to be remembered.
         """
-        if len(self.ids) > REMEMBERED_WORDS:
-            self.old = {w: self.ids[i] for w, i in self.new.items()}
-            self._begin()
-        before, first, number = len(self.new), len(self.ids), self.new.__getitem__
+        if len(self.new) > REMEMBERED_WORDS:
+            self.old, self.new = self.new, {}
         # special tokens have a case: a text that may hold one keeps it
         plain = [(t or "").encode() for t in texts]
-        numbers = [list(map(number, (t if b"<|" in t else t.lower()).split())) for t in plain]
-        words = list(islice(reversed(self.new), len(self.new) - before))[::-1]
-        self.learn(words)
-        ids = self.ids.__getitem__
-        for text in numbers:
-            yield b"".join(map(ids, text))
-        for i, word in enumerate(words, first):
-            if len(word) > REMEMBERED_BYTES:
-                del self.new[word]
-                self.ids[i] = b""
+        plain = pa.array([t if _MARK.encode() in t else t.lower() for t in plain], pa.large_string())
+        split = pc.ascii_split_whitespace(plain)
+        words = split.values.dictionary_encode()
+        bare, tail = _bare(words.dictionary.cast(pa.large_binary()))
+        bare = bare.cast(pa.large_string()).dictionary_encode()
+        found = pa.array(self.learned(bare.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        found = pc.binary_join_element_wise(found.take(bare.indices), self.tails.take(tail), pa.scalar(b"", pa.large_binary()))
+        ids = found.take(words.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[ids.offset : ids.offset + len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        data = memoryview(data or b"")
+        for i, j in pairwise(ends[split.offsets.to_numpy()].tolist()):
+            yield bytes(data[i:j])
+
+
+def _bare(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words without one of ``_TAILS`` behind an ASCII letter or digit; and which tail that was, or 0."""
+    _, ends, data = words.buffers()
+    if not len(words) or not data:
+        return words, pa.array(np.zeros(len(words), np.int64))
+    ends, data = np.frombuffer(ends, dtype=np.int64)[words.offset : words.offset + len(words) + 1], np.frombuffer(data, dtype=np.uint8)
+    long = np.diff(ends) > 1
+    tail = np.where(long, _TAIL_OF[data[np.maximum(ends[1:] - 1, 0)]], 0)
+    tail = np.where(_ALNUM[data[np.maximum(ends[1:] - 2, 0)]], tail, 0)
+    return pc.if_else(pa.array(tail > 0), pc.binary_slice(words, 0, -1), words), pa.array(tail)
 
 
 def _groups(texts: list[str | None], size: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:

@@ -318,6 +318,33 @@ def test_words_are_encoded_together():
         assert ids == b"".join(i.to_bytes(4, "little") for i in library.encode(text or "", add_special_tokens=False).ids)
 
 
+def test_words_with_digits_and_marks_are_encoded_together():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    library = Tokenizer.from_file(path)
+    rng = random.Random(6)
+    made = [rng.choice(["x{}", "{}-a", "({})", "<{}", "{}<", "\u0301{}é", "{}'s", "É{}!?", "k{}.", "{}|>,"]).format(i) for i in range(3000)]
+    texts = [" ".join(made[i : i + 60]) for i in range(0, 3000, 60)] + [f"{made[0]}<|endoftext|>{made[1]}. <|{made[2]}", " \t ", None, "  lead\ntrail  "]
+    asked = []
+
+    class Counted:
+        normalizer = library.normalizer
+
+        def encode_batch_fast(self, of, **options):
+            asked.append(len(of))
+            return library.encode_batch_fast(of, **options)
+
+    encoder.tokenizer = Counted()
+    got = [*encoder.batch(texts), *encoder.batch(texts[::-1])]
+    assert sum(asked) < 100
+    for text, ids in zip([*texts, *texts[::-1]], got, strict=True):
+        assert ids == b"".join(i.to_bytes(4, "little") for i in library.encode(text or "", add_special_tokens=False).ids)
+
+
 def test_packing_round_trip(odd, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
