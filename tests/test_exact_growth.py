@@ -9,7 +9,8 @@ from test_learning import log_rank
 import premisa.operators.regress as regress
 import premisa.operators.single as single
 import premisa.operators.survive as survive
-from premisa import ContrastSetSurvivalRules, SurvivalRules
+from premisa import ContrastSetSurvivalRules, RuleClassifier, RuleRegressor, SurvivalRules
+from premisa.catalog import QUERIES
 from premisa.operators.regress import RegressionSearch
 from premisa.operators.statistics import regression_pvalue
 from premisa.operators.survive import SurvivalSearch
@@ -239,3 +240,36 @@ def test_stretches_send_few_rows(spark, monkeypatch):
     assert search.exact((), search.first_pass(())).count() == 2 * 19_999
     search.close()
     assert 20_000 * 0.9 < sizes.value < 6 * 20_000
+
+
+@pytest.mark.parametrize("premise", [(), (less("b", 30.0),)])
+def test_small_survival_tables_take_an_attribute_in_one_group(spark, monkeypatch, premise):
+    """The same statistics as by stretches of values."""
+    data = example_set(spark.createDataFrame(_lives(), SCHEMA), "died", survival_time="days", features=["a", "b", "s"])
+    search = SurvivalSearch(data, ["a", "b", "s"], "died", "days", InductionParams(complementary_conditions=True))
+    found = []
+    for most in (1 << 17, 16):
+        monkeypatch.setattr(survive, "ROWS_PER_GROUP", most)
+        got = search.exact(premise, search.first_pass(premise)).collect()
+        found.append({(r["attr"], r["op"], r["cut"], r["value"]): (r["c"], r["p_new"], r["quality"]) for r in got})
+    search.close()
+    one, parts = found
+    assert one.keys() == parts.keys() and len(one) > 500
+    assert all(one[k] == (*parts[k][:2], pytest.approx(parts[k][2], abs=1e-6) if parts[k][2] is not None else None) for k in one)
+
+
+@pytest.mark.parametrize("name", ["learn_survival"])
+def test_queries_learn_without_limits(spark, sf, monkeypatch, name):
+    """No bound on conditions, rules or cuts in queries that fit a whole model."""
+
+    class Seen(Exception):
+        pass
+
+    def fit(self, *args, **kwargs):
+        assert self.params == InductionParams()
+        raise Seen
+
+    for model in (RuleClassifier, RuleRegressor, SurvivalRules):
+        monkeypatch.setattr(model, "fit", fit)
+    with pytest.raises(Seen):
+        QUERIES[name](spark, sf)
