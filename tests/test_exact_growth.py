@@ -258,7 +258,7 @@ def test_small_survival_tables_take_an_attribute_in_one_group(spark, monkeypatch
     assert all(one[k] == (*parts[k][:2], pytest.approx(parts[k][2], abs=1e-6) if parts[k][2] is not None else None) for k in one)
 
 
-@pytest.mark.parametrize("name", ["learn_regression", "learn_survival", "regression_score"])
+@pytest.mark.parametrize("name", ["cross_validate", "learn_regression", "learn_survival", "regression_score"])
 def test_queries_learn_without_limits(spark, sf, monkeypatch, name):
     """No bound on conditions, rules or cuts in queries that fit a whole model."""
 
